@@ -36,11 +36,12 @@ def normalize_column_names(df: DataFrame) -> DataFrame:
 
 def plain_text(value: Column) -> Column:
     """Accent-free lower-case words joined by ``_``: the name rule applied to values."""
-    folded = F.regexp_replace(_fold(value), r"[^A-Za-z0-9_\s]", " ")
+    folded = F.regexp_replace(ascii_fold(value), r"[^A-Za-z0-9_\s]", " ")
     return F.regexp_replace(F.lower(F.regexp_replace(folded, r"\s+", "_")), "^_+|_+$", "")
 
 
-def _fold(value: Column) -> Column:
+def ascii_fold(value: Column) -> Column:
+    """Accents removed, characters without an ASCII form dropped."""
     # Latin letters that decompose into one ASCII letter plus marks; others are dropped
     source, target = [], []
     for point in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from meterwise.operators.analytics import category_values
 from meterwise.operators.clean import is_missing, modes
 from meterwise.operators.ranking import quantiles, row_numbers, unpivot_numeric
+from meterwise.operators.selection import gram_matrix
 from meterwise.operators.transformers import SqlColumns
 from meterwise.session import durable
 
@@ -243,19 +245,21 @@ def truncated_svd(
         parts = base.join(vectors, source)
         return parts.groupBy(target).agg(*[F.sum(F.col("v") * F.col(f"x{j}")).alias(f"x{j}") for j in range(width)])
 
+    names = [f"x{j}" for j in range(width)]
+
     def sums(vectors: DataFrame) -> np.ndarray:
-        pairs = [(i, j) for i in range(width) for j in range(i, width)]
-        found = vectors.agg(*[F.sum(F.col(f"x{i}") * F.col(f"x{j}")) for i, j in pairs]).first()
-        m = np.zeros((width, width))
-        for (i, j), s in zip(pairs, found):
-            m[i, j] = m[j, i] = s
-        return m
+        return gram_matrix(vectors, names)[1:, 1:]
 
     def rotated(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
-        def mix(j: int) -> Column:
-            return sum((F.col(f"x{i}") * float(matrix[i, j]) for i in range(1, matrix.shape[0])), F.col("x0") * float(matrix[0, j]))
+        out = names[: matrix.shape[1]]
+
+        def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                yield pd.DataFrame(pdf[names].to_numpy() @ matrix, columns=out).assign(**{key: pdf[key].to_numpy()})
 
-        return vectors.select(key, *[mix(j).alias(f"x{j}") for j in range(matrix.shape[1])])
+        kind = vectors.schema[key].dataType.simpleString()
+        schema = ", ".join(f"{x} double" for x in out) + f", {key} {kind}"
+        return vectors.mapInPandas(turn, schema)
 
     def whitening(gram: np.ndarray) -> np.ndarray:
         values, vectors = np.linalg.eigh(gram)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ENTITIES_PER_BLOCK = 1_024
-FEATURES_PER_CHUNK = 4_096
+FEATURES_PER_CHUNK = 2_048
 
 
 def rating_triples(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:

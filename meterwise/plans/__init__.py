@@ -1,0 +1,7 @@
+"""Registered queries."""
+
+from meterwise.plans import aggregates, cleaning, enrichment, scalars, series, sources  # noqa: F401
+
+from meterwise.plans.registry import ORACLE, QUERIES, TABLES
+
+__all__ = ["ORACLE", "QUERIES", "TABLES"]

@@ -19,32 +19,26 @@ def parse_weather_blocks(
     latitude, longitude), the position of each requested coordinate.  ``schema`` declares the
     readings block and starts ``location_id BIGINT, time STRING``.  Rows without a time go.
     """
-    lines = files.select(
-        "path", F.posexplode(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")).alias("line_no", "line")
+    body = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")
+    kept = F.filter(F.transform(body, F.trim), lambda line: line != "")
+    parts = files.select("path", kept.alias("lines"))
+    # place of the header that opens the second block (1-based)
+    heads = F.filter(
+        F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
+        lambda i: F.get(F.col("lines"), i - 1).startswith(WEATHER_BLOCK_HEADER),
     )
-    second = files.select(
+    parts = parts.withColumn("second", F.element_at(heads, 1))
+    elevation_at = F.array_position(F.transform(F.split(F.get("lines", F.lit(0)), ","), F.trim), "elevation").cast("int")
+    stations = parts.select(
+        "path", elevation_at.alias("__at"), F.explode(F.slice("lines", F.lit(2), F.col("second") - 2)).alias("line")
+    ).select(
         "path",
-        F.size(
-            F.split(F.regexp_extract(F.regexp_replace("value", r"^\s+", ""), rf"(?s)^(.*?\n){WEATHER_BLOCK_HEADER}", 1), r"\n")
-        ).alias("__count"),
-    ).select("path", (F.col("__count") - 1).alias("header_no"))
-    placed = lines.join(second, "path").filter(~F.col("line").startswith(WEATHER_BLOCK_HEADER) & (F.trim("line") != ""))
-    heads = lines.join(second, "path").filter(F.col("line").startswith(WEATHER_BLOCK_HEADER) & (F.col("line_no") == 0))
-    # position of the elevation column in the station block of each file
-    names = F.transform(F.split("line", ","), F.trim)
-    where = heads.select("path", F.array_position(names, "elevation").cast("int").alias("__at"))
-    stations = (
-        placed.filter("line_no < header_no")
-        .join(where, "path")
-        .select(
-            "path",
-            F.get(F.split("line", ","), 0).cast("bigint").alias("location_id"),
-            F.element_at(F.split("line", ","), F.col("__at")).cast("double").alias("elevation"),
-        )
+        F.get(F.split("line", ","), F.lit(0)).cast("bigint").alias("location_id"),
+        F.element_at(F.split("line", ","), F.col("__at")).cast("double").alias("elevation"),
     )
+    readings = parts.select("path", F.explode(F.slice("lines", F.col("second") + 1, F.size("lines"))).alias("line"))
     rows = (
-        placed.filter("line_no > header_no")
-        .select("path", F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("r"))
+        readings.select("path", F.from_csv("line", schema, {"mode": "FAILFAST"}).alias("r"))
         .select("path", "r.*")
         .withColumn(instant, F.to_timestamp_ntz("time"))
         .filter(F.col(instant).isNotNull())
@@ -66,13 +60,16 @@ def site_positions(spark: SparkSession, coordinates: Sequence[tuple[float, float
     return spark.createDataFrame(rows, "location_id bigint, latitude double, longitude double")
 
 
-def read_polygons(spark: SparkSession, path: str, label: str = "commune") -> DataFrame:
-    """GeoJSON feature collections to (label, rings, ord), rings of all parts in one array."""
+def read_polygons(spark: SparkSession, path: str, label: str = "commune", lines: bool = False) -> DataFrame:
+    """GeoJSON feature collections (one per file, or one per line) to (label, rings, ord).
+
+    The rings of all parts of a polygon share one array.
+    """
     # coordinates stay text until the geometry type tells their depth
     schema = (
         "features ARRAY<STRUCT<properties: MAP<STRING, STRING>, geometry: STRUCT<type: STRING, coordinates: STRING>>>"
     )
-    raw = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(path)
+    raw = spark.read.schema(schema).options(multiLine=not lines, mode="FAILFAST").json(path)
     features = raw.select(F.posexplode("features").alias("ord", "f"))
     text = F.col("f.geometry.coordinates")
     single = F.from_json(text, "ARRAY<ARRAY<ARRAY<DOUBLE>>>")
