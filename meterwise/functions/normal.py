@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _erfc_positive(x: np.ndarray) -> np.ndarray:
@@ -52,11 +56,16 @@ def ppf(p: np.ndarray) -> np.ndarray:
     return np.where(upper, -z, z)
 
 
-@F.pandas_udf("double")
-def normal_log_cdf(z: pd.Series) -> pd.Series:
-    return pd.Series(log_cdf(z.to_numpy(dtype=float)))
+def _on_column(function: Callable[[np.ndarray], np.ndarray], value: Column | str) -> Column:
+    def batch(x: pd.Series) -> pd.Series:
+        return pd.Series(function(x.to_numpy(dtype=float)))
+
+    return F.pandas_udf(batch, T.DoubleType(), functionType=F.PandasUDFType.SCALAR)(value)
+
+
+def normal_log_cdf(z: Column | str) -> Column:
+    return _on_column(log_cdf, z)
 
 
-@F.pandas_udf("double")
-def normal_quantile(p: pd.Series) -> pd.Series:
-    return pd.Series(ppf(p.to_numpy(dtype=float)))
+def normal_quantile(p: Column | str) -> Column:
+    return _on_column(ppf, p)

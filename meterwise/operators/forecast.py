@@ -93,7 +93,9 @@ def forecast(
                 return pd.DataFrame(columns=[series, "last_bucket", "step", "forecast", "low", "high"])
             return roll(left, right.sort_values("step")[names].to_numpy(dtype=float))
 
-        rolled = tail.groupBy(series).cogroup(future.select(series, "step", *names).groupBy(series)).applyInPandas(with_future, schema)
+        # fresh column identities: the future may derive from the same table
+        ahead = future.select(*[F.col(c).alias(c) for c in (series, "step", *names)])
+        rolled = tail.groupBy(series).cogroup(ahead.groupBy(series)).applyInPandas(with_future, schema)
     else:
         rolled = tail.groupBy(series).applyInPandas(lambda pdf: roll(pdf, None), schema)
     bucket = F.col("last_bucket") + F.make_dt_interval(F.lit(0), F.col("step"))

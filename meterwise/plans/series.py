@@ -86,10 +86,10 @@ def cumulative_by_day(t: Tables) -> DataFrame:
 @query("decomposition", f"""WITH {HOURLY}, n AS (SELECT max(i) AS m FROM h),
     a AS (SELECT bucket, i, y, CASE WHEN i >= 12 AND i <= (SELECT m FROM n) - 12 THEN (sum(y) OVER (ORDER BY i ROWS BETWEEN 11 PRECEDING AND 11 FOLLOWING) + 0.5 * (lag(y, 12) OVER (ORDER BY i) + lead(y, 12) OVER (ORDER BY i))) / 24 END AS trend FROM h),
     p AS (SELECT i % 24 AS phase, avg(y - trend) AS m FROM a GROUP BY 1), s AS (SELECT phase, m - (SELECT avg(m) FROM p) AS seasonal FROM p)
-    SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(trend, 5) AS trend, round(seasonal, 5) + 0.0 AS seasonal, round(y - trend - seasonal, 5) + 0.0 AS resid FROM a JOIN s ON a.i % 24 = s.phase""")
+    SELECT strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(trend + 1e-9, 5) AS trend, round(seasonal + 1e-9, 5) + 0.0 AS seasonal, round(y - trend - seasonal + 1e-9, 5) + 0.0 AS resid FROM a JOIN s ON a.i % 24 = s.phase""")
 def decomposition(t: Tables) -> DataFrame:
     parts = ts.decompose(hourly(t), "value", "bucket", 24)
-    return parts.select(text_time("bucket").alias("bucket"), *[r6(c, 5).alias(c) for c in ("trend", "seasonal", "resid")])
+    return parts.select(text_time("bucket").alias("bucket"), *[r6(F.col(c) + 1e-9, 5).alias(c) for c in ("trend", "seasonal", "resid")])
 
 
 def _acf_sql(top: int) -> str:

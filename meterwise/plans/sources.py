@@ -66,7 +66,7 @@ def catalog_open(t: Tables) -> DataFrame:
 @query(
     "scan_weather_files",
     """SELECT user_id % 10 AS site, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:00') AS hour, round(value, 4) AS temperature_2m,
-    CAST(100 + user_id % 10 AS DOUBLE) AS elevation, round(48 + 0.1 * (user_id % 10), 6) AS latitude FROM events WHERE event_id % 7 <> 0""",
+    CAST(100 + user_id % 10 AS DOUBLE) AS elevation, CAST(48 + 0.1 * (user_id % 10) AS DOUBLE) AS latitude FROM events WHERE event_id % 7 <> 0""",
 )
 def scan_weather_files(t: Tables) -> DataFrame:
     """Many small two-block files, one per day and hour of the events, read back as hourly rows."""

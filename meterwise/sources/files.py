@@ -20,7 +20,7 @@ def parse_weather_blocks(
     readings block and starts ``location_id BIGINT, time STRING``.  Rows without a time go.
     """
     body = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")
-    kept = F.filter(F.transform(body, F.trim), lambda line: line != "")
+    kept = F.filter(F.transform(body, lambda line: F.trim(line)), lambda line: line != "")
     parts = files.select("path", kept.alias("lines"))
     # place of the header that opens the second block (1-based)
     heads = F.filter(
@@ -28,7 +28,7 @@ def parse_weather_blocks(
         lambda i: F.get(F.col("lines"), i - 1).startswith(WEATHER_BLOCK_HEADER),
     )
     parts = parts.withColumn("second", F.element_at(heads, 1))
-    elevation_at = F.array_position(F.transform(F.split(F.get("lines", F.lit(0)), ","), F.trim), "elevation").cast("int")
+    elevation_at = F.array_position(F.transform(F.split(F.get("lines", F.lit(0)), ","), lambda name: F.trim(name)), "elevation").cast("int")
     stations = parts.select(
         "path", elevation_at.alias("__at"), F.explode(F.slice("lines", F.lit(2), F.col("second") - 2)).alias("line")
     ).select(
