@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.operators.joins import semi_join_values
-from meterwise.operators.ranking import cumulative_counts, quantiles
+from meterwise.operators.ranking import cumulative_counts, quantiles, weighted_cumulative
 
 
 def category_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
@@ -178,9 +178,10 @@ def only_top_groups(df: DataFrame, group: str, k: int) -> DataFrame:
 
 
 def running_total(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Cumulative sum over sorted groups; the window sees one row per group (calendar size)."""
-    sums = df.groupBy(group).agg(F.sum(value).alias("total"))
-    return sums.withColumn("running", F.sum("total").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, 0)))
+    """Cumulative sum over sorted groups (text or numbers), by the bucketed running sums."""
+    weighted = df.filter(F.col(group).isNotNull()).select(F.col(group), F.col(value).alias("total"))
+    running = weighted_cumulative(weighted, group, ["total"])
+    return running.select(F.col("value").alias(group), "total", (F.col("below_total") + F.col("total")).alias("running"))
 
 
 def group_apply(df: DataFrame, groups: Sequence[str], **measures: Column) -> DataFrame:

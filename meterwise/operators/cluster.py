@@ -56,6 +56,7 @@ def _euclidean(a: Column, b: Column) -> Column:
 
 def elbow(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 42) -> DataFrame:
     """(k, mean distance to the nearest centre)."""
+    df = durable(df.select(features))
     rows = []
     for k in ks:
         model = kmeans(df, k, features, seed=seed)
@@ -76,7 +77,7 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> float:
 def hierarchical_scan(df: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
     """Divisive clustering for every k: (k, clusters found, silhouette)."""
     scaled = PopulationScaler(columns=list(columns)).fit(df).transform(df)
-    assembled = assemble(scaled, columns, "features").select("features")
+    assembled = durable(assemble(scaled, columns, "features").select("features"))
     evaluator = ClusteringEvaluator(featuresCol="features")
     rows = []
     for k in ks:

@@ -25,9 +25,10 @@ def class_report(df: DataFrame, label: str, prediction: str, segments: Sequence[
     are 0, as in the usual report.
     """
     segments = list(segments)
-    cells = confusion(
-        df.select(*segments, F.col(label).cast("string").alias("__y"), F.col(prediction).cast("string").alias("__p")), "__y", "__p", segments
-    )
+    # predictions are doubles; both sides are named in the type of the label
+    kind = df.schema[label].dataType
+    named = F.col(prediction).cast(kind).cast("string")
+    cells = confusion(df.select(*segments, F.col(label).cast("string").alias("__y"), named.alias("__p")), "__y", "__p", segments)
     sides = cells.select(
         *segments,
         F.explode(

@@ -52,6 +52,7 @@ def penalty_search(
     features: str = "features", expanding: bool = False,
 ) -> DataFrame:
     """Cross-validated grid of lasso / elastic-net penalties: (l1_ratio, alpha, mse, rank)."""
+    df = durable(df.select(label, features, fold))
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # a handful of folds
     rows = []
     for ratio in l1_ratios:
@@ -196,6 +197,7 @@ def bagging_oob(df: DataFrame, label: str, key: str, trees: int = 20, depth: int
     Row weights are Poisson draws fixed by (key, tree), so any task can be rerun; a row votes
     in the trees where its weight is 0.  Votes are checkpointed every ten trees.
     """
+    df = durable(df.select(key, label, features))
     classes = classes or int(df.agg(F.max(label)).first()[0]) + 1
     votes = df.select(key, label, features).withColumn("votes", F.array_repeat(F.lit(0), classes))
     models = []
@@ -218,7 +220,7 @@ def bagging_oob(df: DataFrame, label: str, key: str, trees: int = 20, depth: int
 def adaboost(df: DataFrame, label: str, rounds: int = 20, depth: int = 5, features: str = "features", classes: int | None = None, seed: int = 42) -> dict:
     """Multiclass boosting with exponential reweighting (SAMME) on weighted trees."""
     classes = classes or int(df.agg(F.max(label)).first()[0]) + 1
-    current = df.select("*", F.lit(1.0).alias("__w"))
+    current = durable(df.select("*", F.lit(1.0).alias("__w")))
     models, alphas, errors = [], [], []
     for t in range(rounds):
         model = decision_tree(current, label, depth, weight="__w", features=features, seed=seed + t)
@@ -278,11 +280,12 @@ def out_of_fold(estimator: Estimator, df: DataFrame, key: str, fold: str, output
         model = estimator.fit(df.filter(F.col(fold) != f))
         part = model.transform(df.filter(F.col(fold) == f)).select(key, F.col(column).alias(output))
         parts = part if parts is None else parts.unionByName(part)
-    return parts
+    return durable(parts)
 
 
 def stacking(estimators: Sequence[Estimator], df: DataFrame, label: str, key: str, fold: str) -> dict:
     """Out-of-fold class probabilities of every base learner feed a logistic meta-model."""
+    df = durable(df)
     table = df.select(key, label)
     names = []
     for i, estimator in enumerate(estimators):

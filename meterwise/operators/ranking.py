@@ -26,12 +26,20 @@ def bucket_count(df: DataFrame) -> int:
 def _bounds(df: DataFrame, column: str, buckets: int) -> list:
     if buckets <= 1:
         return []
+    if dict(df.dtypes)[column] == "string":
+        # the values with the lowest hashes are an even sample of the distinct values
+        distinct = df.select(column).filter(F.col(column).isNotNull()).distinct()
+        sample = sorted(r[0] for r in distinct.orderBy(F.xxhash64(column)).limit(8 * buckets).collect())
+        return [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
     shares = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(column, shares, 10_000).alias("b")).first()
     return list(row["b"] or [])
 
 
 def _literal(value) -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
     return f"{value}D" if isinstance(value, float) else f"{value}L"
 
 
@@ -59,6 +67,8 @@ def _numeric(df: DataFrame, column: str) -> Column:
         return F.unix_micros(column)
     if kind == "date":
         return F.unix_date(column).cast("long")
+    if kind == "string":
+        return F.col(column)
     if kind in ("tinyint", "smallint", "int", "bigint"):
         return F.col(column).cast("long")
     return F.col(column).cast("double")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meterwise.operators import evaluate, models, resample, search
 from meterwise.plans.learning import DOC_FEATURES, documents, scaled_documents
 from meterwise.plans.registry import Tables, query, r6
+from meterwise.session import durable
 
 # a fixed score per labelled document; its ties exercise the ranking curves
 SCORED = "s AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, (d.n_chars % 97) / 97.0::DOUBLE AS score, CAST((d.n_chars % 97) / 97.0::DOUBLE >= 0.4 AS INTEGER) AS pred FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
@@ -205,7 +206,7 @@ def threshold_scan(t: Tables) -> DataFrame:
 
 
 def _searched(t: Tables) -> DataFrame:
-    return evaluate.shuffled_folds(models.with_features(scaled_documents(t), DOC_FEATURES), "doc_id", 3).cache()
+    return durable(evaluate.shuffled_folds(models.with_features(scaled_documents(t), DOC_FEATURES), "doc_id", 3))
 
 
 @query("cross_validation")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from meterwise.operators import evaluate, features, models
 from meterwise.operators.neighbors import knn_votes, nearest_neighbors
 from meterwise.plans.registry import Tables, query, r6
+from meterwise.session import durable
 
 
 def vectors(t: Tables) -> DataFrame:
@@ -31,7 +32,7 @@ def documents(t: Tables) -> DataFrame:
         "doc_id", F.col("n_chars").cast("double").alias("n_chars"), words.alias("words"), F.regexp_count(text, F.lit(r"\p{L}{8,}")).cast("double").alias("long_words"),
         F.regexp_count(text, F.lit(r"\d")).cast("double").alias("digits"), lines.alias("lines"), (words / lines).alias("words_per_line"), "source", "lang",
     )
-    return t.labels.join(measured, "doc_id")
+    return durable(t.labels.join(measured, "doc_id"))
 
 
 def scaled_documents(t: Tables) -> DataFrame:

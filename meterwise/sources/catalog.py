@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FORMATS = ("csv", "json", "parquet", "orc")
 
@@ -32,11 +33,24 @@ def read_delimited(
 
 
 def read_json_records(
-    spark: SparkSession, path: str, schema: str | None = None, lines: bool = False, **options
+    spark: SparkSession, path: str, schema: str | None = None, lines: bool = False, strict: bool = True, **options
 ) -> DataFrame:
-    """A JSON array of records per file (or one record per line); malformed input fails."""
+    """A JSON array of records per file (or one record per line); malformed input fails.
+
+    The plain reader stops after the first value of a file, so text behind it would be lost.
+    ``strict`` parses each file as one text and fails unless it is exactly one array; switch it
+    off for files too large for that (2 GB).
+    """
     reader = spark.read.options(multiLine=not lines, mode="FAILFAST", **options)
-    return (reader.schema(schema) if schema else reader).json(path)
+    if lines or not strict:
+        return (reader.schema(schema) if schema else reader).json(path)
+    record = schema or reader.json(path).schema.simpleString()
+    kind = record if record.startswith("struct<") else f"struct<{record}>"
+    whole = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    bracketed = whole.startswith("[") & whole.endswith("]")
+    checked = F.when(bracketed, whole).otherwise(F.raise_error(F.lit("the file is not one JSON array")))
+    parsed = F.from_json(checked, f"array<{kind}>", {"mode": "FAILFAST", **{k: str(v) for k, v in options.items()}})
+    return spark.read.text(path, wholetext=True).select(F.inline(parsed))
 
 
 def load_catalog(path: str) -> dict:

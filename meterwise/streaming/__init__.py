@@ -1,0 +1 @@
+"""Stream entry points of the row-wise operators."""
