@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 from pyspark.ml import Estimator
-from pyspark.ml.classification import Classifier
+from pyspark.ml.classification import Classifier, OneVsRest
 from pyspark.ml.regression import Regressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +19,9 @@ logger = logging.getLogger(__name__)
 
 
 def _kind(estimator) -> str:
-    if isinstance(estimator, Classifier):
+    if isinstance(estimator, (Classifier, OneVsRest)):
         return "f1"
-    if isinstance(estimator, Regressor) or hasattr(estimator, "solver"):
+    if isinstance(estimator, Regressor):
         return "neg_mean_squared_error"
     raise ValueError("the estimator is neither a classifier nor a regressor")
 
