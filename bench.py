@@ -14,7 +14,7 @@ from meterwise.session import get_session  # noqa: E402
 
 HEADLINE = [
     "hourly_holiday_profile",
-    "enrichment_pipeline",
+    "enrichment_chain",
     "vacation_interval_join",
     "weather_join",
     "polygon_join",

@@ -32,7 +32,7 @@ def _bounds(df: DataFrame, column: str, buckets: int) -> list:
         sample = sorted(r[0] for r in distinct.orderBy(F.xxhash64(column)).limit(8 * buckets).collect())
         return [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(column, shares, 10_000).alias("b")).first()
+    row = df.agg(F.percentile_approx(column, shares, max(1_000, 10 * buckets)).alias("b")).first()
     return list(row["b"] or [])
 
 

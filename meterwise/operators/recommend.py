@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ENTITIES_PER_BLOCK = 1_024
-FEATURES_PER_CHUNK = 2_048
+from meterwise.session import durable
+
+ENTITIES_PER_BLOCK = 4_096
+ENTRIES_PER_CELL = 200_000
 
 
 def rating_triples(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -22,67 +24,114 @@ def _norms(triples: DataFrame, entity: str, value: str) -> DataFrame:
     return triples.groupBy(entity).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("norm"))
 
 
-def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, symmetric: bool = True) -> DataFrame:
-    """(a, b, similarity) of all entity pairs that share a feature.
+def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top: int | None = None) -> DataFrame:
+    """(a, b, similarity) of all entity pairs that share a feature, in both directions.
 
     A blocked product: entities are cut into blocks and features into chunks, each task adds
     up one block × block tile over one chunk in place, and tiles are summed by pair.  No rows
     are paired inside a feature group, so a feature shared by everyone costs no more than its
-    tile.  Entity ids are numbers.
+    tile.  Entity ids are numbers.  With ``top`` a tile may leave out partners that cannot be
+    among the ``top`` best of an entity, because the tile itself holds that many better ones.
     """
     base = triples.select(
         F.col(entity).cast("long").alias("e"), F.col(feature).cast("long").alias("f"), F.col(value).cast("double").alias("v")
     ).filter("v <> 0")
-    sizes = base.agg(F.approx_count_distinct("e").alias("e"), F.approx_count_distinct("f").alias("f")).first()
+    base = durable(base)  # read three times below
+    sizes = base.agg(
+        F.approx_count_distinct("e").alias("e"), F.approx_count_distinct("f").alias("f"), F.count(F.lit(1)).alias("n")
+    ).first()
+    # few blocks keep the copies low; chunks then bound the rows of a tile
     blocks = max(1, math.ceil(sizes["e"] * 1.1 / ENTITIES_PER_BLOCK))
-    chunks = max(1, math.ceil(sizes["f"] * 1.1 / FEATURES_PER_CHUNK))
+    chunks = max(1, min(sizes["f"], math.ceil(sizes["n"] / (ENTRIES_PER_CELL * blocks))))
     norms = _norms(base, "e", "v")
     unit = base.join(norms, "e").select("e", "f", (F.col("v") / F.col("norm")).alias("v"))
     placed = unit.select(
         "e", "f", "v", F.pmod(F.xxhash64("e"), F.lit(blocks)).cast("int").alias("b"), F.pmod(F.xxhash64("f"), F.lit(chunks)).cast("int").alias("chunk")
     )
-    # every triple goes once to each tile of its block row and block column
+    # every entry goes once to each tile of its block row and block column
     tiles = F.transform(
         F.sequence(F.lit(0), F.lit(blocks - 1)),
         lambda other: F.struct(F.least("b", other).alias("i"), F.greatest("b", other).alias("j")),
     )
     spread = placed.withColumn("tile", F.explode(tiles)).select("chunk", "tile.i", "tile.j", "b", "e", "f", "v")
 
+    keep = top if chunks == 1 else None
+
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        left, right = pdf[pdf["b"] == i], pdf[pdf["b"] == j]
-        le, lx = np.unique(left["e"].to_numpy(), return_inverse=True)
-        re_, rx = np.unique(right["e"].to_numpy(), return_inverse=True)
-        _, features = np.unique(pdf["f"].to_numpy(), return_inverse=True)
-        lf, rf = features[(pdf["b"] == i).to_numpy()], features[(pdf["b"] == j).to_numpy()]
-        lv, rv = left["v"].to_numpy(), right["v"].to_numpy()
-        count = features.max() + 1 if len(features) else 0
-        a, b = np.zeros((len(le), 0)), np.zeros((len(re_), 0))
-        total = np.zeros((len(le), len(re_)))
-        # dense slices of the sparse tile: bounded by block size × slice width
-        for start in range(0, count, 1024):
-            width = min(1024, count - start)
-            a, b = np.zeros((len(le), width)), np.zeros((len(re_), width))
-            inside_l, inside_r = (lf >= start) & (lf < start + width), (rf >= start) & (rf < start + width)
-            a[lx[inside_l], lf[inside_l] - start] = lv[inside_l]
-            b[rx[inside_r], rf[inside_r] - start] = rv[inside_r]
-            total += a @ b.T
-        x, y = np.nonzero(total)
-        first, second, dots = le[x], re_[y], total[x, y]
+        block, value = pdf["b"].to_numpy(), pdf["v"].to_numpy()
+        ids, features = np.unique(pdf["f"].to_numpy(), return_inverse=True)
+        left, right = block == i, block == j
+        rows, lx = np.unique(pdf["e"].to_numpy()[left], return_inverse=True)
+        cols, rx = np.unique(pdf["e"].to_numpy()[right], return_inverse=True)
+        total = _tile_product(
+            (lx, features[left], value[left], len(rows)), (rx, features[right], value[right], len(cols)), len(ids)
+        )
         if i == j:
-            keep = first < second
-            first, second, dots = first[keep], second[keep], dots[keep]
-        swap = first > second
-        return pd.DataFrame({"a": np.where(swap, second, first), "b": np.where(swap, first, second), "dot": dots})
+            np.fill_diagonal(total, 0.0)
+            return _tile_pairs(rows, cols, total, keep)
+        return pd.concat([_tile_pairs(rows, cols, total, keep), _tile_pairs(cols, rows, total.T, keep)])
 
+    # one task per tile and chunk, even when the shuffle would merge them
+    spread = spread.repartition(min(blocks * (blocks + 1) // 2 * chunks, 100_000), "chunk", "i", "j")
     partial = spread.groupBy("chunk", "i", "j").applyInPandas(tile, "a long, b long, dot double")
     pairs = partial if chunks == 1 else partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    pairs = pairs.select("a", "b", F.col("dot").alias("similarity"))
-    if not symmetric:
-        return pairs
-    return pairs.select("a", "b", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), "similarity").select(
-        "p.a", "p.b", "similarity"
-    )
+    return pairs.select("a", "b", F.col("dot").alias("similarity"))
+
+
+def _tile_pairs(rows: np.ndarray, cols: np.ndarray, total: np.ndarray, top: int | None) -> pd.DataFrame:
+    """Non-zero cells as (a, b, dot); at most ``top`` per row, by similarity and then id."""
+    x, y = np.nonzero(total)
+    dots = total[x, y]
+    if top is not None:
+        order = np.lexsort((cols[y], -np.round(dots, 12), x))
+        x, y, dots = x[order], y[order], dots[order]
+        first = np.searchsorted(x, x)
+        best = np.arange(len(x)) - first < top
+        x, y, dots = x[best], y[best], dots[best]
+    return pd.DataFrame({"a": rows[x], "b": cols[y], "dot": dots})
+
+
+def _tile_product(left: tuple, right: tuple, features: int) -> np.ndarray:
+    """Product of two sparse blocks (row, feature, value, rows) into one dense tile.
+
+    Matching entries are expanded in slices of bounded size; where the blocks are dense
+    enough, slices of features are multiplied as dense matrices instead.
+    """
+    lx, lf, lv, n_rows = left
+    rx, rf, rv, n_cols = right
+    total = np.zeros((n_rows, n_cols))
+    order = np.argsort(rf, kind="stable")
+    rx, rf, rv = rx[order], rf[order], rv[order]
+    count = np.bincount(rf, minlength=features)
+    start = np.concatenate([[0], np.cumsum(count)[:-1]])
+    matches = count[lf]
+    if matches.sum() * 50 > n_rows * n_cols * features:
+        for low in range(0, features, 512):
+            width = min(512, features - low)
+            a, b = np.zeros((n_rows, width)), np.zeros((n_cols, width))
+            use = (lf >= low) & (lf < low + width)
+            a[lx[use], lf[use] - low] = lv[use]
+            use = (rf >= low) & (rf < low + width)
+            b[rx[use], rf[use] - low] = rv[use]
+            total += a @ b.T
+        return total
+    flat = total.reshape(-1)
+    ends = np.cumsum(matches)
+    low = 0
+    while low < len(lx):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + 2_000_000, side="right")))
+        m = matches[low:high]
+        entry = np.repeat(np.arange(low, high), m)
+        partner = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + start[lf[entry]]
+        np.add.at(flat, lx[entry] * n_cols + rx[partner], lv[entry] * rv[partner])
+        low = high
+    return total
+
+
+def nearest_entities(triples: DataFrame, entity: str, feature: str, value: str, k: int) -> DataFrame:
+    """(a, b, similarity, rank): the k most similar partners of every entity."""
+    return most_similar(cosine_pairs(triples, entity, feature, value, top=k), k)
 
 
 def most_similar(pairs: DataFrame, k: int) -> DataFrame:
@@ -123,7 +172,7 @@ def predict_from_items(
 
     ``pairs`` may hold other similarities, for example from reduced factors.
     """
-    pairs = cosine_pairs(triples, item, user, rating) if pairs is None else pairs
+    pairs = cosine_pairs(triples, item, user, rating, top=k) if pairs is None else pairs
     mine = triples.filter((F.col(user) == F.lit(chosen)) & (F.col(rating) != 0)).select(
         F.col(item).alias("b"), F.col(rating).alias("__r")
     )
@@ -134,10 +183,10 @@ def predict_from_items(
     return scored
 
 
-def factor_similarities(factors: DataFrame, entity: str, dims: int) -> DataFrame:
+def factor_similarities(factors: DataFrame, entity: str, dims: int, top: int | None = None) -> DataFrame:
     """Cosine similarities of dense factor vectors, through the same blocked product."""
     long = factors.select(entity, F.posexplode("factors").alias("dim", "value")).filter(F.col("dim") < dims)
-    return cosine_pairs(long, entity, "dim", "value")
+    return cosine_pairs(long, entity, "dim", "value", top)
 
 
 def liked_items(df: DataFrame, user: str, item: str, rating: str, chosen, limit: float = 4) -> DataFrame:

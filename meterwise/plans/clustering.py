@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.operators import cluster
-from meterwise.plans.registry import Tables, query
+from meterwise.plans.registry import Tables, query, r6
 
 
 def sites(t: Tables) -> DataFrame:
@@ -34,10 +34,18 @@ def hierarchical_scan(t: Tables) -> DataFrame:
     return cluster.hierarchical_scan(parts(t), ["size", "price"], [2, 4, 8, 14])
 
 
-@query("silhouette")
+@query(
+    "silhouette",
+    """WITH s AS (SELECT stddev_pop(p_size) AS a, stddev_pop(p_retailprice / 20) AS b, avg(p_size) AS ma, avg(p_retailprice / 20) AS mb FROM part),
+    p AS (SELECT p_partkey, CAST(p_size > 25 AS INTEGER) AS c, (p_size - ma) / a AS x, (p_retailprice / 20 - mb) / b AS y FROM part, s),
+    g AS (SELECT c AS g, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(x * x + y * y) AS q FROM p GROUP BY 1),
+    d AS (SELECT p.p_partkey, p.c = g.g AS own, (p.x * p.x + p.y * p.y - 2 * (p.x * g.mx + p.y * g.my) + g.q) * CASE WHEN p.c = g.g THEN g.n / (g.n - 1.0) ELSE 1 END AS d FROM p, g),
+    w AS (SELECT p_partkey, min(d) FILTER (WHERE own) AS a, min(d) FILTER (WHERE NOT own) AS b FROM d GROUP BY 1) SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM w""",
+)
 def silhouette(t: Tables) -> DataFrame:
     labelled = parts(t).withColumn("cluster", (F.col("size") > 25).cast("int"))
-    return t.literal([(cluster.silhouette(labelled, ["size", "price"], "cluster"),)], "silhouette double")
+    found = t.literal([(cluster.silhouette(labelled, ["size", "price"], "cluster"),)], "silhouette double")
+    return found.select(r6("silhouette").alias("silhouette"))
 
 
 @query("mean_shift")

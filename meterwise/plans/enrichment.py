@@ -299,7 +299,7 @@ def dated_features(t: Tables) -> DataFrame:
 
 
 @query(
-    "enrichment_pipeline",
+    "enrichment_chain",
     f"""WITH h(country, d) AS (VALUES {HOLIDAY_VALUES}), e AS (SELECT event_id, {LOCAL} AS l, CAST(floor(value) AS BIGINT) % 100 AS code FROM events)
     SELECT event_id, hour(l) AS ts_hour, CAST(CASE WHEN CAST(l AS DATE) IN (SELECT d FROM h WHERE country = 'metropole') THEN 1 ELSE 0 END AS INTEGER) AS jour_ferie,
       CASE WHEN code BETWEEN 0 AND 3 THEN 'cloud_variation' WHEN code = 4 THEN 'smoke_or_pollution' WHEN code = 5 THEN 'dry_haze'
@@ -309,7 +309,7 @@ def dated_features(t: Tables) -> DataFrame:
        WHEN code BETWEEN 60 AND 69 THEN 'rain_snow_combination' WHEN code BETWEEN 70 AND 79 THEN 'snow_or_sleet' WHEN code BETWEEN 80 AND 89 THEN 'showers_or_small_hail'
        WHEN code BETWEEN 90 AND 99 THEN 'thunderstorm_or_hail' ELSE 'unknown' END AS code_category FROM e""",
 )
-def enrichment_pipeline(t: Tables) -> DataFrame:
+def enrichment_chain(t: Tables) -> DataFrame:
     """The row-wise steps as one ML pipeline over the fact table."""
     from pyspark.ml import Pipeline
 

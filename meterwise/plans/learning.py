@@ -71,6 +71,31 @@ def linear_regression_many(t: Tables) -> DataFrame:
     return models.coefficient_table(model, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], t.lineitem)
 
 
+@query(
+    "linear_regression_two",
+    """WITH m AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice * (1 - l_discount) AS y FROM lineitem),
+    s AS (SELECT var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab, covar_pop(a, y) AS say, covar_pop(b, y) AS sby, avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM m),
+    k AS (SELECT (sbb * say - sab * sby) / (saa * sbb - sab * sab) AS x, (saa * sby - sab * say) / (saa * sbb - sab * sab) AS z, * FROM s)
+    SELECT 'l_quantity' AS term, round(x, 4) AS coefficient FROM k UNION ALL SELECT 'l_discount', round(z, 4) FROM k UNION ALL SELECT 'Intercept', round(my - x * ma - z * mb, 4) FROM k""",
+)
+def linear_regression_two(t: Tables) -> DataFrame:
+    base = t.lineitem.select("l_quantity", "l_discount", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
+    model = models.linear_regression(models.with_features(base, ["l_quantity", "l_discount"]), "net")
+    return models.coefficient_table(model, ["l_quantity", "l_discount"], t.lineitem).withColumn("coefficient", r6("coefficient", 4))
+
+
+@query(
+    "ridge_one_feature",
+    """WITH s AS (SELECT covar_pop(l_quantity, l_extendedprice) * count(*) AS sxy, var_pop(l_quantity) * count(*) AS sxx, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM lineitem)
+    SELECT a.alpha, round(sxy / (sxx + a.alpha), 6) AS coefficient, round(my - sxy / (sxx + a.alpha) * mx, 4) AS intercept FROM s, (VALUES (0.001::DOUBLE), (1::DOUBLE), (10000::DOUBLE)) a(alpha)""",
+)
+def ridge_one_feature(t: Tables) -> DataFrame:
+    from meterwise.operators.selection import ridge_path as path
+
+    found = path(t.lineitem, ["l_quantity"], "l_extendedprice", [0.001, 1.0, 10000.0])
+    return found.select("alpha", r6(F.col("coefficients")[0]).alias("coefficient"), r6("intercept", 4).alias("intercept"))
+
+
 @query("ridge_path")
 def ridge_path(t: Tables) -> DataFrame:
     from meterwise.operators.selection import ridge_path as path

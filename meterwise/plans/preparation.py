@@ -87,8 +87,8 @@ def imputers(t: Tables) -> DataFrame:
     return Pipeline(stages=stages).fit(holes).transform(holes).withColumn("price", r6("price"))
 
 
-@query("feature_pipeline")
-def feature_pipeline(t: Tables) -> DataFrame:
+@query("feature_chain")
+def feature_chain(t: Tables) -> DataFrame:
     """Imputing, scaling, encoding and a classifier as one pipeline."""
     from pyspark.ml.classification import LogisticRegression
 
@@ -163,6 +163,18 @@ def principal_scores(t: Tables) -> DataFrame:
     return scores.agg(F.count(F.lit(1)).alias("n"), r6(F.avg(F.col("scores")[0])).alias("mean_0"), r6(F.avg(F.col("scores")[1])).alias("mean_1"))
 
 
+@query(
+    "principal_shares_of_two",
+    """SELECT CAST(0 AS INTEGER) AS component, round((1 + abs(corr(l_quantity, l_extendedprice))) / 2, 8) AS ratio FROM lineitem
+    UNION ALL SELECT 1, round((1 - abs(corr(l_quantity, l_extendedprice))) / 2, 8) FROM lineitem""",
+)
+def principal_shares_of_two(t: Tables) -> DataFrame:
+    """Two scaled columns explain (1 ± |r|) / 2 of their variance."""
+    pair = ["l_quantity", "l_extendedprice"]
+    scaled = features.PopulationScaler(columns=pair).fit(t.lineitem).transform(t.lineitem)
+    return features.pca(scaled, pair, 2)["explained"].select("component", r6("ratio", 8).alias("ratio"))
+
+
 @query("truncated_svd")
 def truncated_svd(t: Tables) -> DataFrame:
     triples = t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q"))
@@ -185,9 +197,22 @@ def k_best_regression(t: Tables) -> DataFrame:
     return selection.k_best(scores, "f", 3).select("feature", r6("f", 4).alias("f"))
 
 
-@query("k_best_information")
+def _information_sql() -> str:
+    shares = "[" + ", ".join(str(i / 16) for i in range(1, 16)) + "]"
+    columns = [*NUMBERS, "charge"]
+    base = "b AS (SELECT *, l_extendedprice * (1 - l_discount) AS net, l_extendedprice * (1 - l_discount) * (1 + l_tax) + 100 * l_quantity AS charge FROM lineitem)"
+    edges = ", ".join(f"list_distinct(quantile_cont(CAST({c} AS DOUBLE), {shares})) AS e_{c}" for c in columns)
+    codes = ", ".join(f"len(list_filter(e_{c}, lambda x: {c} > x)) AS {c}" for c in columns)
+    joint = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, charge AS y, count(*) AS n FROM c GROUP BY 2, 3" for c in NUMBERS)
+    return f"""WITH {base}, q AS (SELECT {edges} FROM b), c AS (SELECT {codes} FROM b, q), j AS ({joint}),
+    p AS (SELECT feature, n, CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS t, CAST(sum(n) OVER (PARTITION BY feature, x) AS DOUBLE) AS nx, CAST(sum(n) OVER (PARTITION BY feature, y) AS DOUBLE) AS ny FROM j)
+    SELECT feature, round(sum(n / t * ln(n * t / (nx * ny))), 6) AS mutual_information FROM p GROUP BY 1 ORDER BY 2 DESC LIMIT 3"""
+
+
+@query("k_best_information", _information_sql())
 def k_best_information(t: Tables) -> DataFrame:
-    return selection.k_best(selection.mutual_information(_numbers(t), NUMBERS, "charge"), "mutual_information", 3)
+    best = selection.k_best(selection.mutual_information(_numbers(t), NUMBERS, "charge"), "mutual_information", 3)
+    return best.select("feature", r6("mutual_information").alias("mutual_information"))
 
 
 @query("recursive_elimination")

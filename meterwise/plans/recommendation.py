@@ -32,14 +32,12 @@ def _pairs_sql(entity: str, feature: str) -> str:
 
 @query("similar_users", _pairs_sql("u", "i"))
 def similar_users(t: Tables) -> DataFrame:
-    pairs = recommend.cosine_pairs(triples(t), "u", "i", "r")
-    return recommend.most_similar(pairs, 3).withColumn("similarity", r6("similarity"))
+    return recommend.nearest_entities(triples(t), "u", "i", "r", 3).withColumn("similarity", r6("similarity"))
 
 
 @query("similar_items", _pairs_sql("i", "u"))
 def similar_items(t: Tables) -> DataFrame:
-    pairs = recommend.cosine_pairs(triples(t), "i", "u", "r")
-    return recommend.most_similar(pairs, 3).withColumn("similarity", r6("similarity"))
+    return recommend.nearest_entities(triples(t), "i", "u", "r", 3).withColumn("similarity", r6("similarity"))
 
 
 @query(
@@ -69,7 +67,7 @@ def predict_from_factors(t: Tables) -> DataFrame:
     """Item neighbours in the space of 12 singular vectors."""
     table = triples(t)
     factors = features.truncated_svd(table, "i", "u", "r", 12)["row_factors"]
-    pairs = recommend.factor_similarities(factors, "i", 12)
+    pairs = recommend.factor_similarities(factors, "i", 12, top=3)
     return recommend.predict_from_items(table, "u", "i", "r", USER, 3, pairs)
 
 

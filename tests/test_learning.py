@@ -57,7 +57,7 @@ def test_votes_prefer_the_lowest_label(spark):
 
 def test_cosine_pairs_match_numpy(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 7)
-    monkeypatch.setattr(recommend, "FEATURES_PER_CHUNK", 5)
+    monkeypatch.setattr(recommend, "ENTRIES_PER_CELL", 20)
     rng = np.random.default_rng(4)
     m = rng.integers(0, 6, size=(30, 20)) * (rng.random((30, 20)) < 0.4)
     m[:, 0] = 3  # a feature every entity has
