@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from meterwise.operators.clean import is_missing, modes, numeric_columns, other_columns
 from meterwise.operators.ranking import quantiles, unpivot_numeric
+from meterwise.session import durable
 
 
 def _as_text(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -85,8 +86,9 @@ def duplicate_groups(df: DataFrame, key: str, subset: Sequence[str] | None = Non
     """Rows of repeated groups as (group_key, group_rows, key), one row per member.
 
     ``group_key`` is the smallest key of the group.  Members stay separate rows, so a group
-    of any size is never gathered into one array; the heaviest groups (each above 1/1000 of
-    the rows, hence fewer than 1000) join by broadcast and the rest by shuffle.
+    of any size is never gathered into one array.  Groups above 1/1000 of the rows (fewer than
+    1000 of them, hence safe to broadcast) are salted: their side is copied once per salt and
+    their members spread over the salts.
     """
     columns = list(subset or [c for c in df.columns if c != key])
     # length-prefixed rendering: equal text only for equal rows, NULL apart from any value
@@ -95,19 +97,20 @@ def duplicate_groups(df: DataFrame, key: str, subset: Sequence[str] | None = Non
         text = F.to_json(F.struct(F.col(c).alias("v")))
         parts.append(F.concat(F.length(text).cast("string"), F.lit(":"), text))
     marked = df.select(F.col(key), F.sha2(F.concat(*parts), 256).alias("__row"))
-    groups = (
+    groups = durable(
         marked.groupBy("__row")
         .agg(F.count(F.lit(1)).alias("group_rows"), F.min(key).alias("group_key"))
         .filter("group_rows > 1")
     )
-    rows = df.agg(F.count(F.lit(1)).alias("n"))
-    limit = F.greatest(F.lit(1.0), rows.scalar() / 1000)
-    heavy = F.broadcast(groups.filter(F.col("group_rows") > limit))
-    light = groups.filter(F.col("group_rows") <= limit)
-    members = marked.join(heavy, "__row").unionByName(
-        marked.join(heavy, "__row", "left_anti").join(light, "__row")
+    limit = max(1.0, df.count() / 1000)
+    salted = groups.withColumn("__salts", F.ceil(F.col("group_rows") / limit).cast("int"))
+    heavy = F.broadcast(salted.filter("__salts > 1").select("__row", "__salts"))
+    salt = F.pmod(F.xxhash64(key), F.coalesce("__salts", F.lit(1))).cast("int")
+    members = marked.join(heavy, "__row", "left").select(key, "__row", salt.alias("__salt"))
+    copies = salted.select(
+        "__row", "group_rows", "group_key", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1)).alias("__salt")
     )
-    return members.select("group_key", "group_rows", key)
+    return members.join(copies, ["__row", "__salt"]).select("group_key", "group_rows", key)
 
 
 def variable_info(df: DataFrame, columns: Sequence[str] | None = None, max_values: int = 10) -> DataFrame:

@@ -43,8 +43,8 @@ def _literal(value) -> str:
     return f"{value}D" if isinstance(value, float) else f"{value}L"
 
 
-def _bucket_column(column: str, bounds: list) -> Column:
-    """Binary search over the bounds as one nested CASE (stays in generated code)."""
+def bucket_column(column: str, bounds: list) -> Column:
+    """Number of bounds below the value: binary search as one nested CASE (generated code)."""
     cuts = sorted(set(bounds))
 
     def search(low: int, high: int) -> str:
@@ -86,7 +86,7 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) ->
     counts = (
         base.groupBy(*groups, "value")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket_column("value", bounds))
+        .withColumn("bucket", bucket_column("value", bounds))
     )
     return _accumulate(counts, groups, "value", F.col("n"))
 
@@ -120,7 +120,7 @@ def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], group
     sums = (
         base.groupBy(*groups, "value")
         .agg(*[F.sum(w).alias(w) for w in weights])
-        .withColumn("bucket", _bucket_column("value", bounds))
+        .withColumn("bucket", bucket_column("value", bounds))
     )
     totals = sums.groupBy(*groups, "bucket").agg(*[F.sum(w).alias(f"b_{w}") for w in weights])
     by_group = Window.partitionBy(*groups)
@@ -190,8 +190,8 @@ def row_numbers(
     if hot and order != tie:
         is_hot = F.col("__o").isin(hot)
         inner = _bounds(slim.filter(is_hot), "__t", buckets)
-        sub = F.when(is_hot, 1 + _bucket_column("__t", inner)).otherwise(0)
-    keyed = keyed.withColumn("bucket", _bucket_column("__o", bounds) * 2 * (MAX_BUCKETS + 1) + sub)
+        sub = F.when(is_hot, 1 + bucket_column("__t", inner)).otherwise(0)
+    keyed = keyed.withColumn("bucket", bucket_column("__o", bounds) * 2 * (MAX_BUCKETS + 1) + sub)
     totals = keyed.groupBy(*groups, "bucket").agg(F.count(F.lit(1)).alias("bucket_n"))
     by_group = Window.partitionBy(*groups)
     offsets = totals.select(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.functions.special import f_sf
-from meterwise.operators.ranking import quantiles, unpivot_numeric
+from meterwise.operators.ranking import bucket_column, quantiles, unpivot_numeric
 
 MAX_GRAM_COLUMNS = 2_000
 
@@ -189,15 +189,8 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
         for r in quantiles(unpivot_numeric(df, columns), "value", shares, ["column"]).collect()
     }
 
-    def binned(c: str):
-        value = F.col(c).cast("double")
-        total = F.lit(0)
-        for edge in cuts[c]:
-            total = total + (value > F.lit(edge)).cast("int")
-        return total
-
     coded = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    coded = coded.select(*[binned(c).alias(c) for c in columns])
+    coded = coded.select(*[bucket_column(c, cuts[c]).alias(c) for c in columns])
     joint = coded.unpivot([target], list(features), "feature", "x").groupBy("feature", "x", target).agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -23,11 +23,17 @@ def _by(series: Sequence[str], order: str):
     return Window.partitionBy(*series).orderBy(order)
 
 
-def _fill_spine(sums: DataFrame, series: list[str], bucket: str, step: str) -> DataFrame:
-    """Left join the observed buckets onto each series' full range of buckets."""
-    span = sums.groupBy(*series).agg(F.min(bucket).alias("a"), F.max(bucket).alias("b"))
-    spine = span.select(*series, F.explode(F.sequence("a", "b", F.expr(step))).alias(bucket))
-    return null_safe_join(spine, sums, [*series, bucket], "left", never_null=[bucket])
+def _fill_gaps(sums: DataFrame, series: list[str], bucket: str, value: str, step: str) -> DataFrame:
+    """Add the missing buckets between observed ones, with a NULL value.
+
+    Each observed row spans the buckets up to the next one, so the readings are scanned once
+    and nothing is joined.
+    """
+    following = F.lead(bucket).over(_by(series, bucket))
+    last = F.coalesce(following - F.expr(step), F.col(bucket))
+    spans = sums.withColumn("__last", last.cast(sums.schema[bucket].dataType))
+    filled = spans.withColumn("__b", F.explode(F.sequence(F.col(bucket), F.col("__last"), F.expr(step))))
+    return filled.select(*series, F.col("__b").alias(bucket), F.when(F.col("__b") == F.col(bucket), F.col(value)).alias(value))
 
 
 def resample_hours(df: DataFrame, instant: str, value: str, series: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +41,7 @@ def resample_hours(df: DataFrame, instant: str, value: str, series: Sequence[str
     series = list(series)
     sums = df.groupBy(*series, hour_bucket(as_instant(df, instant)).alias("bucket")).agg(F.sum(value).alias(value))
     sums = sums.filter("bucket IS NOT NULL")
-    return _fill_spine(sums, series, "bucket", "INTERVAL 1 HOUR").fillna(0, [value])
+    return _fill_gaps(sums, series, "bucket", value, "INTERVAL 1 HOUR").fillna(0, [value])
 
 
 def resample_days(
@@ -45,7 +51,7 @@ def resample_days(
     series = list(series)
     day = F.to_date(wall_clock(as_instant(df, instant), zone))
     sums = df.groupBy(*series, day.alias("bucket")).agg(F.sum(value).alias(value)).filter("bucket IS NOT NULL")
-    return _fill_spine(sums, series, "bucket", "INTERVAL 1 DAY").fillna(0, [value])
+    return _fill_gaps(sums, series, "bucket", value, "INTERVAL 1 DAY").fillna(0, [value])
 
 
 def resample_weeks(
@@ -55,7 +61,7 @@ def resample_weeks(
     series = list(series)
     week = week_ending_sunday(F.to_date(wall_clock(as_instant(df, instant), zone)))
     means = df.groupBy(*series, week.alias("bucket")).agg(F.avg(value).alias(value)).filter("bucket IS NOT NULL")
-    return _fill_spine(means, series, "bucket", "INTERVAL 7 DAY")
+    return _fill_gaps(means, series, "bucket", value, "INTERVAL 7 DAY")
 
 
 def period_sums(
