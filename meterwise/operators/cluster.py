@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterwise.operators.features import PopulationScaler
 from meterwise.operators.neighbors import nearest_neighbors
-from meterwise.session import durable
+from meterwise.session import durable, run_jobs
 
 
 def weighted_sites(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -57,12 +58,14 @@ def _euclidean(a: Column, b: Column) -> Column:
 def elbow(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 42) -> DataFrame:
     """(k, mean distance to the nearest centre)."""
     df = durable(df.select(features))
-    rows = []
-    for k in ks:
+
+    def distortion(k: int) -> tuple:
         model = kmeans(df, k, features, seed=seed)
         point = vector_to_array(F.col(features))
         scored = model.transform(df).select(_euclidean(point, _center_of(F.col("prediction"), model.clusterCenters())).alias("d"))
-        rows.append((k, scored.agg(F.avg("d")).first()[0]))
+        return k, scored.agg(F.avg("d")).first()[0]
+
+    rows = run_jobs(df.sparkSession, [partial(distortion, k) for k in ks])
     return df.sparkSession.createDataFrame(rows, "k int, distortion double")
 
 
@@ -79,12 +82,14 @@ def hierarchical_scan(df: DataFrame, columns: Sequence[str], ks: Sequence[int],
     scaled = PopulationScaler(columns=list(columns)).fit(df).transform(df)
     assembled = durable(assemble(scaled, columns, "features").select("features"))
     evaluator = ClusteringEvaluator(featuresCol="features")
-    rows = []
-    for k in ks:
+
+    def scan(k: int) -> tuple:
         model = BisectingKMeans(k=k, seed=seed).fit(assembled)
         labelled = model.transform(assembled)
         found = len(model.clusterCenters())
-        rows.append((k, found, evaluator.evaluate(labelled) if found > 1 else None))
+        return k, found, evaluator.evaluate(labelled) if found > 1 else None
+
+    rows = run_jobs(df.sparkSession, [partial(scan, k) for k in ks])
     return df.sparkSession.createDataFrame(rows, "k int, clusters int, silhouette double")
 
 

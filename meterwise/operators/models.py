@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.operators.features import hash_unit
-from meterwise.session import durable
+from meterwise.session import durable, run_jobs
 
 
 def with_features(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -54,15 +55,19 @@ def penalty_search(
     """Cross-validated grid of lasso / elastic-net penalties: (l1_ratio, alpha, mse, rank)."""
     df = durable(df.select(label, features, fold))
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # a handful of folds
-    rows = []
-    for ratio in l1_ratios:
-        for alpha in alphas:
-            errors = []
-            for f in folds[1:] if expanding else folds:
-                train = df.filter(F.col(fold) < f) if expanding else df.filter(F.col(fold) != f)
-                scored = linear_regression(train, label, alpha, ratio, features).transform(df.filter(F.col(fold) == f))
-                errors.append(scored.agg(F.avg((F.col(label) - F.col("prediction")) ** 2)).first()[0])
-            rows.append((float(ratio), float(alpha), float(np.mean(errors))))
+
+    def error(ratio: float, alpha: float, f) -> float:
+        train = df.filter(F.col(fold) < f) if expanding else df.filter(F.col(fold) != f)
+        scored = linear_regression(train, label, alpha, ratio, features).transform(df.filter(F.col(fold) == f))
+        return scored.agg(F.avg((F.col(label) - F.col("prediction")) ** 2)).first()[0]
+
+    held = folds[1:] if expanding else folds
+    grid = [(ratio, alpha) for ratio in l1_ratios for alpha in alphas]
+    errors = run_jobs(df.sparkSession, [partial(error, *point, f) for point in grid for f in held])
+    rows = [
+        (float(ratio), float(alpha), float(np.mean(errors[i * len(held) : (i + 1) * len(held)])))
+        for i, (ratio, alpha) in enumerate(grid)
+    ]
     ordered = sorted(rows, key=lambda r: r[2])
     ranked = [(*r, 1 + ordered.index(r)) for r in rows]
     return df.sparkSession.createDataFrame(ranked, "l1_ratio double, alpha double, mse double, rank int")
@@ -275,9 +280,9 @@ def hard_vote(predictions: Sequence[DataFrame], key: str) -> DataFrame:
 def out_of_fold(estimator: Estimator, df: DataFrame, key: str, fold: str, output: str = "prediction", column: str = "prediction") -> DataFrame:
     """(key, output) predicted by the model that did not see the row's fold."""
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # a handful of folds
+    fitted = run_jobs(df.sparkSession, [partial(estimator.fit, df.filter(F.col(fold) != f)) for f in folds])
     parts = None
-    for f in folds:
-        model = estimator.fit(df.filter(F.col(fold) != f))
+    for f, model in zip(folds, fitted):
         part = model.transform(df.filter(F.col(fold) == f)).select(key, F.col(column).alias(output))
         parts = part if parts is None else parts.unionByName(part)
     return durable(parts)

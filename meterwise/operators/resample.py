@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.ml import Estimator
 from pyspark.ml.feature import VectorAssembler
@@ -14,7 +15,7 @@ from meterwise.operators.features import hash_unit
 from meterwise.operators.models import positive_probability
 from meterwise.operators.neighbors import nearest_neighbors
 from meterwise.operators.ranking import row_numbers
-from meterwise.session import durable
+from meterwise.session import durable, run_jobs
 
 MAX_CLASSES = 10_000
 
@@ -131,14 +132,17 @@ def cross_validate_resampling(
     The estimator reads ``features`` and the label column.
     """
     base = _prepare(df, label, key, features, folds)
-    rows = []
-    for name, resample in _resamplers(label, key, features, seed, smote_k=3).items():
-        scores = []
-        for f in range(folds):
-            assembler, model = _fit(estimator, durable(resample(base.filter(F.col("fold") != f).drop("fold"))), features)
-            scored = model.transform(assembler.transform(base.filter(F.col("fold") == f)))
-            scores.append(_f1(scored, label, F.col("prediction") == 1))
-        rows += [(name, f, s, sum(scores) / folds) for f, s in enumerate(scores)]
+    resamplers = _resamplers(label, key, features, seed, smote_k=3)
+
+    def one(name: str, f: int) -> float:
+        train = durable(resamplers[name](base.filter(F.col("fold") != f).drop("fold")))
+        assembler, model = _fit(estimator, train, features)
+        scored = model.transform(assembler.transform(base.filter(F.col("fold") == f)))
+        return _f1(scored, label, F.col("prediction") == 1)
+
+    runs = [(name, f) for name in resamplers for f in range(folds)]
+    scores = dict(zip(runs, run_jobs(df.sparkSession, [partial(one, *run) for run in runs])))
+    rows = [(name, f, s, sum(scores[name, g] for g in range(folds)) / folds) for (name, f), s in scores.items()]
     return df.sparkSession.createDataFrame(rows, "resampler string, fold int, f1 double, mean_f1 double")
 
 
@@ -186,16 +190,22 @@ def cross_validate_threshold(
     threshold on ties)."""
     thresholds = [i / 100 for i in range(100)] if thresholds is None else list(thresholds)
     base = _prepare(df, label, key, features, folds)
-    rows = []
-    for name, resample in _resamplers(label, key, features, seed, smote_k=None).items():
-        found = []
-        for f in range(folds):
-            assembler, model = _fit(estimator, durable(resample(base.filter(F.col("fold") != f).drop("fold"))), features)
-            scored = positive_probability(model.transform(assembler.transform(base.filter(F.col("fold") == f))))
-            best = threshold_scores(scored, label, "score", thresholds).orderBy(F.desc("f1"), "threshold").first()
-            found.append((best["threshold"], best["f1"]))
-        mean_t, mean_f = sum(t for t, _ in found) / folds, sum(s for _, s in found) / folds
-        rows += [(name, f, t, s, mean_t, mean_f) for f, (t, s) in enumerate(found)]
+    resamplers = _resamplers(label, key, features, seed, smote_k=None)
+
+    def one(name: str, f: int) -> tuple[float, float]:
+        train = durable(resamplers[name](base.filter(F.col("fold") != f).drop("fold")))
+        assembler, model = _fit(estimator, train, features)
+        scored = positive_probability(model.transform(assembler.transform(base.filter(F.col("fold") == f))))
+        best = threshold_scores(scored, label, "score", thresholds).orderBy(F.desc("f1"), "threshold").first()
+        return best["threshold"], best["f1"]
+
+    runs = [(name, f) for name in resamplers for f in range(folds)]
+    found = dict(zip(runs, run_jobs(df.sparkSession, [partial(one, *run) for run in runs])))
+
+    def mean(name: str, which: int) -> float:
+        return sum(found[name, g][which] for g in range(folds)) / folds
+
+    rows = [(name, f, t, s, mean(name, 0), mean(name, 1)) for (name, f), (t, s) in found.items()]
     return df.sparkSession.createDataFrame(
         rows, "resampler string, fold int, threshold double, f1 double, mean_threshold double, mean_f1 double"
     )

@@ -7,6 +7,7 @@ import logging
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 import numpy as np
 from pyspark.ml import Estimator
@@ -15,6 +16,8 @@ from pyspark.ml.regression import Regressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwise.session import run_jobs
+
 logger = logging.getLogger(__name__)
 
 
@@ -38,11 +41,12 @@ def cv_scores(estimator: Estimator, df: DataFrame, label: str, fold: str, kind:
     """Score of each held-out fold; training rows never leave the executors."""
     tuned = estimator.copy({estimator.getParam(k): v for k, v in (params or {}).items()})
     folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # a handful of folds
-    scores = []
-    for f in folds:
+
+    def held_out(f) -> float:
         model = tuned.fit(df.filter(F.col(fold) != f))
-        scores.append(score_predictions(model.transform(df.filter(F.col(fold) == f)), label, kind))
-    return scores
+        return score_predictions(model.transform(df.filter(F.col(fold) == f)), label, kind)
+
+    return run_jobs(df.sparkSession, [partial(held_out, f) for f in folds])
 
 
 def cross_validate(estimator: Estimator, df: DataFrame, label: str, fold: str) -> DataFrame:

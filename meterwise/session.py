@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,5 +47,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def run_jobs(spark: SparkSession, tasks: Sequence[Callable[[], object]], at_once: int = 4) -> list:
+    """Run independent Spark jobs from a few driver threads; results in task order."""
+    if not tasks:
+        return []
+    with ThreadPool(min(at_once, len(tasks))) as pool:
+        return pool.map(lambda task: task(), list(map(inheritable_thread_target(spark), tasks)))
+
+
 def parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
