@@ -13,9 +13,9 @@ BROADCAST_ROW_LIMIT = 100_000
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast only after counting that the side fits; else leave a shuffle join.
 
-    The probe stops reading once ``max_rows + 1`` rows have been seen.
+    The count is combined inside each partition (a limit would send rows to one task).
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 

@@ -1,8 +1,8 @@
 """Exact ranks, running counts and quantiles without a single-partition sort.
 
-Rows are first reduced to (group, value, count).  Approximate quantiles of the value give
-bucket bounds, so each (group, bucket) window holds about 1/buckets of the reduced rows even
-when one group owns most of the table.  Bucket totals, at most ``buckets`` rows per group,
+Rows are first reduced to (group, value, count).  A small group is ranked by one window.  The
+few groups too large for that are split into value buckets: approximate quantiles give the
+bounds, so each (group, bucket) window holds about 1/buckets of the rows, and the bucket totals
 supply the offsets.  The bounds only steer the split: results are exact for any bounds.
 """
 
@@ -17,6 +17,8 @@ from meterwise.operators.joins import null_safe_join
 from meterwise.session import parallelism
 
 MAX_BUCKETS = 1024
+HOT_GROUPS = 1_000
+SMALL_GROUP = 100_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -74,6 +76,67 @@ def _numeric(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def _hot_groups(base: DataFrame, groups: list[str]) -> DataFrame | None:
+    """Groups too large for one window, flagged; None when every group is small.
+
+    At most HOT_GROUPS groups are listed, the largest first, so a group that is not listed has
+    at most SMALL_GROUP rows or 1/HOT_GROUPS of the table.
+    """
+    if not groups:
+        return base if base.count() > SMALL_GROUP else None
+    sizes = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > SMALL_GROUP)
+    found = sizes.orderBy(F.desc("__rows")).limit(HOT_GROUPS).drop("__rows").collect()
+    if not found:
+        return None
+    schema = base.select(*groups).schema
+    for field in schema:
+        field.nullable = True
+    return F.broadcast(base.sparkSession.createDataFrame(found, schema).withColumn("__hot", F.lit(1)))
+
+
+def _bucketed(table: DataFrame, base: DataFrame, groups: list[str], column: str, hot: DataFrame) -> tuple[DataFrame, list]:
+    """``table`` with ``bucket`` (-1 in small groups) and the bounds taken from the hot rows."""
+    if not groups:
+        bounds = _bounds(base, column, bucket_count(base))
+        return table.withColumn("bucket", bucket_column(column, bounds)), bounds
+    bounds = _bounds(null_safe_join(base, hot, groups), column, bucket_count(base))
+    flagged = null_safe_join(table, hot, groups, "left")
+    bucket = F.when(F.col("__hot").isNotNull(), bucket_column(column, bounds)).otherwise(-1)
+    return flagged.withColumn("bucket", bucket).drop("__hot"), bounds
+
+
+def _offsets(table: DataFrame, groups: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Sums before each bucket of a hot group and over the group: HOT_GROUPS × buckets rows."""
+    totals = table.filter("bucket >= 0").groupBy(*groups, "bucket").agg(*[c.alias(f"b_{n}") for n, c in sums.items()])
+    by_group = Window.partitionBy(*groups)
+    before = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(
+        totals.select(
+            *groups,
+            "bucket",
+            *[F.coalesce(F.sum(f"b_{n}").over(before), F.lit(0)).alias(f"o_{n}") for n in sums],
+            *[F.sum(f"b_{n}").over(by_group).alias(f"t_{n}") for n in sums],
+        )
+    )
+
+
+def _running(reduced: DataFrame, base: DataFrame, groups: list[str], weights: list[str]) -> DataFrame:
+    """``below_<w>`` (sum over smaller values) and ``total_<w>`` for reduced rows."""
+    hot = _hot_groups(base, groups)
+    table = reduced.withColumn("bucket", F.lit(-1)) if hot is None else _bucketed(reduced, base, groups, "value", hot)[0]
+    part = Window.partitionBy(*groups) if hot is None else Window.partitionBy(*groups, "bucket")
+    ordered = part.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    for w in weights:
+        table = table.withColumn(f"below_{w}", F.sum(w).over(ordered) - F.col(w)).withColumn(f"total_{w}", F.sum(w).over(part))
+    if hot is not None:
+        offsets = _offsets(table, groups, {w: F.sum(w) for w in weights})
+        table = null_safe_join(table, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
+        for w in weights:
+            table = table.withColumn(f"below_{w}", F.col(f"below_{w}") + F.coalesce(f"o_{w}", F.lit(0)))
+            table = table.withColumn(f"total_{w}", F.coalesce(f"t_{w}", f"total_{w}"))
+    return table.select(*groups, "value", *weights, *[f"below_{w}" for w in weights], *[f"total_{w}" for w in weights])
+
+
 def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Per group and distinct value: ``n``, ``below`` (rows strictly smaller), ``total``.
 
@@ -82,31 +145,9 @@ def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) ->
     groups = list(groups)
     base = df.select(*groups, _numeric(df, value).alias("value"))
     base = base.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
-    bounds = _bounds(base, "value", bucket_count(df))
-    counts = (
-        base.groupBy(*groups, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", bucket_column("value", bounds))
-    )
-    return _accumulate(counts, groups, "value", F.col("n"))
-
-
-def _accumulate(counts: DataFrame, groups: list[str], value: str, n: Column) -> DataFrame:
-    totals = counts.groupBy(*groups, "bucket").agg(F.sum(n).alias("bucket_n"))
-    # at most MAX_BUCKETS rows per group reach this window
-    by_group = Window.partitionBy(*groups)
-    offsets = totals.select(
-        *groups,
-        "bucket",
-        F.coalesce(
-            F.sum("bucket_n").over(by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("offset"),
-        F.sum("bucket_n").over(by_group).alias("total"),
-    )
-    inside = Window.partitionBy(*groups, "bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.withColumn("within", F.sum(n).over(inside) - n)
-    joined = null_safe_join(running, offsets, [*groups, "bucket"], never_null=["bucket"])
-    return joined.select(*groups, value, "n", (F.col("offset") + F.col("within")).alias("below"), "total")
+    counts = base.groupBy(*groups, "value").agg(F.count(F.lit(1)).alias("n"))
+    running = _running(counts, base, groups, ["n"])
+    return running.select(*groups, "value", "n", F.col("below_n").alias("below"), F.col("total_n").alias("total"))
 
 
 def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
@@ -116,32 +157,8 @@ def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], group
     """
     groups, weights = list(groups), list(weights)
     base = df.select(*groups, _numeric(df, value).alias("value"), *weights)
-    bounds = _bounds(base, "value", bucket_count(df))
-    sums = (
-        base.groupBy(*groups, "value")
-        .agg(*[F.sum(w).alias(w) for w in weights])
-        .withColumn("bucket", bucket_column("value", bounds))
-    )
-    totals = sums.groupBy(*groups, "bucket").agg(*[F.sum(w).alias(f"b_{w}") for w in weights])
-    by_group = Window.partitionBy(*groups)
-    before = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups,
-        "bucket",
-        *[F.coalesce(F.sum(f"b_{w}").over(before), F.lit(0)).alias(f"o_{w}") for w in weights],
-        *[F.sum(f"b_{w}").over(by_group).alias(f"total_{w}") for w in weights],
-    )
-    inside = Window.partitionBy(*groups, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    for w in weights:
-        sums = sums.withColumn(f"i_{w}", F.sum(w).over(inside) - F.col(w))
-    joined = null_safe_join(sums, offsets, [*groups, "bucket"], never_null=["bucket"])
-    return joined.select(
-        *groups,
-        "value",
-        *weights,
-        *[(F.col(f"o_{w}") + F.col(f"i_{w}")).alias(f"below_{w}") for w in weights],
-        *[f"total_{w}" for w in weights],
-    )
+    sums = base.groupBy(*groups, "value").agg(*[F.sum(w).alias(w) for w in weights])
+    return _running(sums, base, groups, weights)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
@@ -182,29 +199,27 @@ def row_numbers(
     """
     groups = list(groups)
     keyed = df.withColumn("__o", _numeric(df, order)).withColumn("__t", _numeric(df, tie))
-    buckets = bucket_count(df)
-    slim = keyed.select("__o", "__t")
-    bounds = _bounds(slim, "__o", buckets)
-    hot = sorted({b for b in bounds if bounds.count(b) > 1})
-    sub: Column = F.lit(0)
-    if hot and order != tie:
-        is_hot = F.col("__o").isin(hot)
-        inner = _bounds(slim.filter(is_hot), "__t", buckets)
-        sub = F.when(is_hot, 1 + bucket_column("__t", inner)).otherwise(0)
-    keyed = keyed.withColumn("bucket", bucket_column("__o", bounds) * 2 * (MAX_BUCKETS + 1) + sub)
-    totals = keyed.groupBy(*groups, "bucket").agg(F.count(F.lit(1)).alias("bucket_n"))
-    by_group = Window.partitionBy(*groups)
-    offsets = totals.select(
-        *groups,
-        "bucket",
-        F.coalesce(
-            F.sum("bucket_n").over(by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("__offset"),
-        F.sum("bucket_n").over(by_group).alias(f"{name}_total"),
-    )
-    inside = Window.partitionBy(*groups, "bucket").orderBy("__o", "__t")
-    numbered = keyed.withColumn("__within", F.row_number().over(inside))
-    joined = null_safe_join(numbered, offsets, [*groups, "bucket"], never_null=["bucket"])
-    return joined.withColumn(name, F.col("__offset") + F.col("__within")).drop(
-        "__o", "__t", "__within", "__offset", "bucket"
-    )
+    slim = keyed.select(*groups, "__o", "__t")
+    hot = _hot_groups(slim, groups)
+    if hot is None:
+        part = Window.partitionBy(*groups)
+        numbered = keyed.withColumn(name, F.row_number().over(part.orderBy("__o", "__t")).cast("long"))
+        return numbered.withColumn(f"{name}_total", F.count(F.lit(1)).over(part)).drop("__o", "__t")
+    keyed, bounds = _bucketed(keyed, slim, groups, "__o", hot)
+    repeated = sorted({b for b in bounds if bounds.count(b) > 1})
+    if repeated and order != tie:
+        # a value that fills several buckets is split again by the tie
+        is_repeated = F.col("__o").isin(repeated)
+        inner = _bounds(slim.filter(is_repeated), "__t", bucket_count(slim))
+        sub = F.when(is_repeated, 1 + bucket_column("__t", inner)).otherwise(0)
+        keyed = keyed.withColumn(
+            "bucket", F.when(F.col("bucket") >= 0, F.col("bucket") * 2 * (MAX_BUCKETS + 1) + sub).otherwise(-1)
+        )
+    part = Window.partitionBy(*groups, "bucket")
+    offsets = _offsets(keyed, groups, {"n": F.count(F.lit(1))})
+    numbered = keyed.withColumn("__within", F.row_number().over(part.orderBy("__o", "__t")))
+    numbered = numbered.withColumn("__rows", F.count(F.lit(1)).over(part))
+    joined = null_safe_join(numbered, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
+    joined = joined.withColumn(name, F.coalesce("o_n", F.lit(0)) + F.col("__within"))
+    joined = joined.withColumn(f"{name}_total", F.coalesce("t_n", "__rows"))
+    return joined.drop("__o", "__t", "__within", "__rows", "o_n", "t_n", "bucket")

@@ -18,6 +18,7 @@ from meterwise.operators.ranking import row_numbers
 from meterwise.session import durable, run_jobs
 
 MAX_CLASSES = 10_000
+COPIES_PER_TASK = 10_000
 
 
 def class_sizes(df: DataFrame, label: str) -> dict:
@@ -39,6 +40,17 @@ def _per_class(label: str, values: dict):
     return result
 
 
+def _repeat(df: DataFrame, key: str, copies: str, most: int) -> DataFrame:
+    """``copies`` rows per row, numbered by ``copy``; many copies are made by several tasks."""
+    if most <= COPIES_PER_TASK:
+        return df.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies).cast("long")))).drop(copies)
+    starts = F.sequence(F.lit(0).cast("long"), F.col(copies).cast("long") - 1, F.lit(COPIES_PER_TASK).cast("long"))
+    blocks = df.withColumn("__start", F.explode(starts))
+    blocks = blocks.repartition(F.col(key), F.col("__start"))
+    ends = F.least(F.col("__start") + COPIES_PER_TASK, F.col(copies).cast("long"))
+    return blocks.withColumn("copy", F.explode(F.sequence(F.col("__start") + 1, ends))).drop(copies, "__start")
+
+
 def undersample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame:
     """Cut the largest class to the size of the smallest, keeping the lowest hash ranks."""
     sizes = class_sizes(df, label)
@@ -54,8 +66,8 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     whole = _per_class(label, {k: large // n for k, n in sizes.items()})
     rest = _per_class(label, {k: large % n for k, n in sizes.items()})
     copies = whole + F.when(F.col("__r") <= rest, 1).otherwise(0)
-    ranked = _hash_ranked(df, label, key, seed)
-    return ranked.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), copies))).drop("__r", "__r_total")
+    ranked = _hash_ranked(df, label, key, seed).withColumn("__copies", copies)
+    return _repeat(ranked, key, "__copies", large // min(sizes.values()) + 1).drop("__r", "__r_total")
 
 
 def smote(df: DataFrame, label: str, key: str, features: Sequence[str], k: int = 3, seed: int = 42) -> DataFrame:
@@ -82,7 +94,7 @@ def smote(df: DataFrame, label: str, key: str, features: Sequence[str], k: int =
         near = nearest_neighbors(minority, minority, min(k, n - 1), exclude_same_key=True)
         each, rest = missing // n, missing % n
         made = minority.withColumn("copies", F.lit(each) + F.when(F.col("r") <= rest, 1).otherwise(0)).filter("copies > 0")
-        made = made.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        made = _repeat(made, "id", "copies", each + 1)
         chosen = F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(min(k, n - 1))) + 1
         made = made.withColumn("rank", chosen.cast("int")).withColumn("gap", hash_unit(F.xxhash64("id", "copy"), seed + 2))
         partner = minority.select(F.col("id").alias("neighbor"), F.col("vector").alias("other"))

@@ -255,3 +255,11 @@ def test_report(spark):
     assert found["0"].specificity == pytest.approx(2 / 3) and found["0"].geo == pytest.approx(math.sqrt(0.5 * 2 / 3))
     averages = {r.average: r for r in evaluate.report_averages(evaluate.class_report(df, "y", "p")).collect()}
     assert averages["macro"].recall == pytest.approx(0.5) and averages["weighted"].recall == pytest.approx(3 / 5)
+
+
+def test_many_copies_are_made_by_several_tasks(spark, monkeypatch):
+    df = spark.createDataFrame([(i, int(i == 0)) for i in range(101)], "id long, y int")
+    monkeypatch.setattr(resample, "COPIES_PER_TASK", 7)
+    more = resample.oversample(df, "y", "id")
+    assert {r["count"] for r in more.groupBy("y").count().collect()} == {100}
+    assert more.filter("y = 1").select("copy").distinct().count() == 100

@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from meterwise.operators import analytics, forecast, ranking, timeseries
 
 
+@pytest.fixture(params=[100_000, 500], ids=["small", "split"], autouse=True)
+def group_limit(request, monkeypatch):
+    """Run every test with whole windows and with groups split into buckets."""
+    monkeypatch.setattr(ranking, "SMALL_GROUP", request.param)
+
+
 def skewed(spark, n=6000):
     """One group and one value hold a third of all rows."""
     value = F.when(F.col("id") % 3 == 0, 50.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(10_000)) / 7.0)
