@@ -19,6 +19,7 @@ from meterwise.session import parallelism
 MAX_BUCKETS = 1024
 HOT_GROUPS = 1_000
 SMALL_GROUP = 100_000
+SMALL_TABLE = 2_000_000
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -162,8 +163,18 @@ def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], group
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation; one column ``q0, q1, ...`` per probability."""
-    ranks = cumulative_counts(df, value, groups)
+    """Exact quantiles with linear interpolation; one column ``q0, q1, ...`` per probability.
+
+    A table counted as small goes through the built-in aggregate, which holds the distinct
+    values of a group in one task; larger tables go through the split ranks.
+    """
+    groups = list(groups)
+    base = df.select(*groups, _numeric(df, value).alias("value"))
+    base = base.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
+    if base.count() <= SMALL_TABLE:
+        exact = base.groupBy(*groups).agg(F.percentile(F.col("value").cast("double"), [float(p) for p in probs]).alias("q"))
+        return exact.select(*groups, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+    ranks = cumulative_counts(base, "value", groups)
 
     def at(position: Column) -> Column:
         hit = (F.col("below") <= position) & (position < F.col("below") + F.col("n"))

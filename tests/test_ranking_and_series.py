@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from meterwise.operators import analytics, forecast, ranking, timeseries
 
 
-@pytest.fixture(params=[100_000, 500], ids=["small", "split"], autouse=True)
+@pytest.fixture(params=[100_000, 500], ids=["small", "split"])
 def group_limit(request, monkeypatch):
-    """Run every test with whole windows and with groups split into buckets."""
+    """Run a test with whole windows and with groups split into buckets."""
     monkeypatch.setattr(ranking, "SMALL_GROUP", request.param)
+    if request.param == 500:
+        monkeypatch.setattr(ranking, "SMALL_TABLE", 0)
 
 
 def skewed(spark, n=6000):
@@ -22,7 +24,7 @@ def skewed(spark, n=6000):
     return spark.range(n).select("id", value.alias("v"), group.alias("g"))
 
 
-def test_quantiles_match_numpy(spark):
+def test_quantiles_match_numpy(spark, group_limit):
     df = skewed(spark)
     pdf = df.toPandas()
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
@@ -33,7 +35,7 @@ def test_quantiles_match_numpy(spark):
         assert by_group[None if pd.isna(g) else g] == pytest.approx(list(np.quantile(part["v"], probs)))
 
 
-def test_row_numbers_split_a_hot_value(spark):
+def test_row_numbers_split_a_hot_value(spark, group_limit):
     df = skewed(spark)
     pdf = df.toPandas().sort_values(["v", "id"])
     got = {r.id: r.row_number for r in ranking.row_numbers(df, "v", "id").collect()}
@@ -43,7 +45,7 @@ def test_row_numbers_split_a_hot_value(spark):
     assert all(grouped[i] == e for i, e in zip(pdf["id"], expected))
 
 
-def test_cumulative_counts(spark):
+def test_cumulative_counts(spark, group_limit):
     df = skewed(spark)
     pdf = df.toPandas()
     counts = pdf["v"].value_counts().sort_index()
@@ -52,13 +54,13 @@ def test_cumulative_counts(spark):
     assert got == {v: (int(counts[v]), int(below[v]), len(pdf)) for v in counts.index}
 
 
-def test_results_do_not_depend_on_partitions(spark):
+def test_results_do_not_depend_on_partitions(spark, group_limit):
     df = skewed(spark, 1000)
     a = rows(ranking.quantiles(df.repartition(1), "v", [0.3, 0.7], ["g"]))
     assert a == rows(ranking.quantiles(df.repartition(13), "v", [0.3, 0.7], ["g"]))
 
 
-def test_running_total_over_text(spark):
+def test_running_total_over_text(spark, group_limit):
     df = spark.range(2000).select(F.format_string("k%04d", F.col("id") % 300).alias("k"), F.col("id").alias("v"))
     pdf = df.toPandas().groupby("k")["v"].sum()
     got = {r.k: r.running for r in analytics.running_total(df, "k", "v").collect()}
