@@ -60,7 +60,7 @@ def _on_column(function: Callable[[np.ndarray], np.ndarray], value: Column | str
     def batch(x: pd.Series) -> pd.Series:
         return pd.Series(function(x.to_numpy(dtype=float)))
 
-    return F.pandas_udf(batch, T.DoubleType(), functionType=F.PandasUDFType.SCALAR)(value)
+    return F.pandas_udf(batch, T.DoubleType())(value)
 
 
 def normal_log_cdf(z: Column | str) -> Column:
