@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterwise.functions import geo
 from meterwise.operators.joins import broadcast_if_small
+from meterwise.session import durable
 
 CELLS_PER_POLYGON = 256
 
@@ -86,7 +87,7 @@ def assign_polygons(
         raise ValueError(f"column {label_column!r} not found in the polygons")
     shapes = to_lonlat(polygons, crs).select("rings", "ord", F.col(label_column).cast("string").alias("label"))
     sites = df.select(lon, lat).filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()).distinct()
-    matches = match_points(sites, shapes, lon, lat)
+    matches = durable(match_points(sites, shapes, lon, lat))  # read twice: one row per matched site
     any_within = matches.agg(F.count("label_within").alias("n"))
     chosen = matches.select(
         lon,
