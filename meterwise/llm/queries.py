@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +39,52 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), max_tokens=2048)
 
 
+@query("op4_simhash_near_duplicates")
+def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from meterwise.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+MIX_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS h,
+    CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w
+  FROM d GROUP BY source),
+c AS (  -- sources in the order in which a rising level reaches three times their size
+  SELECT *, sum(source_size) OVER () AS total,
+    coalesce(sum(3.0 * source_size) OVER o, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS free
+  FROM s WHERE source_size > 0
+  WINDOW o AS (ORDER BY source_size / CAST(w AS DOUBLE), source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT max(CAST(total - capped AS DOUBLE) / free) AS level FROM c),
+t AS (
+  SELECT s.source, source_size, w, CASE WHEN source_size = 0 THEN 0.0
+    ELSE least(CAST(3 * source_size AS DOUBLE), (SELECT level FROM l) * w) END AS target FROM s),
+p AS (
+  SELECT d.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS goal,
+    CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, round(target, 3) AS target,
+  least(size, greatest(goal - a, 0)) + least(size, greatest(goal - a - source_size, 0)) + least(size, greatest(goal - a - 2 * source_size, 0)) AS taken
+FROM p
+"""
+
+
+@query("op7_curriculum_mix", MIX_SQL)
+def op7_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document in training order (of its first copy; documents that are not taken last)."""
+    from meterwise.llm.curriculum import mix
+    from meterwise.session import parallelism
+
+    mixed = mix(table(spark, folder, "documents"), weights=(1, 2, 3), most=3)
+    first = F.coalesce(F.get("passes", F.lit(0))["position"], F.lit((1 << 63) - 1))
+    ordered = mixed.withColumn("p", first).repartitionByRange(parallelism(spark), "p", "doc_id").sortWithinPartitions("p", "doc_id")
+    return ordered.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
 @query("op9_harmonic_packing")
 def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.packing import pack
