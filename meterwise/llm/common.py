@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,15 @@ def byte_texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch cut into runs of rows whose texts hold about `limit` bytes, so that work memory stays bounded."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes + 64) // limit
+    starts = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else []
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(int(a), int(b - a))
+
+
 def table_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Record batches of at most `size` rows from tuples."""
     held: list[tuple] = []

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import byte_texts, worker_state
+from meterwise.llm.common import byte_slices, byte_texts, worker_state
 from meterwise.llm.vocab import ByteIds
 
 
@@ -115,8 +115,7 @@ def pack(
 
         for batch in batches:
             kind_of_id = batch.schema.field(0).type
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in byte_slices(batch, 1):
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode_all(byte_texts(part.column(1))), strict=True):
                     ids = memoryview(ids + end)
                     n = len(ids) // 4

@@ -32,6 +32,15 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_rule_quality")
+def op2_rule_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from meterwise.llm.quality import held_out, scored
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = scored(docs, table(spark, folder, "labels"), threshold=0.3)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op3_token_counts")
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.token_counts import token_counts
@@ -85,6 +94,14 @@ def op7_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return ordered.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
 
 
+@query("op8_fuzzy_line_dedup")
+def op8_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its cleaned text and the number of lines taken out."""
+    from meterwise.llm.line_dedup import dedup_lines
+
+    return dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", F.col("removed_lines").cast("long").alias("removed_lines"))
+
+
 @query("op9_harmonic_packing")
 def op9_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.packing import pack

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import byte_texts, id_bounds, scratch, shard_count, shard_of, table_batches, worker_state
+from meterwise.llm.common import byte_slices, byte_texts, id_bounds, scratch, shard_count, shard_of, table_batches, worker_state
 from meterwise.llm.vocab import ByteIds
 
 MAGIC = b"RPG1"
@@ -184,8 +184,7 @@ def write_ids(
             return shard, number, n, write_block(start, doc_ids, ids, ends, vocabulary.value)
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in byte_slices(batch, 1):
                 for doc, ids in zip(part.column(0).to_pylist(), encoder.encode_all(byte_texts(part.column(1))), strict=True):
                     doc_ids.append(doc)
                     held.append(ids + end)
