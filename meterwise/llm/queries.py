@@ -55,6 +55,32 @@ def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS hex, max(page_id) OVER (PARTITION BY payload) AS kept FROM p)
+SELECT page_id, payload_bytes,
+  list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(hex, CAST(k // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INT)) & 31 AS INT) + 1, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id < kept THEN kept END AS refers_to
+FROM d
+"""
+
+
+@query("op5_warc_index_merge", WARC_SQL)
+def op5_warc_index_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of the archives as read back, in the order of the merged capture index."""
+    from meterwise.llm.warc import archive_pages
+
+    return archive_pages(table(spark, folder, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_multiset_fingerprints")
+def op6_multiset_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from meterwise.llm.multiset import fingerprinted
+
+    return fingerprinted(table(spark, folder, "documents"))
+
+
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS h,
