@@ -32,6 +32,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_adaptive_scan_neighbours")
+def op1_adaptive_scan_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    from meterwise.llm.ann import nearest
+
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query("op2_rule_quality")
 def op2_rule_quality(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.quality import held_out, scored
