@@ -36,6 +36,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like those given that the table does not have, in any case of letters."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def worker_state(key: str, make: Callable[[], object]):
     """An object kept by a Python worker from task to task (caches, loaded vocabularies)."""
     holder = sys.modules.get("meterwise_worker_state")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from meterwise.llm.common import WORD, stored
+from meterwise.llm.common import WORD, fresh, stored
 from meterwise.session import parallelism
 
 #: relative demand of a source over training time, by its place in the weight cycle: (time, rate) knots
@@ -136,14 +136,16 @@ def curriculum(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_c
     """The taken copies of whole documents in training order: the documents' columns, range-sorted by position.
 
     Rows are matched by id (null matches null) and text hash, so repeated ids keep their own texts."""
-    def keyed(df: DataFrame, th: Column) -> DataFrame:
-        return df.withColumns({"__n": F.col(id_col).isNull(), "__i": F.coalesce(F.col(id_col), F.lit(0)), "__t": th})
+    none, number, th, q, r, p = fresh(docs, "__n", "__i", "__t", "__q", "__r", "__p")
+
+    def keyed(df: DataFrame, text_hash: Column) -> DataFrame:
+        return df.withColumns({none: F.col(id_col).isNull(), number: F.coalesce(F.col(id_col), F.lit(0)), th: text_hash})
 
     # equal keys on both sides of the join and of the numbering: the texts are shuffled once before the range sort
-    same = ["__n", "__i", "__t"]
-    copies = keyed(mixed, F.col("th")).withColumn("__q", F.row_number().over(Window.partitionBy(*same).orderBy("passes")))
-    copies = copies.select(*same, "__q", F.explode("passes").alias("__c")).select(*same, "__q", F.col("__c.position").alias("__p"))
-    rows = keyed(docs, F.xxhash64(text_col)).withColumn("__r", F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
-    joined = rows.join(copies, same).where(F.col("__r") - F.col("__q") == 0)
+    same = [none, number, th]
+    copies = keyed(mixed, F.col("th")).withColumn(q, F.row_number().over(Window.partitionBy(*same).orderBy("passes")))
+    copies = copies.select(*same, q, F.explode("passes").alias("c")).select(*same, q, F.col("c.position").alias(p))
+    rows = keyed(docs, F.xxhash64(text_col)).withColumn(r, F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0))))
+    joined = rows.join(copies, same).where(F.col(r) - F.col(q) == 0)
     n = parallelism(docs.sparkSession)
-    return joined.repartitionByRange(n, "__p", "__i").sortWithinPartitions("__p", "__i").select(*docs.columns)
+    return joined.repartitionByRange(n, p, number).sortWithinPartitions(p, number).select(*docs.columns)

@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import stored
+from meterwise.llm.common import fresh, stored
 
 #: labelled rows the classifier is fitted on, chosen by a hash of the id
 LABELLED_ROWS = 20_000
@@ -169,10 +169,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents' columns with `score` (0 to 1, higher: label 1 likelier) and `predicted` (1 if score >= threshold).
+    """Per row: its id, score (0 to 1, higher: label 1 likelier) and predicted (1 if score >= threshold).
 
     Inputs of the score are the statistics of the whole text alone. Null texts count as empty and are scored by the
-    rules that all-zero statistics meet; repeated rows are scored each; an empty table gives an empty result."""
+    rules that all-zero statistics meet; repeated rows are scored each; an empty table gives an empty result; other
+    columns are not read."""
     model = fit(training_rows(docs, labels, "quality", id_col, text_col))
-    out = with_statistics(docs, text_col).withColumn("score", model.score())
-    return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0)).drop("__stats")
+    slim = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
+    out = with_statistics(slim, "t").select(F.col("i").alias(id_col), model.score().alias("score"))
+    return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose score is at least `threshold`; cases as in `scored`."""
+    model = fit(training_rows(docs, labels, "quality", id_col, text_col))
+    (stats,) = fresh(docs, "__stats")
+    return with_statistics(docs, text_col, stats).where(model.score(stats) >= threshold).select(*docs.columns)

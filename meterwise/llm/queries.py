@@ -132,7 +132,7 @@ def op8_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its cleaned text and the number of lines taken out."""
     from meterwise.llm.line_dedup import dedup_lines
 
-    return dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", F.col("removed_lines").cast("long").alias("removed_lines"))
+    return dedup_lines(table(spark, folder, "documents")).select("doc_id", "text", "removed_lines")
 
 
 @query("op9_harmonic_packing")

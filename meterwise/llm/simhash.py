@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.llm.common import byte_texts, stored
+from meterwise.llm.common import byte_texts, fresh, stored
 from meterwise.llm.components import components, local_forest
 from meterwise.session import parallelism
 
@@ -192,6 +192,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("i"), "th")).alias("m")
     )
     chosen = chosen.select(F.col("m.i").alias("__id"), F.col("m.th").alias("__th")).distinct()
-    keyed = docs.withColumn("__t", F.xxhash64(text_col))
-    kept = keyed.join(chosen, keyed[id_col].eqNullSafe(chosen["__id"]) & (keyed["__t"] == chosen["__th"]), "left_semi")
-    return kept.dropDuplicates([id_col, "__t"]).drop("__t")
+    (th,) = fresh(docs, "__t")
+    keyed = docs.withColumn(th, F.xxhash64(text_col))
+    left, right = keyed.alias("l"), chosen.select(F.col("__id").alias("i"), F.col("__th").alias("h")).alias("r")
+    kept = left.join(right, F.col(f"l.{id_col}").eqNullSafe(F.col("r.i")) & (F.col(f"l.{th}") == F.col("r.h")), "left_semi")
+    return kept.dropDuplicates([id_col, th]).select(*docs.columns)
