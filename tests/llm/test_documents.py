@@ -4,6 +4,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 from brute import Union, brute_fingerprint, brute_lines
+from fixtures import docs, odd_docs, texts  # noqa: F401
 from pyspark.sql import functions as F
 
 from meterwise.llm import curriculum as curriculum_module

@@ -4,6 +4,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from brute import check_sequences, crc
+from fixtures import docs, odd_docs, texts  # noqa: F401
 from tokenizers import Tokenizer
 
 from meterwise.llm.packing import class_sizes, cut_lengths, pack, power_runs
