@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.operators.joins import semi_join_values
+from meterwise.operators.clean import nan_to_null
 from meterwise.operators.ranking import cumulative_counts, quantiles, weighted_cumulative
 
 
@@ -65,8 +66,9 @@ def ecdf(df: DataFrame, column: str, groups: Sequence[str] = ()) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int, groups: Sequence[str] = ()) -> DataFrame:
-    """Equal-width bins over the column's range; the last bin is closed on the right."""
-    value = F.col(column).cast("double")
+    """Equal-width bins over the column's range; the last bin is closed on the right.  NULL and NaN are left out."""
+    df = nan_to_null(df.withColumn(column, F.col(column).cast("double")))
+    value = F.col(column)
     span = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     lo, hi = span["lo"], span["hi"]
     if lo is None:
@@ -83,9 +85,10 @@ def gaussian_kde(df: DataFrame, column: str, points: int = 50, cut: float = 3.0)
     """Density on an even grid (Scott bandwidth): the sum of normal kernels over the values.
 
     Equal values are counted first; each task then adds its kernels to one number per grid
-    point, so only ``points`` partial sums leave a task.
+    point, so only ``points`` partial sums leave a task.  NULL and NaN are left out.
     """
-    value = F.col(column).cast("double")
+    df = nan_to_null(df.select(F.col(column).cast("double").alias(column)))
+    value = F.col(column)
     s = df.agg(F.count(value).alias("n"), F.stddev_samp(value).alias("s"), F.min(value).alias("lo"), F.max(value).alias("hi")).first()
     h = s["s"] * s["n"] ** -0.2
     lo, hi = s["lo"] - cut * h, s["hi"] + cut * h
@@ -128,7 +131,8 @@ def box_stats(df: DataFrame, column: str, groups: Sequence[str]) -> DataFrame:
 
 
 def mean_interval(df: DataFrame, groups: Sequence[str], column: str, z: float = 1.959963984540054) -> DataFrame:
-    """Group mean with a 95 % normal interval."""
+    """Group mean with a 95 % normal interval.  NULL and NaN are left out."""
+    df = nan_to_null(df.select(*groups, F.col(column).cast("double").alias(column)))
     g = df.groupBy(*groups).agg(
         F.avg(column).alias("mean"), (z * F.stddev_samp(column) / F.sqrt(F.count(column))).alias("__half")
     )

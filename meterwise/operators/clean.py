@@ -154,18 +154,23 @@ def fill_from_group(df: DataFrame, group: str, value: str, order_col: str) -> Da
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Keep the first row of each key; aggregated on the map side, so hot keys do not pile up."""
+    """Keep the first row of each key; aggregated on the map side, so hot keys do not pile up.
+
+    Rows without an order value come last: such a row is kept only if the key has no other."""
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order_col).alias("__row"))
+    order = F.struct(F.col(order_col).isNull(), F.col(order_col))
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("__row"))
     return picked.select(*keys, "__row.*").select(*df.columns)
 
 
 def top_per_group(df: DataFrame, groups: Sequence[str], order_col: str, tie: str) -> DataFrame:
-    """Row with the largest ``order_col`` in each group (ties: smallest ``tie``)."""
+    """Row with the largest ``order_col`` in each group (ties: smallest ``tie``; missing values are the smallest)."""
     groups = list(groups)
     rest = [c for c in df.columns if c not in groups]
-    best = df.groupBy(*groups).agg(F.min_by(F.struct(*rest), F.struct(-F.col(order_col), F.col(tie))).alias("__row"))
+    missing = is_missing(df, order_col)
+    order = F.struct(missing, F.when(~missing, -F.col(order_col)), F.col(tie))
+    best = df.groupBy(*groups).agg(F.min_by(F.struct(*rest), order).alias("__row"))
     return best.select(*groups, "__row.*").select(*df.columns)
 
 

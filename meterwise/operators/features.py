@@ -147,9 +147,14 @@ def binarize_labels(df: DataFrame, column: str) -> DataFrame:
 
 
 def recode_by_joint_share(df: DataFrame, column: str, target: str, positive, min_share: float = 0.8) -> DataFrame:
-    """Add ``<column>_flag``: 1 for values of which at least ``min_share`` of the rows are positive."""
-    shares = df.groupBy(column).agg(F.avg((F.col(target) == F.lit(positive)).cast("double")).alias("s"))
-    chosen = shares.filter(F.col("s") >= min_share).select(column).withColumn("__hit", F.lit(1))
+    """Add ``<column>_flag``: 1 for values whose positive rows are at least ``min_share`` of all rows.
+
+    The share is the cell of the crosstab over the whole table (rows with both columns known), not the
+    share inside the value."""
+    known = df.filter(F.col(column).isNotNull() & F.col(target).isNotNull())
+    hits = known.groupBy(column).agg(F.count(F.when(F.col(target) == F.lit(positive), 1)).alias("__hits"))
+    total = known.count()
+    chosen = hits.filter(F.col("__hits") >= F.lit(min_share) * F.lit(total)).select(column).withColumn("__hit", F.lit(1))
     return df.join(chosen, column, "left").withColumn(f"{column}_flag", F.coalesce("__hit", F.lit(0))).drop("__hit")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.operators.clean import is_missing, modes, numeric_columns, other_columns
+from meterwise.operators.clean import is_missing, modes, nan_to_null, numeric_columns, other_columns
 from meterwise.operators.ranking import quantiles, unpivot_numeric
 from meterwise.session import durable
 
@@ -266,8 +266,9 @@ def cross_distributions(df: DataFrame, reference: str) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlations of all column pairs, pairwise complete: (column_a, column_b, r)."""
+    """Pearson correlations of all column pairs, pairwise complete (NaN is missing): (column_a, column_b, r)."""
     columns = list(columns or numeric_columns(df))
+    df = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     entries = []

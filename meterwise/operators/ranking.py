@@ -1,29 +1,27 @@
 """Exact ranks, running counts and quantiles without a single-partition sort.
 
-Rows are first reduced to (group, value, count).  A small group is ranked by one window.  The
-few groups too large for that are split into value buckets: approximate quantiles give the
-bounds, so each (group, bucket) window holds about 1/buckets of the rows, and the bucket totals
-supply the offsets.  The bounds only steer the split: results are exact for any bounds.
+Rows are first reduced to (group, value, count).  Every group is cut into value buckets: approximate
+quantiles of the whole table give the bounds, about one per ROWS_PER_BUCKET rows, so a (group, bucket)
+window holds about that many rows however large the table or a group is; the totals of the buckets
+before supply the offsets.  The bounds only steer the split: results are exact for any bounds, and the
+plan is the same for every size.  NULL comes first, then -infinity, numbers, infinity and NaN.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.operators.joins import null_safe_join
-from meterwise.session import parallelism
 
-MAX_BUCKETS = 1024
-HOT_GROUPS = 1_000
-SMALL_GROUP = 100_000
-SMALL_TABLE = 2_000_000
+ROWS_PER_BUCKET = 100_000
 
 
 def bucket_count(df: DataFrame) -> int:
-    return min(MAX_BUCKETS, parallelism(df.sparkSession))
+    return max(1, -(-df.count() // ROWS_PER_BUCKET))
 
 
 def _bounds(df: DataFrame, column: str, buckets: int) -> list:
@@ -35,31 +33,25 @@ def _bounds(df: DataFrame, column: str, buckets: int) -> list:
         sample = sorted(r[0] for r in distinct.orderBy(F.xxhash64(column)).limit(8 * buckets).collect())
         return [sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else []
     shares = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(column, shares, max(1_000, 10 * buckets)).alias("b")).first()
+    numbers = df.filter(~F.isnan(F.col(column).cast("double")))
+    row = numbers.agg(F.percentile_approx(column, shares, max(1_000, 10 * buckets)).alias("b")).first()
     return list(row["b"] or [])
 
 
-def _literal(value) -> str:
-    if isinstance(value, str):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        return f"'{escaped}'"
-    return f"{value}D" if isinstance(value, float) else f"{value}L"
-
-
 def bucket_column(column: str, bounds: list) -> Column:
-    """Number of bounds below the value: binary search as one nested CASE (generated code)."""
+    """Number of bounds below the value (NULL: -1, NaN: above all), by binary search in a constant array."""
     cuts = sorted(set(bounds))
+    missing = F.when(F.col(column).isNull(), -1)
+    if not cuts:
+        return missing.otherwise(0)
+    kind = "string" if isinstance(cuts[0], str) else "double" if isinstance(cuts[0], float) else "bigint"
+    array = F.from_json(F.lit(json.dumps(cuts)), f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
 
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        return (
-            f"CASE WHEN `{column}` <= {_literal(cuts[middle])} THEN {search(low, middle)} "
-            f"ELSE {search(middle + 1, high)} END"
-        )
+    def step(low: Column, size: Column) -> Column:
+        return F.when((low + size <= len(cuts)) & (F.get(array, low + size - 1) < F.col(column)), low + size).otherwise(low)
 
-    return F.expr(search(0, len(cuts)))
+    return missing.otherwise(F.aggregate(steps, F.lit(0), step))
 
 
 def _numeric(df: DataFrame, column: str) -> Column:
@@ -77,65 +69,34 @@ def _numeric(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def _hot_groups(base: DataFrame, groups: list[str]) -> DataFrame | None:
-    """Groups too large for one window, flagged; None when every group is small.
-
-    At most HOT_GROUPS groups are listed, the largest first, so a group that is not listed has
-    at most SMALL_GROUP rows or 1/HOT_GROUPS of the table.
-    """
-    if not groups:
-        return base if base.count() > SMALL_GROUP else None
-    sizes = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > SMALL_GROUP)
-    found = sizes.orderBy(F.desc("__rows")).limit(HOT_GROUPS).drop("__rows").collect()
-    if not found:
-        return None
-    schema = base.select(*groups).schema
-    for field in schema:
-        field.nullable = True
-    return F.broadcast(base.sparkSession.createDataFrame(found, schema).withColumn("__hot", F.lit(1)))
-
-
-def _bucketed(table: DataFrame, base: DataFrame, groups: list[str], column: str, hot: DataFrame) -> tuple[DataFrame, list]:
-    """``table`` with ``bucket`` (-1 in small groups) and the bounds taken from the hot rows."""
-    if not groups:
-        bounds = _bounds(base, column, bucket_count(base))
-        return table.withColumn("bucket", bucket_column(column, bounds)), bounds
-    bounds = _bounds(null_safe_join(base, hot, groups), column, bucket_count(base))
-    flagged = null_safe_join(table, hot, groups, "left")
-    bucket = F.when(F.col("__hot").isNotNull(), bucket_column(column, bounds)).otherwise(-1)
-    return flagged.withColumn("bucket", bucket).drop("__hot"), bounds
-
-
 def _offsets(table: DataFrame, groups: list[str], sums: dict[str, Column]) -> DataFrame:
-    """Sums before each bucket of a hot group and over the group: HOT_GROUPS × buckets rows."""
-    totals = table.filter("bucket >= 0").groupBy(*groups, "bucket").agg(*[c.alias(f"b_{n}") for n, c in sums.items()])
+    """Sums before each bucket of a group and over the whole group."""
+    totals = table.groupBy(*groups, "bucket").agg(*[c.alias(f"b_{n}") for n, c in sums.items()])
     by_group = Window.partitionBy(*groups)
     before = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return F.broadcast(
-        totals.select(
-            *groups,
-            "bucket",
-            *[F.coalesce(F.sum(f"b_{n}").over(before), F.lit(0)).alias(f"o_{n}") for n in sums],
-            *[F.sum(f"b_{n}").over(by_group).alias(f"t_{n}") for n in sums],
-        )
+    return totals.select(
+        *groups,
+        "bucket",
+        *[F.coalesce(F.sum(f"b_{n}").over(before), F.lit(0)).alias(f"o_{n}") for n in sums],
+        *[F.sum(f"b_{n}").over(by_group).alias(f"t_{n}") for n in sums],
     )
 
 
 def _running(reduced: DataFrame, base: DataFrame, groups: list[str], weights: list[str]) -> DataFrame:
     """``below_<w>`` (sum over smaller values) and ``total_<w>`` for reduced rows."""
-    hot = _hot_groups(base, groups)
-    table = reduced.withColumn("bucket", F.lit(-1)) if hot is None else _bucketed(reduced, base, groups, "value", hot)[0]
-    part = Window.partitionBy(*groups) if hot is None else Window.partitionBy(*groups, "bucket")
-    ordered = part.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    table = reduced.withColumn("bucket", bucket_column("value", _bounds(base, "value", bucket_count(base))))
+    ordered = Window.partitionBy(*groups, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    offsets = _offsets(table, groups, {w: F.sum(w) for w in weights})
     for w in weights:
-        table = table.withColumn(f"below_{w}", F.sum(w).over(ordered) - F.col(w)).withColumn(f"total_{w}", F.sum(w).over(part))
-    if hot is not None:
-        offsets = _offsets(table, groups, {w: F.sum(w) for w in weights})
-        table = null_safe_join(table, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
-        for w in weights:
-            table = table.withColumn(f"below_{w}", F.col(f"below_{w}") + F.coalesce(f"o_{w}", F.lit(0)))
-            table = table.withColumn(f"total_{w}", F.coalesce(f"t_{w}", f"total_{w}"))
-    return table.select(*groups, "value", *weights, *[f"below_{w}" for w in weights], *[f"total_{w}" for w in weights])
+        table = table.withColumn(f"below_{w}", F.sum(w).over(ordered) - F.col(w))
+    table = null_safe_join(table, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
+    return table.select(
+        *groups,
+        "value",
+        *weights,
+        *[(F.col(f"below_{w}") + F.coalesce(f"o_{w}", F.lit(0))).alias(f"below_{w}") for w in weights],
+        *[F.col(f"t_{w}").alias(f"total_{w}") for w in weights],
+    )
 
 
 def cumulative_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
@@ -165,15 +126,11 @@ def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], group
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation; one column ``q0, q1, ...`` per probability.
 
-    A table counted as small goes through the built-in aggregate, which holds the distinct
-    values of a group in one task; larger tables go through the split ranks.
+    NULL and NaN are left out.  Between equal values, infinite ones too, there is nothing to interpolate.
     """
     groups = list(groups)
     base = df.select(*groups, _numeric(df, value).alias("value"))
     base = base.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
-    if base.count() <= SMALL_TABLE:
-        exact = base.groupBy(*groups).agg(F.percentile(F.col("value").cast("double"), [float(p) for p in probs]).alias("q"))
-        return exact.select(*groups, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
     ranks = cumulative_counts(base, "value", groups)
 
     def at(position: Column) -> Column:
@@ -189,7 +146,9 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequenc
     return picked.select(
         *groups,
         *[
-            (F.col(f"lo{i}") + F.col(f"f{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}"))).alias(f"q{i}")
+            F.when((F.col(f"f{i}") == 0) | (F.col(f"lo{i}") == F.col(f"hi{i}")), F.col(f"lo{i}"))
+            .otherwise(F.col(f"lo{i}") + F.col(f"f{i}") * (F.col(f"hi{i}") - F.col(f"lo{i}")))
+            .alias(f"q{i}")
             for i in range(len(probs))
         ],
     )
@@ -206,31 +165,24 @@ def row_numbers(
 ) -> DataFrame:
     """Exact 1-based position by (order, tie) within each group, plus ``<name>_total``.
 
-    ``tie`` is a unique number.  A value that holds many rows is split again by ``tie``.
+    ``tie`` is a unique number.  A value that holds many rows, NULL and NaN too, is split again by ``tie``.
     """
     groups = list(groups)
     keyed = df.withColumn("__o", _numeric(df, order)).withColumn("__t", _numeric(df, tie))
     slim = keyed.select(*groups, "__o", "__t")
-    hot = _hot_groups(slim, groups)
-    if hot is None:
-        part = Window.partitionBy(*groups)
-        numbered = keyed.withColumn(name, F.row_number().over(part.orderBy("__o", "__t")).cast("long"))
-        return numbered.withColumn(f"{name}_total", F.count(F.lit(1)).over(part)).drop("__o", "__t")
-    keyed, bounds = _bucketed(keyed, slim, groups, "__o", hot)
+    buckets = bucket_count(slim)
+    bounds = _bounds(slim, "__o", buckets)
     repeated = sorted({b for b in bounds if bounds.count(b) > 1})
-    if repeated and order != tie:
-        # a value that fills several buckets is split again by the tie
-        is_repeated = F.col("__o").isin(repeated)
-        inner = _bounds(slim.filter(is_repeated), "__t", bucket_count(slim))
-        sub = F.when(is_repeated, 1 + bucket_column("__t", inner)).otherwise(0)
-        keyed = keyed.withColumn(
-            "bucket", F.when(F.col("bucket") >= 0, F.col("bucket") * 2 * (MAX_BUCKETS + 1) + sub).otherwise(-1)
-        )
+    often = F.col("__o").isNull() | F.col("__o").isin(repeated)
+    if dict(slim.dtypes)["__o"] == "double":
+        often = often | F.isnan("__o")
+    inner = _bounds(slim.filter(often), "__t", buckets)
+    sub = F.when(often, 1 + bucket_column("__t", inner)).otherwise(0)
+    keyed = keyed.withColumn("bucket", bucket_column("__o", bounds).cast("long") * (len(inner) + 3) + sub)
+    # rows of a repeated value come after the smaller values of its bucket, which the bounds end there
     part = Window.partitionBy(*groups, "bucket")
     offsets = _offsets(keyed, groups, {"n": F.count(F.lit(1))})
     numbered = keyed.withColumn("__within", F.row_number().over(part.orderBy("__o", "__t")))
-    numbered = numbered.withColumn("__rows", F.count(F.lit(1)).over(part))
     joined = null_safe_join(numbered, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
-    joined = joined.withColumn(name, F.coalesce("o_n", F.lit(0)) + F.col("__within"))
-    joined = joined.withColumn(f"{name}_total", F.coalesce("t_n", "__rows"))
-    return joined.drop("__o", "__t", "__within", "__rows", "o_n", "t_n", "bucket")
+    joined = joined.withColumn(name, F.col("o_n") + F.col("__within")).withColumn(f"{name}_total", F.col("t_n"))
+    return joined.drop("__o", "__t", "__within", "o_n", "t_n", "bucket")

@@ -30,8 +30,8 @@ def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top:
     A blocked product: entities are cut into blocks and features into chunks, each task adds
     up one block × block tile over one chunk in place, and tiles are summed by pair.  No rows
     are paired inside a feature group, so a feature shared by everyone costs no more than its
-    tile.  Entity ids are numbers.  With ``top`` a tile may leave out partners that cannot be
-    among the ``top`` best of an entity, because the tile itself holds that many better ones.
+    tile.  Entity ids are numbers.  With ``top`` only the ``top`` best partners of each
+    entity are returned; a tile with all features also leaves out partners that cannot be among them.
     """
     base = triples.select(
         F.col(entity).cast("long").alias("e"), F.col(feature).cast("long").alias("f"), F.col(value).cast("double").alias("v")
@@ -76,7 +76,9 @@ def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top:
     spread = spread.repartition(min(blocks * (blocks + 1) // 2 * chunks, 100_000), "chunk", "i", "j")
     partial = spread.groupBy("chunk", "i", "j").applyInPandas(tile, "a long, b long, dot double")
     pairs = partial if chunks == 1 else partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    return pairs.select("a", "b", F.col("dot").alias("similarity"))
+    pairs = pairs.select("a", "b", F.col("dot").alias("similarity"))
+    # sums over all chunks are known here: at most ``top`` partners of an entity go on, cut before they are gathered
+    return pairs if top is None else most_similar(pairs, top).drop("rank")
 
 
 def _tile_pairs(rows: np.ndarray, cols: np.ndarray, total: np.ndarray, top: int | None) -> pd.DataFrame:

@@ -36,7 +36,7 @@ def _hash_ranked(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
 def _per_class(label: str, values: dict):
     result = F.lit(None).cast("long")
     for k, v in values.items():
-        result = F.when(F.col(label) == F.lit(k), F.lit(v)).otherwise(result)
+        result = F.when(F.col(label).eqNullSafe(F.lit(k)), F.lit(v)).otherwise(result)
     return result
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.functions.special import f_sf
+from meterwise.operators.clean import nan_to_null
 from meterwise.operators.ranking import bucket_column, quantiles, unpivot_numeric
 
 MAX_GRAM_COLUMNS = 2_000
@@ -161,15 +162,17 @@ def recursive_elimination_cv(
 
 
 def f_regression(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """Univariate F score and p-value of each feature, from one aggregation."""
-    y = F.col(target).cast("double")
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), *[F.corr(F.col(f).cast("double"), y).alias(f"r{i}") for i, f in enumerate(features)]
+    """Univariate F score and p-value of each feature over its complete pairs, from one aggregation."""
+    columns = [*features, target]
+    known = nan_to_null(df.select(*[F.col(c).cast("double").alias(c) for c in columns]))
+    pair = lambda f: F.when(F.col(f).isNotNull() & F.col(target).isNotNull(), 1)
+    row = known.agg(
+        *[F.count(pair(f)).alias(f"n{i}") for i, f in enumerate(features)], *[F.corr(f, target).alias(f"r{i}") for i, f in enumerate(features)]
     ).first()
     rows = []
     for i, f in enumerate(features):
-        r, free = row[f"r{i}"], row["n"] - 2
-        score = None if r is None or r * r >= 1 else r * r * free / (1 - r * r)
+        r, free = row[f"r{i}"], row[f"n{i}"] - 2
+        score = None if r is None or r * r >= 1 or free < 1 else r * r * free / (1 - r * r)
         rows.append((f, score, None if score is None else f_sf(score, 1, free)))
     return df.sparkSession.createDataFrame(rows, "feature string, f double, p_value double")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterwise.functions.normal import normal_log_cdf, normal_quantile
 from meterwise.functions.special import chi2_sf, f_sf, norm_sf, t_two_sided
+from meterwise.operators.clean import nan_to_null
 from meterwise.operators.ranking import cumulative_counts, quantiles, row_numbers
 
 MAX_FACTOR_LEVELS = 1_000
@@ -75,26 +76,19 @@ def qq_fit(df: DataFrame, column: str, key: str, band: float = 0.15) -> DataFram
     )
 
 
-def _group_moments(df: DataFrame, group: str, value: str) -> list:
-    rows = (
-        df.filter(F.col(group).isNotNull() & F.col(value).isNotNull())
-        .groupBy(group)
-        .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), (F.var_pop(value) * F.count(F.lit(1))).alias("ss"))
-        .limit(MAX_FACTOR_LEVELS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_FACTOR_LEVELS:
-        raise ValueError(f"{group!r} has more than {MAX_FACTOR_LEVELS} levels")
-    return rows
-
-
 def one_way_f(df: DataFrame, group: str, value: str) -> dict:
-    rows = _group_moments(df, group, value)
-    n, k = sum(r["n"] for r in rows), len(rows)
-    grand = sum(r["n"] * r["m"] for r in rows) / n
-    between = sum(r["n"] * (r["m"] - grand) ** 2 for r in rows) / (k - 1)
-    inside = sum(r["ss"] for r in rows) / (n - k)
-    statistic = between / inside
+    """One-way analysis of variance; the groups' moments are added up on the executors, however many there are.
+
+    Rows with a missing group or value (NULL or NaN) are left out."""
+    rows = nan_to_null(df.select(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))).filter("g IS NOT NULL AND v IS NOT NULL")
+    grand = rows.agg(F.avg("v")).first()[0]
+    size = F.count(F.lit(1))
+    groups = rows.groupBy("g").agg(
+        size.alias("n"), (F.var_pop("v") * size).alias("ss"), (size * F.pow(F.avg("v") - F.lit(grand), 2)).alias("sb")
+    )
+    s = groups.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("ss").alias("inside"), F.sum("sb").alias("between")).first()
+    k, n = s["k"], s["n"]
+    statistic = (s["between"] / (k - 1)) / (s["inside"] / (n - k))
     return {"statistic": statistic, "p_value": f_sf(statistic, k - 1, n - k), "groups": k, "n": n}
 
 
@@ -102,8 +96,7 @@ def levene(df: DataFrame, group: str, value: str) -> dict:
     """Equality of variances by deviations from exact group medians."""
     base = df.select(group, F.col(value).cast("double").alias("v")).dropna()
     medians = quantiles(base, "v", [0.5], [group])
-    # one row per factor level
-    deviations = base.join(F.broadcast(medians.limit(MAX_FACTOR_LEVELS + 1)), group).select(
+    deviations = base.join(medians, group).select(
         group, F.abs(F.col("v") - F.col("q0")).alias("z")
     )
     return one_way_f(deviations, group, "z")
@@ -111,21 +104,17 @@ def levene(df: DataFrame, group: str, value: str) -> dict:
 
 def kruskal_wallis(df: DataFrame, group: str, value: str) -> dict:
     """Rank test with tie correction; average ranks come from the distinct-value counts."""
-    base = df.select(group, F.col(value).cast("double").alias("v")).dropna()
+    base = nan_to_null(df.select(group, F.col(value).cast("double").alias("v"))).dropna()
     ranks = cumulative_counts(base, "v").withColumn("rank", F.col("below") + (F.col("n") + 1) / 2)
     ties = ranks.agg(F.sum(F.pow(F.col("n").cast("double"), 3) - F.col("n")).alias("t"), F.max("total").alias("n")).first()
     cells = base.groupBy(group, "v").agg(F.count(F.lit(1)).alias("c"))
-    sums = (
-        cells.join(ranks.select(F.col("value").alias("v"), "rank"), "v")
-        .groupBy(group)
-        .agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("c").alias("n"))
-        .limit(MAX_FACTOR_LEVELS + 1)
-        .collect()
-    )
-    n = ties["n"]
-    h = 12 / (n * (n + 1)) * sum(r["r"] ** 2 / r["n"] for r in sums) - 3 * (n + 1)
+    ranked = cells.join(ranks.select(F.col("value").alias("v"), "rank"), "v")
+    sums = ranked.groupBy(group).agg(F.sum(F.col("c") * F.col("rank")).alias("r"), F.sum("c").alias("n"))
+    total = sums.agg(F.sum(F.col("r") * F.col("r") / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k")).first()
+    n, k = ties["n"], total["k"]
+    h = 12 / (n * (n + 1)) * total["s"] - 3 * (n + 1)
     h /= 1 - ties["t"] / (float(n) ** 3 - n)
-    return {"statistic": h, "p_value": chi2_sf(h, len(sums) - 1), "groups": len(sums), "n": n}
+    return {"statistic": h, "p_value": chi2_sf(h, k - 1), "groups": k, "n": n}
 
 
 def dagostino(df: DataFrame, column: str) -> dict:
@@ -148,26 +137,33 @@ def dagostino(df: DataFrame, column: str) -> dict:
 
 def chi2_independence(df: DataFrame, a: str, b: str, correction: bool = True) -> dict:
     """χ² test of a crosstab, with Yates' correction on 2 × 2; cells with no rows count."""
-    counts = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count(F.lit(1)).alias("o"))
-    rows = counts.limit(MAX_FACTOR_LEVELS**2).collect()  # category pairs
-    left, right = sorted({r[a] for r in rows}), sorted({r[b] for r in rows})
-    if max(len(left), len(right)) > MAX_FACTOR_LEVELS:
-        raise ValueError("too many categories")
-    table = np.zeros((len(left), len(right)))
-    for r in rows:
-        table[left.index(r[a]), right.index(r[b])] = r["o"]
-    return _chi2_table(table, correction)
-
-
-def _chi2_table(table: np.ndarray, correction: bool) -> dict:
-    n = table.sum()
-    expected = np.outer(table.sum(1), table.sum(0)) / n
-    free = (table.shape[0] - 1) * (table.shape[1] - 1)
-    gap = np.abs(table - expected)
-    if correction and free == 1:
-        gap = np.maximum(gap - 0.5, 0)
-    statistic = float((gap**2 / expected).sum()) if free else 0.0
-    return {"statistic": statistic, "p_value": chi2_sf(statistic, free) if free else 1.0, "dof": free, "n": int(n)}
+    pairs = df.select(F.col(a).alias("x"), F.col(b).alias("y")).filter("x IS NOT NULL AND y IS NOT NULL")
+    cells = pairs.groupBy("x", "y").agg(F.count(F.lit(1)).cast("double").alias("o"))
+    left = cells.groupBy("x").agg(F.sum("o").alias("nx"))
+    right = cells.groupBy("y").agg(F.sum("o").alias("ny"))
+    n, rows, columns = cells.agg(F.sum("o"), F.count_distinct("x"), F.count_distinct("y")).first()
+    free = (rows - 1) * (columns - 1)
+    if not free:
+        return {"statistic": 0.0, "p_value": 1.0, "dof": 0, "n": int(n or 0)}
+    expected = F.col("nx") * F.col("ny") / F.lit(n)
+    yates = 0.5 if correction and free == 1 else 0.0
+    gap = F.greatest(F.abs(F.col("o") - expected) - F.lit(yates), F.lit(0.0))
+    # a cell without rows adds its expected count: all expected counts together are n
+    met = cells.join(left, "x").join(right, "y")
+    seen, covered, count = met.agg(F.sum(gap * gap / expected), F.sum(expected), F.count(F.lit(1))).first()
+    statistic = seen + (n - covered)
+    if yates and count < 4:
+        # of a 2 x 2 table with an empty cell: the correction holds there too
+        statistic = seen + _empty_cells(met, left, right, n, yates)
+    return {"statistic": statistic, "p_value": chi2_sf(statistic, free), "dof": free, "n": int(n)}
+
+
+def _empty_cells(met: DataFrame, left: DataFrame, right: DataFrame, n: float, yates: float) -> float:
+    """Corrected terms of the empty cells of a 2 x 2 table."""
+    seen = {(r["x"], r["y"]) for r in met.select("x", "y").collect()}
+    columns = right.collect()
+    empty = [r["nx"] * c["ny"] / n for r in left.collect() for c in columns if (r["x"], c["y"]) not in seen]
+    return sum(max(e - yates, 0.0) ** 2 / e for e in empty)
 
 
 def cramers_v(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:

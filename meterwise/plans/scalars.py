@@ -194,12 +194,16 @@ def binary_labels(t: Tables) -> DataFrame:
 
 @query(
     "joint_share_recode",
-    """WITH s AS (SELECT l_suppkey FROM lineitem GROUP BY 1 HAVING avg(CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END) >= 0.34)
-    SELECT l_suppkey, CAST(l_suppkey IN (SELECT l_suppkey FROM s) AS INTEGER) AS flag, count(*) AS n FROM lineitem GROUP BY 1, 2""",
+    """WITH s AS (SELECT l_shipmonth FROM (SELECT month(l_shipdate) AS l_shipmonth, l_returnflag FROM lineitem) GROUP BY 1
+      HAVING count(*) FILTER (WHERE l_returnflag = 'A') >= 0.028 * (SELECT count(*) FROM lineitem))
+    SELECT month(l_shipdate) AS l_shipmonth, CAST(month(l_shipdate) IN (SELECT l_shipmonth FROM s) AS INTEGER) AS flag, count(*) AS n
+    FROM lineitem GROUP BY 1, 2""",
 )
 def joint_share_recode(t: Tables) -> DataFrame:
-    coded = features.recode_by_joint_share(t.lineitem.select("l_suppkey", "l_returnflag"), "l_suppkey", "l_returnflag", "A", 0.34)
-    return coded.groupBy("l_suppkey", F.col("l_suppkey_flag").alias("flag")).agg(F.count(F.lit(1)).alias("n"))
+    """Ship months whose returned rows are at least 2.8 % of all line items."""
+    months = t.lineitem.select(F.month("l_shipdate").cast("long").alias("l_shipmonth"), "l_returnflag")
+    coded = features.recode_by_joint_share(months, "l_shipmonth", "l_returnflag", "A", 0.028)
+    return coded.groupBy("l_shipmonth", F.col("l_shipmonth_flag").alias("flag")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -63,21 +63,24 @@ def site_positions(spark: SparkSession, coordinates: Sequence[tuple[float, float
 def read_polygons(spark: SparkSession, path: str, label: str = "commune", lines: bool = False) -> DataFrame:
     """GeoJSON feature collections (one per file, or one per line) to (label, rings, ord).
 
-    The rings of all parts of a polygon share one array.
+    The rings of all parts of a polygon share one array.  ``ord`` (file, position of the collection, position of
+    the feature, as text) orders the polygons of all files and lines, so "the first polygon" is one of them.
     """
     # coordinates stay text until the geometry type tells their depth
     schema = (
         "features ARRAY<STRUCT<properties: MAP<STRING, STRING>, geometry: STRUCT<type: STRING, coordinates: STRING>>>"
     )
     raw = spark.read.schema(schema).options(multiLine=not lines, mode="FAILFAST").json(path)
-    features = raw.select(F.posexplode("features").alias("ord", "f"))
+    # the row number inside a partition follows the lines of a file
+    raw = raw.select("features", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
+    features = raw.select("file", "line", F.posexplode("features").alias("ord", "f"))
     text = F.col("f.geometry.coordinates")
     single = F.from_json(text, "ARRAY<ARRAY<ARRAY<DOUBLE>>>")
     multi = F.flatten(F.from_json(text, "ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>"))
     return features.select(
         F.col("f.properties")[label].alias(label),
         F.when(F.col("f.geometry.type") == "MultiPolygon", multi).otherwise(single).alias("rings"),
-        F.col("ord").cast("long").alias("ord"),
+        F.concat_ws("|", "file", F.lpad(F.col("line").cast("string"), 20, "0"), F.lpad(F.col("ord").cast("string"), 10, "0")).alias("ord"),
     )
 
 

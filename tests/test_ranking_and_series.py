@@ -9,12 +9,10 @@ from pyspark.sql import functions as F
 from meterwise.operators import analytics, forecast, ranking, timeseries
 
 
-@pytest.fixture(params=[100_000, 500], ids=["small", "split"])
+@pytest.fixture(params=[100_000, 300, 20], ids=["one bucket", "buckets", "many buckets"])
 def group_limit(request, monkeypatch):
-    """Run a test with whole windows and with groups split into buckets."""
-    monkeypatch.setattr(ranking, "SMALL_GROUP", request.param)
-    if request.param == 500:
-        monkeypatch.setattr(ranking, "SMALL_TABLE", 0)
+    """Run a test with groups in one bucket and split into buckets."""
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", request.param)
 
 
 def skewed(spark, n=6000):
@@ -54,6 +52,32 @@ def test_cumulative_counts(spark, group_limit):
     assert got == {v: (int(counts[v]), int(below[v]), len(pdf)) for v in counts.index}
 
 
+def test_missing_and_infinite_values_have_fixed_places(spark, group_limit):
+    """NULL first, then -infinity, numbers, infinity, NaN: the same for any number of buckets."""
+    special = {0: None, 1: float("-inf"), 2: float("inf"), 3: float("nan")}
+    values = [special.get(i % 10, float(i % 97)) for i in range(1000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v double")
+
+    def place(v):
+        return (0, 0.0) if v is None else (2, 0.0) if math.isnan(v) else (1, v)
+
+    order = sorted(range(1000), key=lambda i: (place(values[i]), i))
+    got = {r.id: (r.row_number, r.row_number_total) for r in ranking.row_numbers(df, "v", "id").collect()}
+    assert got == {i: (k + 1, 1000) for k, i in enumerate(order)}
+    known = sorted(v for v in values if v is not None and not math.isnan(v))
+    found = ranking.quantiles(df, "v", [0.0, 0.05, 0.5, 0.99, 1.0]).first()
+    assert list(found) == [known[0], known[39], (known[399] + known[400]) / 2, float("inf"), float("inf")]
+
+
+def test_many_groups(spark, group_limit):
+    """More than a thousand groups, of which one is large."""
+    group = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1301)
+    df = spark.range(6000).select("id", group.alias("g"), (F.col("id") * 7 % 1009).cast("double").alias("v"))
+    pdf = df.toPandas()
+    got = {r.g: r.q0 for r in ranking.quantiles(df, "v", [0.5], ["g"]).collect()}
+    assert got == pytest.approx(pdf.groupby("g")["v"].median().to_dict())
+
+
 def test_results_do_not_depend_on_partitions(spark, group_limit):
     df = skewed(spark, 1000)
     a = rows(ranking.quantiles(df.repartition(1), "v", [0.3, 0.7], ["g"]))

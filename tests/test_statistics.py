@@ -146,3 +146,34 @@ def test_elimination_keeps_the_signal(spark):
     path = selection.ridge_path(df, names, "y", [0.0, 1e6], "fold").collect()
     assert path[0].coefficients == pytest.approx([3, 0, -2, 0], abs=0.05) and max(map(abs, path[1].coefficients)) < 0.01
     assert selection.select_from_model(names, [3.0, 0.0, -2.0, 1e-12], "nonzero") == ["a", "c"]
+
+
+def test_tests_take_any_number_of_groups(spark):
+    """2 000 groups and two columns of many categories, against plain formulas."""
+    import numpy as np
+
+    df = spark.range(8000).selectExpr("id % 2000 AS g", "cast(id * 37 % 1009 AS double) AS v", "id % 1201 AS a", "id * 31 % 7 AS b")
+    pdf = df.toPandas()
+    ranks = pdf["v"].rank()
+    n = len(pdf)
+    h = 12 / (n * (n + 1)) * (ranks.groupby(pdf["g"]).sum() ** 2 / pdf.groupby("g").size()).sum() - 3 * (n + 1)
+    t = pdf["v"].value_counts()
+    found = stats.kruskal_wallis(df, "g", "v")
+    assert found["groups"] == 2000 and found["statistic"] == pytest.approx(h / (1 - (t**3 - t).sum() / (n**3 - n)))
+    table = np.zeros((1201, 7))
+    np.add.at(table, (pdf["a"], pdf["b"]), 1)
+    expected = np.outer(table.sum(1), table.sum(0)) / n
+    found = stats.chi2_independence(df, "a", "b")
+    assert found["dof"] == 1200 * 6 and found["statistic"] == pytest.approx(((table - expected) ** 2 / expected).sum())
+    means = pdf.groupby("g")["v"].agg(["mean", "size", "var"])
+    between = (means["size"] * (means["mean"] - pdf["v"].mean()) ** 2).sum() / 1999
+    inside = (means["var"] * (means["size"] - 1)).sum() / (n - 2000)
+    assert stats.one_way_f(df, "g", "v")["statistic"] == pytest.approx(between / inside)
+
+
+def test_yates_correction_with_an_empty_cell(spark):
+    rows = [("x", "p")] * 6 + [("x", "q")] * 3 + [("y", "p")] * 5
+    table, n = [[6, 3], [5, 0]], 14
+    expected = [[11 * 9 / n, 3 * 9 / n], [11 * 5 / n, 3 * 5 / n]]
+    want = sum(max(abs(table[i][j] - expected[i][j]) - 0.5, 0) ** 2 / expected[i][j] for i in range(2) for j in range(2))
+    assert stats.chi2_independence(spark.createDataFrame(rows, "a string, b string"), "a", "b")["statistic"] == pytest.approx(want)
