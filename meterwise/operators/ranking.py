@@ -71,12 +71,12 @@ def _numeric(df: DataFrame, column: str) -> Column:
 
 def _offsets(table: DataFrame, groups: list[str], sums: dict[str, Column]) -> DataFrame:
     """Sums before each bucket of a group and over the whole group."""
-    totals = table.groupBy(*groups, "bucket").agg(*[c.alias(f"b_{n}") for n, c in sums.items()])
+    totals = table.groupBy(*groups, "__bucket").agg(*[c.alias(f"b_{n}") for n, c in sums.items()])
     by_group = Window.partitionBy(*groups)
-    before = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
         *groups,
-        "bucket",
+        "__bucket",
         *[F.coalesce(F.sum(f"b_{n}").over(before), F.lit(0)).alias(f"o_{n}") for n in sums],
         *[F.sum(f"b_{n}").over(by_group).alias(f"t_{n}") for n in sums],
     )
@@ -84,12 +84,12 @@ def _offsets(table: DataFrame, groups: list[str], sums: dict[str, Column]) -> Da
 
 def _running(reduced: DataFrame, base: DataFrame, groups: list[str], weights: list[str]) -> DataFrame:
     """``below_<w>`` (sum over smaller values) and ``total_<w>`` for reduced rows."""
-    table = reduced.withColumn("bucket", bucket_column("value", _bounds(base, "value", bucket_count(base))))
-    ordered = Window.partitionBy(*groups, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    table = reduced.withColumn("__bucket", bucket_column("value", _bounds(base, "value", bucket_count(base))))
+    ordered = Window.partitionBy(*groups, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     offsets = _offsets(table, groups, {w: F.sum(w) for w in weights})
     for w in weights:
         table = table.withColumn(f"below_{w}", F.sum(w).over(ordered) - F.col(w))
-    table = null_safe_join(table, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
+    table = null_safe_join(table, offsets, [*groups, "__bucket"], "left", never_null=["__bucket"])
     return table.select(
         *groups,
         "value",
@@ -168,21 +168,21 @@ def row_numbers(
     ``tie`` is a unique number.  A value that holds many rows, NULL and NaN too, is split again by ``tie``.
     """
     groups = list(groups)
-    keyed = df.withColumn("__o", _numeric(df, order)).withColumn("__t", _numeric(df, tie))
-    slim = keyed.select(*groups, "__o", "__t")
+    keyed = df.withColumn("__order", _numeric(df, order)).withColumn("__tie", _numeric(df, tie))
+    slim = keyed.select(*groups, "__order", "__tie")
     buckets = bucket_count(slim)
-    bounds = _bounds(slim, "__o", buckets)
+    bounds = _bounds(slim, "__order", buckets)
     repeated = sorted({b for b in bounds if bounds.count(b) > 1})
-    often = F.col("__o").isNull() | F.col("__o").isin(repeated)
-    if dict(slim.dtypes)["__o"] == "double":
-        often = often | F.isnan("__o")
-    inner = _bounds(slim.filter(often), "__t", buckets)
-    sub = F.when(often, 1 + bucket_column("__t", inner)).otherwise(0)
-    keyed = keyed.withColumn("bucket", bucket_column("__o", bounds).cast("long") * (len(inner) + 3) + sub)
+    often = F.col("__order").isNull() | F.col("__order").isin(repeated)
+    if dict(slim.dtypes)["__order"] == "double":
+        often = often | F.isnan("__order")
+    inner = _bounds(slim.filter(often), "__tie", buckets)
+    sub = F.when(often, 1 + bucket_column("__tie", inner)).otherwise(0)
+    keyed = keyed.withColumn("__bucket", bucket_column("__order", bounds).cast("long") * (len(inner) + 3) + sub)
     # rows of a repeated value come after the smaller values of its bucket, which the bounds end there
-    part = Window.partitionBy(*groups, "bucket")
+    part = Window.partitionBy(*groups, "__bucket")
     offsets = _offsets(keyed, groups, {"n": F.count(F.lit(1))})
-    numbered = keyed.withColumn("__within", F.row_number().over(part.orderBy("__o", "__t")))
-    joined = null_safe_join(numbered, offsets, [*groups, "bucket"], "left", never_null=["bucket"])
+    numbered = keyed.withColumn("__within", F.row_number().over(part.orderBy("__order", "__tie")))
+    joined = null_safe_join(numbered, offsets, [*groups, "__bucket"], "left", never_null=["__bucket"])
     joined = joined.withColumn(name, F.col("o_n") + F.col("__within")).withColumn(f"{name}_total", F.col("t_n"))
-    return joined.drop("__o", "__t", "__within", "o_n", "t_n", "bucket")
+    return joined.drop("__order", "__tie", "__within", "o_n", "t_n", "__bucket")

@@ -1,8 +1,8 @@
 """Resampling, lags, decomposition and autocorrelation.
 
-Readings are first aggregated to one row per (series, bucket).  From there a series is bounded
-by the calendar (87 600 hours in ten years) however many raw readings it had, so windows
-partitioned by series stay small.
+Readings are first aggregated to one row per (series, bucket).  Lags, rolling means and the like number the
+rows of a series exactly (``ranking.row_numbers``) and cut it into blocks of consecutive rows; each block also
+gets the rows before (and behind) it that its windows reach.  No task sees a whole series.
 """
 
 from __future__ import annotations
@@ -12,11 +12,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.functions.calendar import DEFAULT_ZONE, as_instant, hour_bucket, hour_period, wall_clock, week_ending_sunday
 from meterwise.operators.joins import null_safe_join
+from meterwise.operators.ranking import row_numbers
 
 
 def _by(series: Sequence[str], order: str):
@@ -72,25 +73,52 @@ def period_sums(
     return df.groupBy(*series, period.alias("period")).agg(*[F.sum(v).alias(v) for v in values])
 
 
-def lag_column(value: str, series: Sequence[str], order: str, k: int = 1) -> Column:
-    return F.lag(value, k).over(_by(series, order))
+BLOCK_ROWS = 8_192
+
+
+def _blocks(df: DataFrame, order: str, series: Sequence[str], before: int, after: int = 0) -> DataFrame:
+    """Rows with their position (``__i`` from 0), in their block and as neighbours in the blocks next to it.
+
+    ``__own`` marks a row in its own block; windows over (series, ``__block``) by ``__i`` see at least ``before``
+    rows before and ``after`` rows behind every own row, as far as the series has them."""
+    size = max(BLOCK_ROWS, before, after)
+    numbered = row_numbers(df, order, order, series, "__i").withColumn("__i", F.col("__i") - 1).withColumnRenamed("__i_total", "__n")
+    own, at = F.floor(F.col("__i") / size), F.col("__i") % size
+    also = F.array(F.when(at >= size - before, own + 1), F.when(at < after, own - 1))
+    placed = numbered.withColumn("__home", own).withColumn("__block", F.explode(F.array_compact(F.concat(F.array(own), also))))
+    return placed.withColumn("__own", F.col("__block") == F.col("__home")).drop("__home")
+
+
+def _in_block(series: Sequence[str]):
+    return Window.partitionBy(*series, "__block").orderBy("__i")
+
+
+def _owned(blocks: DataFrame) -> DataFrame:
+    return blocks.filter("__own").drop("__own", "__block", "__i", "__n")
+
+
+def lagged(df: DataFrame, value: str, order: str, k: int = 1, series: Sequence[str] = (), name: str = "lag1") -> DataFrame:
+    """Add the value ``k`` rows earlier in the series."""
+    blocks = _blocks(df, order, series, k)
+    return _owned(blocks.withColumn(name, F.lag(value, k).over(_in_block(series))))
 
 
 def seasonal_difference(
     df: DataFrame, value: str, order: str, lags: Sequence[int], series: Sequence[str] = ()
 ) -> DataFrame:
-    """Chained differences over observed rows; rows without a full history are dropped."""
-    w = _by(series, order)
-    out = df
+    """Chained differences over observed rows; rows without a value or a full history are dropped."""
+    reach = sum(lags)
+    out = _blocks(df.filter(F.col(value).isNotNull()), order, series, reach)
     for k in lags:
-        out = out.withColumn(value, F.col(value) - F.lag(value, k).over(w)).filter(F.col(value).isNotNull())
-    return out
+        out = out.withColumn(value, F.col(value) - F.lag(value, k).over(_in_block(series)))
+    return _owned(out.filter(F.col("__i") >= reach))
 
 
 def rolling_mean(df: DataFrame, value: str, order: str, window: int, series: Sequence[str] = (), name: str = "rolling") -> DataFrame:
     """Mean of the last ``window`` rows; NULL until the window is full or where it has a gap."""
-    w = _by(series, order).rowsBetween(-(window - 1), 0)
-    return df.withColumn(name, F.when(F.count(value).over(w) == window, F.avg(value).over(w)))
+    blocks = _blocks(df, order, series, window - 1)
+    w = _in_block(series).rowsBetween(-(window - 1), 0)
+    return _owned(blocks.withColumn(name, F.when(F.count(value).over(w) == window, F.avg(value).over(w))))
 
 
 def decompose(df: DataFrame, value: str, order: str, period: int = 24, series: Sequence[str] = ()) -> DataFrame:
@@ -100,8 +128,9 @@ def decompose(df: DataFrame, value: str, order: str, period: int = 24, series: S
     period); seasonal is the mean detrended value per phase, centred to sum 0.
     """
     series = list(series)
-    w = _by(series, order)
     half = period // 2
+    blocks = _blocks(df, order, series, half, half)
+    w = _in_block(series)
     full = w.rowsBetween(-half, half)
     if period % 2 == 0:
         middle = F.sum(value).over(w.rowsBetween(-(half - 1), half - 1))
@@ -110,10 +139,8 @@ def decompose(df: DataFrame, value: str, order: str, period: int = 24, series: S
     else:
         trend = F.avg(value).over(full)
     complete = F.count(value).over(full) == 2 * half + 1
-    staged = df.withColumn("trend", F.when(complete, trend)).withColumn(
-        "phase", (F.row_number().over(w) - 1) % period
-    )
-    staged = staged.withColumn("__detrended", F.col(value) - F.col("trend"))
+    staged = blocks.withColumn("trend", F.when(complete, trend)).withColumn("phase", F.col("__i") % period)
+    staged = _owned(staged).withColumn("__detrended", F.col(value) - F.col("trend"))
     means = staged.groupBy(*series, "phase").agg(F.avg("__detrended").alias("__m"))
     # ``period`` rows per series
     centred = means.select(*series, "phase", (F.col("__m") - F.avg("__m").over(Window.partitionBy(*series))).alias("seasonal"))
@@ -121,38 +148,39 @@ def decompose(df: DataFrame, value: str, order: str, period: int = 24, series: S
     return joined.withColumn("resid", F.col("__detrended") - F.col("seasonal")).drop("__detrended")
 
 
-def _series_frame(df: DataFrame, series: list[str], order: str, value: str) -> DataFrame:
-    picked = df.select(*series, F.col(order).alias("__o"), F.col(value).cast("double").alias("__y"))
-    return picked if series else picked.withColumn("__all", F.lit(0))
-
-
 def acf(df: DataFrame, value: str, order: str, max_lag: int, series: Sequence[str] = ()) -> DataFrame:
     """Autocorrelation to ``max_lag`` with the white-noise band and the Bartlett standard error.
 
-    One aggregated series (calendar bounded) per Arrow group; output (series, lag, acf, band,
-    bartlett_se).
+    Lagged products are added up block by block (a block also gets the ``max_lag`` rows before it) and summed;
+    output (series, lag, acf, band, bartlett_se).
     """
     series = list(series)
-    base = _series_frame(df, series, order, value)
-    keys = series or ["__all"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.select(*keys).schema)
-
-    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.sort_values("__o")["__y"].to_numpy()
-        n = len(y)
-        d = y - y.mean()
-        total = float(d @ d)
-        lags = min(max_lag, n - 1)
-        r = np.array([float(d[k:] @ d[: n - k]) / total if total else math.nan for k in range(lags + 1)])
-        partial = np.concatenate([[0.0], np.cumsum(r[1:] ** 2)])
-        se = np.array([0.0] + [math.sqrt((1 + 2 * partial[k - 1]) / n) for k in range(1, lags + 1)])
-        out = pd.DataFrame({"lag": range(lags + 1), "acf": r, "band": 1.96 / math.sqrt(n), "bartlett_se": se})
+    base = df.select(*series, F.col(order).alias("__o"), F.col(value).cast("double").alias("__y"))
+    centre = base.groupBy(*series).agg(F.avg("__y").alias("__m"))
+    centred = null_safe_join(base, centre, series, "left").withColumn("__y", F.col("__y") - F.col("__m")).drop("__m")
+    blocks = _blocks(centred, "__o", series, max_lag)
+    keys = [*series, "__block"]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in blocks.select(*keys).schema)
+
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__i")
+        y, own = pdf["__y"].to_numpy(), pdf["__own"].to_numpy()
+        start = int(np.argmax(own)) if own.any() else len(y)
+        lags = np.arange(min(max_lag, int(pdf["__n"].iloc[0]) - 1) + 1)
+        sums = [float(y[max(start, k) :] @ y[max(start, k) - k : len(y) - k]) if k < len(y) else 0.0 for k in lags]
+        out = pd.DataFrame({"lag": lags, "__s": sums, "__n": pdf["__n"].iloc[0]})
         for key in reversed(keys):
             out.insert(0, key, pdf[key].iloc[0])
         return out
 
-    result = base.groupBy(*keys).applyInPandas(per_series, f"{fields}, lag int, acf double, band double, bartlett_se double")
-    return result if series else result.drop("__all")
+    parts = blocks.groupBy(*keys).applyInPandas(products, f"{fields}, lag int, __s double, __n long")
+    sums = parts.groupBy(*series, "lag").agg(F.sum("__s").alias("__s"), F.max("__n").alias("__n"))
+    by_lag = Window.partitionBy(*series).orderBy("lag")  # max_lag + 1 rows per series
+    total = F.first("__s").over(by_lag.rowsBetween(Window.unboundedPreceding, 0))
+    r = sums.select(*series, "lag", "__n", F.when(total != 0, F.col("__s") / total).otherwise(F.lit(math.nan)).alias("acf"))
+    before = F.coalesce(F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(by_lag.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    se = F.when(F.col("lag") == 0, 0.0).otherwise(F.sqrt((1 + 2 * before) / F.col("__n")))
+    return r.select(*series, "lag", "acf", (1.96 / F.sqrt("__n")).alias("band"), se.alias("bartlett_se"))
 
 
 def pacf(df: DataFrame, value: str, order: str, max_lag: int, series: Sequence[str] = ()) -> DataFrame:
@@ -191,11 +219,13 @@ def adf_test(df: DataFrame, value: str, order: str, max_lag: int | None = None)
 
     n = df.count()
     top = min(max_lag if max_lag is not None else math.ceil(12 * (n / 100) ** 0.25), max(0, n // 2 - 2))
-    w = Window.orderBy(order)  # one aggregated series: calendar bounded
-    staged = df.select(order, F.col(value).cast("double").alias("y")).withColumn("level", F.lag("y", 1).over(w))
+    # block by block: an own row sees the top + 1 rows before it
+    w = _in_block(())
+    staged = _blocks(df.select(order, F.col(value).cast("double").alias("y")), order, (), top + 1).withColumn("level", F.lag("y", 1).over(w))
     staged = staged.withColumn("dy", F.col("y") - F.col("level"))
     lagged = [f"d{k}" for k in range(1, top + 1)]
-    staged = staged.select("dy", "level", order, *[F.lag("dy", k).over(w).alias(f"d{k}") for k in range(1, top + 1)])
+    staged = staged.select("*", *[F.lag("dy", k).over(w).alias(f"d{k}") for k in range(1, top + 1)]).filter("__own")
+    staged = staged.select("dy", "level", order, *lagged)
 
     def fit(k: int, sums: np.ndarray):
         # column order of the sums: 1, level, d1..dtop, dy
@@ -234,9 +264,9 @@ def adf_test(df: DataFrame, value: str, order: str, max_lag: int | None = None)
 
 def temporal_split(df: DataFrame, order: str, test_share: float = 0.1, series: Sequence[str] = ()) -> DataFrame:
     """Add ``is_test``: the last ``floor(share · rows)`` rows of each aggregated series."""
-    total = F.count(F.lit(1)).over(Window.partitionBy(*series))
-    position = F.row_number().over(_by(series, order))
-    return df.withColumn("is_test", position > total - F.floor(total * F.lit(test_share)))
+    numbered = row_numbers(df, order, order, series, "__i")
+    limit = F.col("__i_total") - F.floor(F.col("__i_total") * F.lit(test_share))
+    return numbered.withColumn("is_test", F.col("__i") > limit).drop("__i", "__i_total")
 
 
 def supervised_table(
@@ -253,13 +283,13 @@ def supervised_table(
     The rolling mean ends one row before the target unless ``include_current`` is set, which
     lets the target into its own feature.
     """
-    split = temporal_split(df, order, test_share, series)
-    w = Window.partitionBy(*series, "is_test").orderBy(order)
+    parts = [*series, "is_test"]
+    split = _blocks(temporal_split(df, order, test_share, series), order, parts, window)
+    w = _in_block(parts)
     frame = w.rowsBetween(-(window - 1), 0) if include_current else w.rowsBetween(-window, -1)
-    lagged = F.lag(value, 1).over(w)
+    earlier = F.lag(value, 1).over(w)
     mean = F.when(F.count(value).over(frame) == window, F.avg(value).over(frame))
-    built = split.withColumn(f"{value}_lag1", lagged).withColumn(f"{value}_MA{window}", mean)
-    return built.dropna()
+    return _owned(split.withColumn(f"{value}_lag1", earlier).withColumn(f"{value}_MA{window}", mean)).dropna()
 
 
 def seasonal_profile(df: DataFrame, instant: str, value: str, zone: str = DEFAULT_ZONE) -> DataFrame:

@@ -33,12 +33,12 @@ def resample_hours(t: Tables) -> DataFrame:
 
 @query(
     "resample_days",
-    f"""WITH x AS (SELECT event_type, CAST({PARIS} AS DATE) AS d, sum(value) AS v FROM events WHERE value > 99 GROUP BY 1, 2),
+    f"""WITH x AS (SELECT event_type, CAST({PARIS} AS DATE) AS d, sum(value) AS v FROM events GROUP BY 1, 2),
     s AS (SELECT event_type, CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS d FROM x GROUP BY 1)
     SELECT s.event_type, strftime(s.d, '%Y-%m-%d') AS bucket, round(coalesce(x.v, 0), 4) AS value FROM s LEFT JOIN x ON s.event_type = x.event_type AND s.d = x.d""",
 )
 def resample_days(t: Tables) -> DataFrame:
-    days = ts.resample_days(paris_events(t).filter("value > 99"), "ts", "value", ["event_type"])
+    days = ts.resample_days(paris_events(t), "ts", "value", ["event_type"])
     return days.select("event_type", F.date_format("bucket", "yyyy-MM-dd").alias("bucket"), r6("value", 4).alias("value"))
 
 
@@ -65,8 +65,7 @@ def period_sums(t: Tables) -> DataFrame:
     CASE WHEN i >= 23 THEN round(avg(y) OVER (ORDER BY i ROWS 23 PRECEDING), 6) END AS rolling FROM h""")
 def lag_and_rolling(t: Tables) -> DataFrame:
     rolled = ts.rolling_mean(hourly(t), "value", "bucket", 24)
-    lagged = rolled.withColumn("lag1", ts.lag_column("value", [], "bucket"))
-    return lagged.select(text_time("bucket").alias("bucket"), r6("lag1", 4).alias("lag1"), r6("rolling").alias("rolling"))
+    return ts.lagged(rolled, "value", "bucket").select(text_time("bucket").alias("bucket"), r6("lag1", 4).alias("lag1"), r6("rolling").alias("rolling"))
 
 
 @query("seasonal_difference", f"""WITH {HOURLY}, a AS (SELECT bucket, i, y - lag(y, 24) OVER (ORDER BY i) AS d FROM h), b AS (SELECT * FROM a WHERE d IS NOT NULL),
@@ -107,6 +106,50 @@ def autocorrelation_672(t: Tables) -> DataFrame:
     return ts.acf(hourly(t), "value", "bucket", 672).select("lag", r6("acf", 8).alias("acf"), r6("band", 8).alias("band"))
 
 
+USER_HOURLY = """g AS (SELECT user_id, min(date_trunc('hour', ts)) AS a, max(date_trunc('hour', ts)) AS b FROM events GROUP BY 1),
+ s AS (SELECT user_id, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS bucket FROM g),
+ h AS (SELECT s.user_id, s.bucket, CAST(row_number() OVER (PARTITION BY s.user_id ORDER BY s.bucket) - 1 AS BIGINT) AS i, coalesce(x.v, 0) AS y FROM s
+  LEFT JOIN (SELECT user_id, date_trunc('hour', ts) AS bucket, sum(value) AS v FROM events GROUP BY 1, 2) x ON s.user_id = x.user_id AND s.bucket = x.bucket)"""
+
+
+def user_hourly(t: Tables) -> DataFrame:
+    return ts.resample_hours(t.events, "ts", "value", ["user_id"])
+
+
+@query("lag_and_rolling_by_user", f"""WITH {USER_HOURLY} SELECT user_id, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(lag(y) OVER (PARTITION BY user_id ORDER BY i), 4) AS lag1,
+    CASE WHEN i >= 23 THEN round(avg(y) OVER (PARTITION BY user_id ORDER BY i ROWS 23 PRECEDING), 6) END AS rolling FROM h""")
+def lag_and_rolling_by_user(t: Tables) -> DataFrame:
+    rolled = ts.lagged(ts.rolling_mean(user_hourly(t), "value", "bucket", 24, ["user_id"]), "value", "bucket", 1, ["user_id"])
+    return rolled.select("user_id", text_time("bucket").alias("bucket"), r6("lag1", 4).alias("lag1"), r6("rolling").alias("rolling"))
+
+
+@query("seasonal_difference_by_user", f"""WITH {USER_HOURLY}, a AS (SELECT user_id, bucket, i, y - lag(y, 24) OVER (PARTITION BY user_id ORDER BY i) AS d FROM h)
+    SELECT user_id, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(d, 4) + 0.0 AS value FROM a WHERE d IS NOT NULL""")
+def seasonal_difference_by_user(t: Tables) -> DataFrame:
+    differences = ts.seasonal_difference(user_hourly(t), "value", "bucket", [24], ["user_id"])
+    return differences.select("user_id", text_time("bucket").alias("bucket"), r6("value", 4).alias("value"))
+
+
+@query("temporal_split_by_user", f"""WITH {USER_HOURLY}, n AS (SELECT user_id, count(*) AS n FROM h GROUP BY 1)
+    SELECT h.user_id, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, CAST(i >= n - floor(n * 0.1) AS INTEGER) AS is_test FROM h JOIN n ON h.user_id = n.user_id""")
+def temporal_split_by_user(t: Tables) -> DataFrame:
+    split = ts.temporal_split(user_hourly(t), "bucket", 0.1, ["user_id"])
+    return split.select("user_id", text_time("bucket").alias("bucket"), F.col("is_test").cast("int").alias("is_test"))
+
+
+@query("autocorrelation_by_type", """WITH g AS (SELECT event_type, min(date_trunc('hour', ts)) AS a, max(date_trunc('hour', ts)) AS b FROM events GROUP BY 1),
+    s AS (SELECT event_type, unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS bucket FROM g),
+    h AS (SELECT s.event_type, row_number() OVER (PARTITION BY s.event_type ORDER BY s.bucket) AS i, coalesce(x.v, 0) AS y FROM s
+     LEFT JOIN (SELECT event_type, date_trunc('hour', ts) AS bucket, sum(value) AS v FROM events GROUP BY 1, 2) x ON s.event_type = x.event_type AND s.bucket = x.bucket),
+    m AS (SELECT event_type, avg(y) AS m FROM h GROUP BY 1), c AS (SELECT h.event_type, i, y - m AS d FROM h JOIN m ON h.event_type = m.event_type),
+    v AS (SELECT event_type, sum(d * d) AS v FROM c GROUP BY 1), k AS (SELECT CAST(k AS INTEGER) AS k FROM range(49) t(k))
+    SELECT a.event_type, k.k AS lag, round(sum(a.d * b.d) / any_value(v.v), 8) + 0.0 AS acf FROM k JOIN c a ON true JOIN c b ON b.event_type = a.event_type AND b.i = a.i + k.k
+    JOIN v ON v.event_type = a.event_type GROUP BY 1, 2""")
+def autocorrelation_by_type(t: Tables) -> DataFrame:
+    by_type = ts.resample_hours(t.events, "ts", "value", ["event_type"])
+    return ts.acf(by_type, "value", "bucket", 48, ["event_type"]).select("event_type", "lag", r6("acf", 8).alias("acf"))
+
+
 @query("partial_autocorrelation")
 def partial_autocorrelation(t: Tables) -> DataFrame:
     by_type = ts.resample_hours(t.events, "ts", "value", ["event_type"])

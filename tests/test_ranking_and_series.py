@@ -184,3 +184,36 @@ def test_shares_sum_to_one(spark):
     df = spark.range(500).select((F.col("id") % 7).alias("a"), (F.col("id") % 3).alias("b"))
     shares = analytics.crosstab(df, "a", "b", "columns").groupBy("b").agg(F.sum("share").alias("s")).collect()
     assert all(r.s == pytest.approx(1) for r in shares)
+
+
+@pytest.fixture(params=[8_192, 24], ids=["one block", "blocks"])
+def block_rows(request, monkeypatch):
+    monkeypatch.setattr(timeseries, "BLOCK_ROWS", request.param)
+
+
+def test_blocks_see_their_neighbours(spark, block_rows):
+    """Lags, differences, rolling means and autocorrelations of several series, cut into blocks, against pandas."""
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"s": np.repeat(["a", "b"], 150), "t": np.tile(np.arange(150), 2), "y": rng.standard_normal(300).cumsum()})
+    df = spark.createDataFrame(pdf).repartition(5)
+    by = pdf.groupby("s")["y"]
+
+    def same(table, name, expected):
+        got = table.toPandas().set_index(["s", "t"])[name].sort_index()
+        want = pd.Series(expected.to_numpy(), index=pd.MultiIndex.from_frame(pdf[["s", "t"]])).reindex(got.index)
+        assert len(got) and np.allclose(got.astype(float), want, equal_nan=True)
+
+    same(timeseries.lagged(df, "y", "t", 30, ["s"]), "lag1", by.shift(30))
+    same(timeseries.rolling_mean(df, "y", "t", 7, ["s"]), "rolling", by.transform(lambda x: x.rolling(7).mean()))
+    differences = timeseries.seasonal_difference(df, "y", "t", [1, 24], ["s"])
+    assert differences.count() == 250
+    same(differences, "y", by.transform(lambda x: x.diff().diff(24)))
+    found = {(r.s, r.lag): r.acf for r in timeseries.acf(df, "y", "t", 40, ["s"]).collect()}
+    for s, y in by:
+        d = y.to_numpy() - y.mean()
+        assert all(found[s, k] == pytest.approx(d[k:] @ d[: len(d) - k] / (d @ d)) for k in range(41))
+    test = timeseries.temporal_split(df, "t", 0.1, ["s"]).filter("is_test").select("s", "t")
+    assert rows(test) == [(s, t) for s in "ab" for t in range(135, 150)]
+    one = df.filter("s = 'a'")
+    trend = timeseries.decompose(one, "y", "t", 5).toPandas().set_index("t")["trend"].sort_index()
+    assert np.allclose(trend, pdf[pdf.s == "a"]["y"].rolling(5, center=True).mean(), equal_nan=True)
