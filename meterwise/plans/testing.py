@@ -27,13 +27,15 @@ def pearson_test(t: Tables) -> DataFrame:
     z AS (SELECT r.*, (v - m) / s AS z, abs((v - m) / s) / sqrt(2) AS x, CAST(n AS DOUBLE) AS n FROM r, s),
     e AS (SELECT *, 2 / sqrt(pi()) * exp(-x * x) * list_sum(list_transform(range(0, 60), lambda k: CASE WHEN x = 0 THEN 0 ELSE exp(k * ln(2) + (2 * k + 1) * ln(x) - (lgamma(2 * k + 3) - (k + 1) * ln(2) - lgamma(k + 2))) END)) AS erf FROM z),
     p AS (SELECT *, 0.5 * (1 + sign(z) * erf) AS up, 0.5 * (1 - sign(z) * erf) AS down FROM e)
-    SELECT round(-any_value(n) - sum((pow(a + c, 2) - pow(a, 2)) * ln(up) + (pow(n - a, 2) - pow(n - a - c, 2)) * ln(down)) / any_value(n), 5) AS statistic, round(0.787 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_5 FROM p""",
+    SELECT round(-any_value(n) - sum((pow(a + c, 2) - pow(a, 2)) * ln(up) + (pow(n - a, 2) - pow(n - a - c, 2)) * ln(down)) / any_value(n), 5) AS statistic, round(0.576 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_15, round(0.656 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_10,
+    round(0.787 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_5, round(0.918 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_2_5, round(1.092 / any_value(1 + 4 / n - 25 / (n * n)), 8) AS critical_1 FROM p""",
 )
 def anderson_darling(t: Tables) -> DataFrame:
     found = stats.anderson_darling(t.lineitem, "l_extendedprice")
-    return t.literal([(float(found["statistic"]), float(found["critical"][5.0]))], "statistic double, critical_5 double").select(
-        r6("statistic", 5).alias("statistic"), r6("critical_5", 8).alias("critical_5")
-    )
+    levels = {"critical_15": 15.0, "critical_10": 10.0, "critical_5": 5.0, "critical_2_5": 2.5, "critical_1": 1.0}
+    row = (float(found["statistic"]), *(float(found["critical"][level]) for level in levels.values()))
+    table = t.literal([row], ", ".join(f"{name} double" for name in ["statistic", *levels]))
+    return table.select(r6("statistic", 5).alias("statistic"), *[r6(name, 8).alias(name) for name in levels])
 
 
 @query("normal_plot_fit")
@@ -57,12 +59,13 @@ def normal_plot_positions(t: Tables) -> DataFrame:
 @query(
     "one_way_variance",
     """WITH g AS (SELECT l_returnflag, count(*) AS n, avg(l_extendedprice) AS m, var_pop(l_extendedprice) * count(*) AS ss FROM lineitem GROUP BY 1),
-    t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS grand, sum(ss) AS inside FROM g)
-    SELECT round((SELECT sum(g.n * pow(g.m - t.grand, 2)) FROM g, t) / (k - 1) / (inside / (n - k)), 6) AS statistic, CAST(n AS BIGINT) AS n FROM t""",
+    t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS grand, sum(ss) AS inside FROM g),
+    f AS (SELECT (SELECT sum(g.n * pow(g.m - t.grand, 2)) FROM g, t) / (k - 1) / (inside / (n - k)) AS f, n, k FROM t)
+    SELECT round(f, 6) AS statistic, CASE WHEN k = 3 THEN round(pow(1 + 2 * f / (n - 3), -(n - 3) / 2.0), 8) END AS p_value, CAST(n AS BIGINT) AS n FROM f""",
 )
 def one_way_variance(t: Tables) -> DataFrame:
     found = _one(t, "f", stats.one_way_f(t.lineitem, "l_returnflag", "l_extendedprice"))
-    return found.select(r6("statistic").alias("statistic"), "n")
+    return found.select(r6("statistic").alias("statistic"), r6("p_value", 8).alias("p_value"), "n")
 
 
 @query(
@@ -85,31 +88,51 @@ def factor_variance_table(t: Tables) -> DataFrame:
 
 @query(
     "least_squares_summary",
-    """SELECT 'l_quantity' AS term, round(regr_slope(l_extendedprice, l_quantity), 6) AS coef, round(sqrt((regr_syy(l_extendedprice, l_quantity) - pow(regr_sxy(l_extendedprice, l_quantity), 2) / regr_sxx(l_extendedprice, l_quantity)) / (count(*) - 2) / regr_sxx(l_extendedprice, l_quantity)), 6) AS se FROM lineitem""",
+    """WITH r AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_sxx(y, x) AS sxx, regr_avgx(y, x) AS mx, regr_r2(y, x) AS r2, CAST(count(*) AS DOUBLE) AS n,
+      (regr_syy(y, x) - pow(regr_sxy(y, x), 2) / regr_sxx(y, x)) / (count(*) - 2) AS v FROM (SELECT l_extendedprice AS y, l_quantity AS x FROM lineitem)),
+    t AS (SELECT 'l_quantity' AS term, b AS coef, sqrt(v / sxx) AS se, r2 FROM r UNION ALL SELECT 'Intercept', a, sqrt(v * (1 / n + mx * mx / sxx)), r2 FROM r)
+    SELECT term, round(coef, 5) AS coef, round(se, 6) AS se, round(coef / se, 5) AS t, round(r2, 8) AS r2 FROM t""",
 )
 def least_squares_summary(t: Tables) -> DataFrame:
-    found = stats.ols_summary(t.lineitem, ["l_quantity"], "l_extendedprice").filter("term = 'l_quantity'")
-    return found.select("term", r6("coef").alias("coef"), r6("se").alias("se"))
+    found = stats.ols_summary(t.lineitem, ["l_quantity"], "l_extendedprice")
+    return found.select("term", r6("coef", 5).alias("coef"), r6("se").alias("se"), r6("t", 5).alias("t"), r6("r2", 8).alias("r2"))
 
 
 @query(
     "levene",
     """WITH m AS (SELECT l_returnflag AS g, quantile_cont(l_extendedprice, 0.5) AS md FROM lineitem GROUP BY 1), z AS (SELECT g, abs(l_extendedprice - md) AS z FROM lineitem JOIN m ON l_returnflag = g),
-    s AS (SELECT g, count(*) AS n, avg(z) AS m, var_pop(z) * count(*) AS ss FROM z GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS grand, sum(ss) AS inside FROM s)
-    SELECT round((SELECT sum(s.n * pow(s.m - t.grand, 2)) FROM s, t) / (k - 1) / (inside / (n - k)), 6) AS statistic, CAST(n AS BIGINT) AS n FROM t""",
+    s AS (SELECT g, count(*) AS n, avg(z) AS m, var_pop(z) * count(*) AS ss FROM z GROUP BY 1), t AS (SELECT sum(n) AS n, count(*) AS k, sum(n * m) / sum(n) AS grand, sum(ss) AS inside FROM s),
+    f AS (SELECT (SELECT sum(s.n * pow(s.m - t.grand, 2)) FROM s, t) / (k - 1) / (inside / (n - k)) AS f, n, k FROM t)
+    SELECT round(f, 6) AS statistic, CASE WHEN k = 3 THEN round(pow(1 + 2 * f / (n - 3), -(n - 3) / 2.0), 8) END AS p_value, CAST(n AS BIGINT) AS n FROM f""",
 )
 def levene(t: Tables) -> DataFrame:
-    return _one(t, "levene", stats.levene(t.lineitem, "l_returnflag", "l_extendedprice")).select(r6("statistic").alias("statistic"), "n")
+    found = _one(t, "levene", stats.levene(t.lineitem, "l_returnflag", "l_extendedprice"))
+    return found.select(r6("statistic").alias("statistic"), r6("p_value", 8).alias("p_value"), "n")
 
 
 @query(
     "kruskal_wallis",
     """WITH v AS (SELECT l_quantity AS v, count(*) AS c FROM lineitem GROUP BY 1), r AS (SELECT v, c, sum(c) OVER (ORDER BY v) - c + (c + 1) / 2.0 AS rk FROM v),
-    g AS (SELECT l_returnflag, CAST(sum(rk) AS DOUBLE) AS s, count(*) AS n FROM lineitem JOIN r ON l_quantity = v GROUP BY 1), t AS (SELECT CAST(sum(n) AS DOUBLE) AS n, sum(s * s / n) AS q FROM g), e AS (SELECT sum(pow(c, 3) - c) AS ties FROM v)
-    SELECT round((12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (pow(n, 3) - n)), 5) AS statistic, CAST(n AS BIGINT) AS n FROM t, e""",
+    g AS (SELECT l_returnflag, CAST(sum(rk) AS DOUBLE) AS s, count(*) AS n FROM lineitem JOIN r ON l_quantity = v GROUP BY 1), t AS (SELECT CAST(sum(n) AS DOUBLE) AS n, sum(s * s / n) AS q FROM g), e AS (SELECT sum(pow(c, 3) - c) AS ties FROM v),
+    h AS (SELECT (12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (pow(n, 3) - n)) AS h, n FROM t, e)
+    SELECT round(h, 5) AS statistic, round(exp(-h / 2), 7) AS p_value, CAST(n AS BIGINT) AS n FROM h""",
 )
 def kruskal_wallis(t: Tables) -> DataFrame:
-    return _one(t, "kruskal", stats.kruskal_wallis(t.lineitem, "l_returnflag", "l_quantity")).select(r6("statistic", 5).alias("statistic"), "n")
+    """Three groups: two degrees of freedom, whose tail is exp(-h / 2)."""
+    found = _one(t, "kruskal", stats.kruskal_wallis(t.lineitem, "l_returnflag", "l_quantity"))
+    return found.select(r6("statistic", 5).alias("statistic"), r6("p_value", 7).alias("p_value"), "n")
+
+
+@query(
+    "kruskal_wallis_many_groups",
+    """WITH v AS (SELECT l_quantity AS v, count(*) AS c FROM lineitem GROUP BY 1), r AS (SELECT v, c, sum(c) OVER (ORDER BY v) - c + (c + 1) / 2.0 AS rk FROM v),
+    g AS (SELECT l_partkey, CAST(sum(rk) AS DOUBLE) AS s, count(*) AS n FROM lineitem JOIN r ON l_quantity = v GROUP BY 1), t AS (SELECT CAST(sum(n) AS DOUBLE) AS n, sum(s * s / n) AS q, count(*) AS k FROM g), e AS (SELECT sum(pow(c, 3) - c) AS ties FROM v)
+    SELECT round((12 / (n * (n + 1)) * q - 3 * (n + 1)) / (1 - ties / (pow(n, 3) - n)), 3) AS statistic, CAST(k AS BIGINT) AS "groups" FROM t, e""",
+)
+def kruskal_wallis_many_groups(t: Tables) -> DataFrame:
+    """A group per part: far more groups than a list could hold."""
+    found = stats.kruskal_wallis(t.lineitem, "l_partkey", "l_quantity")
+    return t.literal([(float(found["statistic"]), int(found["groups"]))], "statistic double, groups bigint").select(r6("statistic", 3).alias("statistic"), "groups")
 
 
 @query(
@@ -121,12 +144,15 @@ def kruskal_wallis(t: Tables) -> DataFrame:
       6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS q FROM g),
     w AS (SELECT *, -1 + sqrt(2 * (bb - 1)) AS w2, 6 + 8 / q * (2 / q + sqrt(1 + 4 / (q * q))) AS a FROM s),
     z AS (SELECT *, asinh(y / sqrt(2 / (w2 - 1))) / sqrt(0.5 * ln(w2)) AS z1, (1 - 2 / a) / (1 + x * sqrt(2 / (a - 4))) AS inner_ FROM w)
-    SELECT round(z1, 6) AS z_skew, round(((1 - 2 / (9 * a)) - sign(inner_) * pow(abs(inner_), 1.0 / 3)) / sqrt(2 / (9 * a)), 4) AS z_kurtosis FROM z""",
+    SELECT round(z1, 6) AS z_skew, round(((1 - 2 / (9 * a)) - sign(inner_) * pow(abs(inner_), 1.0 / 3)) / sqrt(2 / (9 * a)), 4) AS z_kurtosis,
+      round(pow(z1, 2) + pow(((1 - 2 / (9 * a)) - sign(inner_) * pow(abs(inner_), 1.0 / 3)) / sqrt(2 / (9 * a)), 2), 2) AS statistic,
+      round(exp(-(pow(z1, 2) + pow(((1 - 2 / (9 * a)) - sign(inner_) * pow(abs(inner_), 1.0 / 3)) / sqrt(2 / (9 * a)), 2)) / 2), 8) AS p_value FROM z""",
 )
 def dagostino(t: Tables) -> DataFrame:
     found = stats.dagostino(t.lineitem, "l_quantity")
-    return t.literal([(float(found["z_skew"]), float(found["z_kurtosis"]))], "z_skew double, z_kurtosis double").select(
-        r6("z_skew").alias("z_skew"), r6("z_kurtosis", 4).alias("z_kurtosis")
+    row = tuple(float(found[name]) for name in ("z_skew", "z_kurtosis", "statistic", "p_value"))
+    return t.literal([row], "z_skew double, z_kurtosis double, statistic double, p_value double").select(
+        r6("z_skew").alias("z_skew"), r6("z_kurtosis", 4).alias("z_kurtosis"), r6("statistic", 2).alias("statistic"), r6("p_value", 8).alias("p_value")
     )
 
 
@@ -142,11 +168,26 @@ def chi_square_yates(t: Tables) -> DataFrame:
 
 @query(
     "chi_square",
-    """WITH c AS (SELECT o_orderstatus AS a, o_orderpriority AS b, CAST(count(*) AS DOUBLE) AS o FROM orders GROUP BY 1, 2), e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c)
-    SELECT round(sum(pow(o - e, 2) / e), 6) AS statistic, CAST(sum(o) AS BIGINT) AS n FROM e""",
+    """WITH c AS (SELECT o_orderstatus AS a, o_orderpriority AS b, CAST(count(*) AS DOUBLE) AS o FROM orders GROUP BY 1, 2), e AS (SELECT o, sum(o) OVER (PARTITION BY a) * sum(o) OVER (PARTITION BY b) / sum(o) OVER () AS e FROM c),
+    x AS (SELECT sum(pow(o - e, 2) / e) AS x, CAST(sum(o) AS BIGINT) AS n FROM e)
+    SELECT round(x, 6) AS statistic, round(exp(-x / 2) * (1 + x / 2 + pow(x / 2, 2) / 2 + pow(x / 2, 3) / 6), 8) AS p_value, n FROM x""",
 )
 def chi_square(t: Tables) -> DataFrame:
-    return _one(t, "chi2", stats.chi2_independence(t.orders, "o_orderstatus", "o_orderpriority")).select(r6("statistic").alias("statistic"), "n")
+    """Three by five categories: eight degrees of freedom, whose tail is a finite sum."""
+    found = _one(t, "chi2", stats.chi2_independence(t.orders, "o_orderstatus", "o_orderpriority"))
+    return found.select(r6("statistic").alias("statistic"), r6("p_value", 8).alias("p_value"), "n")
+
+
+@query(
+    "chi_square_many_categories",
+    """WITH c AS (SELECT l_partkey AS a, l_shipdate AS b, CAST(count(*) AS DOUBLE) AS o FROM lineitem GROUP BY 1, 2), x AS (SELECT a, sum(o) AS na FROM c GROUP BY 1), y AS (SELECT b, sum(o) AS nb FROM c GROUP BY 1),
+    n AS (SELECT sum(o) AS n FROM c), e AS (SELECT o, na * nb / n AS e, n FROM c JOIN x ON c.a = x.a JOIN y ON c.b = y.b, n)
+    SELECT round((sum(pow(o - e, 2) / e) + any_value(n) - sum(e)) / 1e3, 4) AS statistic, CAST((SELECT count(*) - 1 FROM x) * (SELECT count(*) - 1 FROM y) AS BIGINT) AS dof FROM e""",
+)
+def chi_square_many_categories(t: Tables) -> DataFrame:
+    """Parts by shipping days: millions of cells, most of them empty."""
+    found = stats.chi2_independence(t.lineitem, "l_partkey", "l_shipdate")
+    return t.literal([(float(found["statistic"]), int(found["dof"]))], "statistic double, dof bigint").select(r6(F.col("statistic") / 1e3, 4).alias("statistic"), "dof")
 
 
 @query(
