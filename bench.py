@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -52,6 +53,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__ui__enabled="false",
         spark__driver__memory="16g",
+        spark__checkpoint__dir=os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="bench-checkpoint-"),
     )
     spark.sparkContext.setLogLevel("OFF")
     plans.QUERIES["hourly_holiday_profile"](spark, folder).write.format("noop").mode("overwrite").save()  # warm the JVM

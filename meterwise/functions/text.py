@@ -15,8 +15,9 @@ def strip_spaces(value: Column) -> Column:
 
 
 def clean_name(name: str) -> str:
-    plain = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
-    return re.sub(r"\s+", "_", re.sub(r"[^\w\s]", " ", plain)).lower().strip("_")
+    """The word runs of the accent-free lower-case name, joined by ``_``."""
+    letters = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode().lower()
+    return "_".join(re.findall(r"\w+", letters)).strip("_")
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

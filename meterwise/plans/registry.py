@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwise.functions.calendar import _ntz_utc
-from meterwise.session import ensure_checkpoint_dir
+from meterwise.session import scratch_folder
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -35,10 +35,8 @@ class Tables:
         return self.spark.createDataFrame(rows, schema)
 
     def scratch(self, name: str) -> str:
-        """New folder name in the shared checkpoint location."""
-        import uuid
-
-        return f"{ensure_checkpoint_dir(self.spark)}/{name}-{uuid.uuid4().hex}"
+        """New folder in the shared checkpoint location, deleted when the application ends."""
+        return scratch_folder(self.spark, name)
 
 
 def query(name: str, sql: str | None = None):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -41,6 +42,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """New folder in the shared checkpoint location; it is deleted when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut lineage by a reliable checkpoint, so lost executors do not lose the data."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -11,31 +11,32 @@ from meterwise.operators import enrich, spatial
 from meterwise.sources import catalog, files
 from meterwise.streaming.enrichment import append_to_files, enrich_readings
 
-SQUARE = [[[2.34, 48.85], [2.36, 48.85], [2.36, 48.87], [2.34, 48.87], [2.34, 48.85]]]
+# a rectangle of 0.4 by 0.2 degrees
+BOX = [[[x, y] for x, y in ((5.0, 44.8), (5.4, 44.8), (5.4, 45.0), (5.0, 45.0), (5.0, 44.8))]]
 
 
-def shapes(spark, rings, label="Paris 01"):
+def shapes(spark, rings, label="mill quarter"):
     return spark.createDataFrame([(label, rings, 1)], "commune string, rings array<array<array<double>>>, ord long")
 
 
 def test_calendar_across_the_clock_change(spark):
-    df = spark.createDataFrame([("2025-03-29T02:30:00+0100",), ("2025-03-30T03:30:00+0200",)], "t string")
+    df = spark.createDataFrame([("2022-03-26T02:10:00+0100",), ("2022-03-27T03:10:00+0200",)], "t string")
     found = cal.datetime_features(df, "t").collect()
-    assert [(r.t_hour, r.t_year, r.t_day_of_year, r.t_dayname) for r in found] == [(2, 2025, 88, "Saturday"), (3, 2025, 89, "Sunday")]
+    assert [(r.t_hour, r.t_year, r.t_day_of_year, r.t_dayname) for r in found] == [(2, 2022, 85, "Saturday"), (3, 2022, 86, "Sunday")]
     assert [r.t_day_of_week for r in found] == [5, 6]
     assert len(found[0]) == 12
     with pytest.raises(PySparkException):
-        cal.datetime_features(spark.createDataFrame([("not a date",)], "t string"), "t").collect()
+        cal.datetime_features(spark.createDataFrame([("next spring",)], "t string"), "t").collect()
 
 
 def test_colon_and_zulu_offsets(spark):
-    df = spark.createDataFrame([("2025-03-30T01:30:00+00:00",), ("2025-03-30T01:30:00Z",)], "t string")
+    df = spark.createDataFrame([("2022-03-27T01:10:00+00:00",), ("2022-03-27T01:10:00Z",)], "t string")
     assert {r.t_hour for r in cal.datetime_features(df, "t").collect()} == {3}
 
 
 def test_holidays(spark):
-    df = spark.sql("SELECT TIMESTAMP '2023-07-14 08:00:00' AS d UNION ALL SELECT TIMESTAMP '2023-07-15 08:00:00'")
-    table = spark.createDataFrame([("metropole", "2023-07-14", "14 juillet"), ("autre", "2023-07-15", "x")], "country_code string, date string, name string")
+    df = spark.sql("SELECT TIMESTAMP '2021-11-11 09:40:00' AS d UNION ALL SELECT TIMESTAMP '2021-11-12 09:40:00'")
+    table = spark.createDataFrame([("metropole", "2021-11-11", "armistice"), ("elsewhere", "2021-11-12", "fair")], "country_code string, date string, name string")
     assert [r.jour_ferie for r in enrich.add_holiday_flag(df, "d", table).orderBy("d").collect()] == [1, 0]
     assert {r.jour_ferie for r in enrich.add_holiday_flag(df, "d", None).collect()} == {0}
     with pytest.raises(ValueError):
@@ -43,41 +44,42 @@ def test_holidays(spark):
 
 
 def test_school_vacations(spark):
-    df = spark.sql("SELECT TIMESTAMP '2024-02-15 12:00:00' AS d")
+    df = spark.sql("SELECT TIMESTAMP '2022-10-31 07:00:00' AS d")
     schema = "location string, zones string, start_date string, end_date string, description string, ord int"
-    winter = ("Paris", "Zone C", "2024-02-10T00:00:00+00:00", "2024-02-25", "Vacances d'hiver", 2)
+    here = ("Paris", "Zone C")
+    autumn = (*here, "2022-10-22T00:00:00+00:00", "2022-11-07", "autumn break", 5)
 
     def label(*periods):
         return enrich.add_school_vacation(df, "d", spark.createDataFrame(list(periods), schema)).first().vacances_scolaires
 
-    assert label(winter) == "Vacances d'hiver"
-    assert label(winter, ("Paris", "Zone C", "2024-02-15", "2024-02-15", "first", 1)) == "first"
-    assert label(("Paris", "Zone C", "2024-02-16", "2024-02-25", "later", 1)) == "aucune"
-    assert label(("Paris", "Zone B", "2024-02-10", "2024-02-25", "wrong zone", 1)) == "aucune"
-    assert label(("Paris", "Zone C", "bad", "2024-02-25", "bad", 1), winter) == "Vacances d'hiver"
+    assert label(autumn) == "autumn break"
+    assert label(autumn, (*here, "2022-10-31", "2022-10-31", "bridge day", 4)) == "bridge day"
+    assert label((*here, "2022-11-01", "2022-11-07", "not yet", 1)) == "aucune"
+    assert label(("Paris", "Zone A", "2022-10-22", "2022-11-07", "another zone", 1)) == "aucune"
+    assert label((*here, "sometime", "2022-11-07", "unreadable", 1), autumn) == "autumn break"
     assert enrich.add_school_vacation(df, "d", None).first().vacances_scolaires == "erreur_api"
 
 
 def test_weather(spark):
-    df = spark.sql("SELECT 48.85D AS latitude, 2.35D AS longitude, TIMESTAMP '2023-06-01 12:30:00' AS t")
-    weather = spark.sql("SELECT 48.8500000001D AS latitude, 2.35D AS longitude, TIMESTAMP '2023-06-01 12:00:00' AS t, 21.5D AS temperature_2m_c")
-    assert enrich.add_weather(df, weather, instant="t").first().temperature_2m_c == 21.5
+    df = spark.sql("SELECT 44.9D AS latitude, 5.1D AS longitude, TIMESTAMP '2020-02-29 06:45:00' AS t")
+    weather = spark.sql("SELECT 44.9000000001D AS latitude, 5.1D AS longitude, TIMESTAMP '2020-02-29 06:00:00' AS t, -3.25D AS temperature_2m_c")
+    assert enrich.add_weather(df, weather, instant="t").first().temperature_2m_c == -3.25
     assert enrich.add_weather(df, weather.limit(0), instant="t").columns == df.columns
 
 
 def test_point_in_polygon(spark):
-    point = spark.createDataFrame([(2.35, 48.86)], "lon double, lat double")
-    assert spatial.assign_polygons(point, shapes(spark, SQUARE), "lon", "lat").first().commune == "Paris 01"
-    outside = spark.createDataFrame([(2.10, 48.50)], "lon double, lat double")
-    assert spatial.assign_polygons(outside, shapes(spark, SQUARE), "lon", "lat").first().commune is None
-    corner = spark.createDataFrame([(2.34, 48.85)], "lon double, lat double")
-    assert spatial.assign_polygons(corner, shapes(spark, SQUARE, "border"), "lon", "lat").first().commune == "border"
+    point = spark.createDataFrame([(5.11, 44.93)], "lon double, lat double")
+    assert spatial.assign_polygons(point, shapes(spark, BOX), "lon", "lat").first().commune == "mill quarter"
+    outside = spark.createDataFrame([(6.25, 43.10)], "lon double, lat double")
+    assert spatial.assign_polygons(outside, shapes(spark, BOX), "lon", "lat").first().commune is None
+    corner = spark.createDataFrame([(5.4, 45.0)], "lon double, lat double")
+    assert spatial.assign_polygons(corner, shapes(spark, BOX, "fence"), "lon", "lat").first().commune == "fence"
     both = corner.union(point)
-    assert rows(spatial.assign_polygons(both, shapes(spark, SQUARE), "lon", "lat"), "commune") == [("Paris 01",), (None,)]
+    assert rows(spatial.assign_polygons(both, shapes(spark, BOX), "lon", "lat"), "commune") == [("mill quarter",), (None,)]
     with pytest.raises(ValueError):
-        spatial.assign_polygons(point, shapes(spark, SQUARE), "lon", "lat", label_column="absent")
-    assert spatial.find_polygon(shapes(spark, SQUARE, "01"), 2.35, 48.86) == "01"
-    assert spatial.find_polygon(shapes(spark, SQUARE, "01"), 2.10, 48.50) is None
+        spatial.assign_polygons(point, shapes(spark, BOX), "lon", "lat", label_column="absent")
+    assert spatial.find_polygon(shapes(spark, BOX, "ferry"), 5.11, 44.93) == "ferry"
+    assert spatial.find_polygon(shapes(spark, BOX, "ferry"), 6.25, 43.10) is None
 
 
 def test_projections(spark):
@@ -86,36 +88,46 @@ def test_projections(spark):
     assert lon == pytest.approx(3.0, abs=1e-9) and lat == pytest.approx(46.5, abs=1e-7)
     x, y = one.select(geo.lonlat_to_mercator(F.lit(180.0), F.lit(0.0))).first()[0]
     assert x == pytest.approx(20037508.342789244) and y == pytest.approx(0, abs=1e-6)
-    metres = [[[651000.0, 6862000.0], [653000.0, 6862000.0], [653000.0, 6864000.0], [651000.0, 6864000.0], [651000.0, 6862000.0]]]
-    point = spark.createDataFrame([(2.35, 48.86)], "lon double, lat double")
-    assert spatial.assign_polygons(point, shapes(spark, metres, "centre"), "lon", "lat", crs="EPSG:2154").first().commune == "centre"
+    # 800 m around the projection's origin, which is 3 degrees east, 46.5 degrees north
+    metres = [[[700_000.0 + 800 * x, 6_600_000.0 + 800 * y] for x, y in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]]
+    point = spark.createDataFrame([(3.004, 46.497)], "lon double, lat double")
+    assert spatial.assign_polygons(point, shapes(spark, metres, "origin"), "lon", "lat", crs="EPSG:2154").first().commune == "origin"
 
 
 def test_polygon_file(spark, tmp_path):
-    feature = {"type": "Feature", "properties": {"commune": "01"}, "geometry": {"type": "Polygon", "coordinates": SQUARE}}
-    parts = {"type": "Feature", "properties": {"commune": "02"}, "geometry": {"type": "MultiPolygon", "coordinates": [SQUARE, SQUARE]}}
+    feature = {"type": "Feature", "properties": {"commune": "ferry"}, "geometry": {"type": "Polygon", "coordinates": BOX}}
+    parts = {"type": "Feature", "properties": {"commune": "mill"}, "geometry": {"type": "MultiPolygon", "coordinates": [BOX, BOX]}}
     path = tmp_path / "zones.geojson"
     path.write_text(json.dumps({"type": "FeatureCollection", "features": [feature, parts]}, indent=1))
     found = files.read_polygons(spark, str(path)).orderBy("ord").collect()
-    assert [(r.commune, len(r.rings)) for r in found] == [("01", 1), ("02", 2)]
-    assert found[0].rings == SQUARE
+    assert [(r.commune, len(r.rings)) for r in found] == [("ferry", 1), ("mill", 2)]
+    assert found[0].rings == BOX
+    # the order is total over several files of several lines
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name in "ab":
+        lines = [json.dumps({"type": "FeatureCollection", "features": [{**feature, "properties": {"commune": f"{name}{i}{k}"}} for k in range(3)]}) for i in range(4)]
+        (folder / f"{name}.json").write_text("\n".join(lines))
+    many = files.read_polygons(spark, str(folder), lines=True)
+    assert many.select("ord").distinct().count() == 24
+    assert [r.commune for r in many.orderBy("ord").collect()] == [f"{n}{i}{k}" for n in "ab" for i in range(4) for k in range(3)]
 
 
 def test_weather_blocks(spark, tmp_path):
-    body = "location_id,latitude,elevation\n0,1.0,35.0\n1,2.0,40.0\n\nlocation_id,time,temperature_2m,weather_code\n0,2023-06-01T12:00,21.5,3\n1,2023-06-01T12:00,19.25,61\n1,,5.0,0"
+    body = "location_id,latitude,elevation\n0,1.0,212.0\n1,2.0,8.5\n\nlocation_id,time,temperature_2m,weather_code\n0,2020-02-29T06:00,-3.25,71\n1,2020-02-29T06:00,7.0,2\n1,,1.0,0"
     (tmp_path / "w.csv").write_text(body)
-    sites = files.site_positions(spark, [(48.85, 2.35), (48.9, 2.4)])
+    sites = files.site_positions(spark, [(44.9, 5.1), (43.6, 3.9)])
     found = files.read_weather_files(spark, str(tmp_path / "w.csv"), sites, "location_id BIGINT, time STRING, temperature_2m DOUBLE, weather_code INT")
-    assert rows(found, "latitude", "elevation", "temperature_2m", "weather_code") == [(48.85, 35.0, 21.5, 3), (48.9, 40.0, 19.25, 61)]
+    assert rows(found, "latitude", "elevation", "temperature_2m", "weather_code") == [(43.6, 8.5, 7.0, 2), (44.9, 212.0, -3.25, 71)]
 
 
 def test_sources(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("col1;col2\n1;2\n3;4\n")
-    (tmp_path / "b.json").write_text('[{"col1": 1, "col2": 2}, {"col1": 3, "col2": 4}]')
+    (tmp_path / "a.csv").write_text("col1;col2\n5;6\n7;8\n")
+    (tmp_path / "b.json").write_text('[{"col1": 5, "col2": 6}, {"col1": 7, "col2": 8}]')
     (tmp_path / "bad.json").write_text('{"col1": 1}, oops')
     known = {"a": {"path": str(tmp_path / "a.csv"), "options": {"sep": ";"}}, "b": str(tmp_path / "b.json"), "x": "book.xlsx"}
-    assert rows(catalog.open_dataset(spark, known, "a")) == [(1, 2), (3, 4)]
-    assert rows(catalog.open_dataset(spark, known, "b")) == [(1, 2), (3, 4)]
+    assert rows(catalog.open_dataset(spark, known, "a")) == [(5, 6), (7, 8)]
+    assert rows(catalog.open_dataset(spark, known, "b")) == [(5, 6), (7, 8)]
     with pytest.raises(KeyError):
         catalog.open_dataset(spark, known, "unknown")
     with pytest.raises(ValueError):
