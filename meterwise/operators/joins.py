@@ -7,17 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that the side fits; else leave a shuffle join.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring the side's bytes; else leave a shuffle join.
 
-    The count is combined inside each partition (a limit would send rows to one task).
+    The size is that of the rows written out as JSON, added up inside each partition, so long
+    texts and large arrays count as what they are.
     """
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def null_safe_join(

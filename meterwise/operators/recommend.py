@@ -73,7 +73,7 @@ def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top:
         return pd.concat([_tile_pairs(rows, cols, total, keep), _tile_pairs(cols, rows, total.T, keep)])
 
     # one task per tile and chunk, even when the shuffle would merge them
-    spread = spread.repartition(min(blocks * (blocks + 1) // 2 * chunks, 100_000), "chunk", "i", "j")
+    spread = spread.repartition(blocks * (blocks + 1) // 2 * chunks, "chunk", "i", "j")
     partial = spread.groupBy("chunk", "i", "j").applyInPandas(tile, "a long, b long, dot double")
     pairs = partial if chunks == 1 else partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
     pairs = pairs.select("a", "b", F.col("dot").alias("similarity"))
@@ -158,6 +158,7 @@ def predict_for_user(triples: DataFrame, user: str, item: str, rating: str, chos
     An item a neighbour has not rated counts 0; the denominator is the sum of the k
     similarities.  Items no neighbour rated score 0 and are left in.
     """
+    triples = durable(triples)  # read five times below
     top = similar_to_one(triples, user, item, rating, chosen).orderBy(F.desc(F.round("similarity", 12)), "b").limit(k)
     top = F.broadcast(top)  # k rows
     seen = triples.filter((F.col(user) == F.lit(chosen)) & (F.col(rating) != 0)).select(item)

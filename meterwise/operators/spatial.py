@@ -51,7 +51,7 @@ def match_points(points: DataFrame, polygons: DataFrame, lon: str, lat: str) ->
     )
     located = points.withColumn("__cx", F.floor(F.col(lon) / step)).withColumn("__cy", F.floor(F.col(lat) / step))
     x, y = F.col(lon), F.col(lat)
-    candidates = located.join(broadcast_if_small(gridded, 20_000), ["__cx", "__cy"]).filter(
+    candidates = located.join(broadcast_if_small(gridded), ["__cx", "__cy"]).filter(
         x.between(F.col("b.min_x"), F.col("b.max_x")) & y.between(F.col("b.min_y"), F.col("b.max_y"))
     )
     inside, edge = geo.even_odd_inside(x, y, F.col("rings")), geo.on_boundary(x, y, F.col("rings"))
