@@ -38,17 +38,15 @@ def scan_json_records(t: Tables) -> DataFrame:
 
 @query("scan_json_arrays", "SELECT user_id, event_id, value FROM events")
 def scan_json_arrays(t: Tables) -> DataFrame:
-    """One JSON array of records per file (several files), read record by record."""
+    """One JSON array of records per file (several files), read by the strict reader."""
     path = t.scratch("events-json-arrays")
-    # batches of 500 consecutive ids: bounded arrays however large the table or one user is
-    batch = F.floor(F.col("event_id") / 500)
+    # a file of at most 50 000 consecutive ids: bounded however large the table or one user is
+    batch = F.floor(F.col("event_id") / 50_000)
     records = t.events.groupBy(batch.alias("b")).agg(
         F.to_json(F.collect_list(F.struct("user_id", "event_id", "value"))).alias("value")
     )
-    records.select("value").write.text(path)
-    lines = t.spark.read.text(path)
-    parsed = F.from_json("value", "array<struct<user_id: bigint, event_id: bigint, value: double>>", {"mode": "FAILFAST"})
-    return lines.select(F.inline(parsed))
+    records.write.partitionBy("b").text(path)
+    return catalog.read_json_records(t.spark, path, schema="user_id bigint, event_id bigint, value double")
 
 
 @query("catalog_open", "SELECT 'customer' AS dataset, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier")
@@ -69,22 +67,20 @@ def catalog_open(t: Tables) -> DataFrame:
     CAST(100 + user_id % 10 AS DOUBLE) AS elevation, CAST(48 + 0.1 * (user_id % 10) AS DOUBLE) AS latitude FROM events WHERE event_id % 7 <> 0""",
 )
 def scan_weather_files(t: Tables) -> DataFrame:
-    """Many small two-block files, one per day and hour of the events, read back as hourly rows."""
+    """Two-block files, one per day and 50 000 ids of the events, read back as hourly rows by the file reader."""
     path = t.scratch("weather")
-    # one small file body per hour of the calendar and block of 500 ids
     row = F.concat_ws(
         ",", F.col("user_id") % 10,
         F.when(F.col("event_id") % 7 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm")).otherwise(""), F.col("value"),
     )
-    bodies = t.events.groupBy(F.date_trunc("hour", "ts"), F.floor(F.col("event_id") / 500)).agg(
+    bodies = t.events.groupBy(F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 50_000).alias("part")).agg(
         F.concat_ws("\n", F.collect_list(row)).alias("rows")
     )
     station_lines = "\n".join(f"{i},{48 + i / 10},{100 + i}.0" for i in range(10))
     head = f"location_id,latitude,elevation\n{station_lines}\n\nlocation_id,time,temperature_2m\n"
-    bodies.select(F.concat(F.lit(head), F.col("rows")).alias("value"), F.xxhash64("rows").alias("k")).write.parquet(path)
+    bodies.select("day", "part", F.concat(F.lit(head), F.col("rows")).alias("value")).write.partitionBy("day", "part").text(path)
     sites = files.site_positions(t.spark, [(48 + i / 10, 2.0) for i in range(10)])
-    stored = t.spark.read.parquet(path).select(F.col("k").cast("string").alias("path"), "value")
-    read = files.parse_weather_blocks(stored, sites, "location_id BIGINT, time STRING, temperature_2m DOUBLE", "at")
+    read = files.read_weather_files(t.spark, path, sites, "location_id BIGINT, time STRING, temperature_2m DOUBLE", instant="at")
     site = F.round((F.col("latitude") - 48) * 10).cast("long")
     return read.select(
         site.alias("site"), text_time("at").alias("hour"), r6("temperature_2m", 4).alias("temperature_2m"), "elevation", r6("latitude").alias("latitude")
