@@ -273,14 +273,18 @@ def lambert_points(t: Tables) -> DataFrame:
     return t.events.select("event_id", r6(point[0]).alias("lon"), r6(point[1]).alias("lat"))
 
 
-@query("reprojected_polygon_join")
+@query(
+    "reprojected_polygon_join",
+    """SELECT event_id, CASE WHEN abs(-0.2 + (user_id % 41) * 0.01) < degrees(atan(5000.0 / (12655612.049876 - 6600000.0))) / 0.7256077650532670 THEN 'origin' END AS commune
+    FROM events""",
+)
 def reprojected_polygon_join(t: Tables) -> DataFrame:
-    """Polygons in metres are reprojected before the join."""
-    square = [("centre", [[[651000.0, 6862000.0], [653000.0, 6862000.0], [653000.0, 6864000.0], [651000.0, 6864000.0], [651000.0, 6862000.0]]], 1)]
+    """A square of 10 km around the projection's origin, reprojected from metres; points on its middle parallel."""
+    ring = [[700_000.0 + 5000 * x, 6_600_000.0 + 5000 * y] for x, y in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))]
     points = t.events.select(
-        "event_id", (F.lit(2.30) + F.col("user_id") * 0.0007).alias("longitude"), F.lit(48.86).alias("latitude")
+        "event_id", (F.lit(2.8) + (F.col("user_id") % 41) * 0.01).alias("longitude"), F.lit(46.5).alias("latitude")
     )
-    return spatial.assign_polygons(points, shapes(t, square), crs="EPSG:2154").select("event_id", "commune")
+    return spatial.assign_polygons(points, shapes(t, [("origin", [ring], 1)]), crs="EPSG:2154").select("event_id", "commune")
 
 
 @query(
