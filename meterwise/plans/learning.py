@@ -71,6 +71,18 @@ def linear_regression_many(t: Tables) -> DataFrame:
     return models.coefficient_table(model, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], t.lineitem)
 
 
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("linear_regression_residuals", " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(0 AS DOUBLE) AS correlation" for c in LINE_FEATURES))
+def linear_regression_residuals(t: Tables) -> DataFrame:
+    """Normal equations: the residuals of a least-squares fit are uncorrelated with every feature."""
+    table = line_table(t)
+    scored = models.linear_regression(table, "net").transform(table).withColumn("residual", F.col("net") - F.col("prediction"))
+    found = scored.agg(*[F.corr(c, "residual").alias(c) for c in LINE_FEATURES])
+    return found.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), r6(c, 5).alias("correlation")) for c in LINE_FEATURES])))
+
+
 @query(
     "linear_regression_two",
     """WITH m AS (SELECT l_quantity AS a, l_discount AS b, l_extendedprice * (1 - l_discount) AS y FROM lineitem),
@@ -121,6 +133,23 @@ def logistic_weighted(t: Tables) -> DataFrame:
     return _report(scored, "quality")
 
 
+@query("logistic_score_equations", " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST(0 AS DOUBLE) AS gradient" for c in ["Intercept", *DOC_FEATURES]))
+def logistic_score_equations(t: Tables) -> DataFrame:
+    """At the weighted, penalised optimum the gradient of the likelihood is 0 in every coefficient."""
+    from pyspark.ml.functions import vector_to_array
+
+    table = models.with_features(features.balanced_weights(scaled_documents(t), "quality"), DOC_FEATURES)
+    model = models.logistic_regression(table, "quality", 1.0, "weight")
+    error = F.col("weight") * (vector_to_array("probability")[1] - F.col("quality"))
+    total = F.sum("weight")
+    sums = model.transform(table).agg(
+        (F.sum(error) / total).alias("Intercept"),
+        *[((F.sum(error * F.col(c)) + F.lit(float(b))) / total).alias(c) for c, b in zip(DOC_FEATURES, model.coefficients.toArray(), strict=True)],
+    )
+    names = ["Intercept", *DOC_FEATURES]
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), r6(c, 2).alias("gradient")) for c in names])))
+
+
 @query("logistic_multinomial")
 def logistic_multinomial(t: Tables) -> DataFrame:
     table = vectors(t)

@@ -155,12 +155,19 @@ def principal_components(t: Tables) -> DataFrame:
 
 @query(
     "principal_scores",
-    "SELECT count(*) AS n, 0.0::DOUBLE AS mean_0, 0.0::DOUBLE AS mean_1 FROM lineitem",
+    """WITH c AS (SELECT var_pop(l_quantity) AS aa, var_pop(l_discount) AS bb, var_pop(l_tax) AS cc, covar_pop(l_quantity, l_discount) AS ab,
+      covar_pop(l_quantity, l_tax) AS ac, covar_pop(l_discount, l_tax) AS bc FROM lineitem)
+    SELECT (SELECT count(*) FROM lineitem) AS n, CAST(0 AS DOUBLE) AS mean_0, CAST(0 AS DOUBLE) AS mean_1, CAST(0 AS DOUBLE) AS covariance, true AS largest_first, true AS below_trace FROM c""",
 )
 def principal_scores(t: Tables) -> DataFrame:
-    """Scores are centred: their means are 0."""
-    scores = features.pca(_numbers(t), ["l_quantity", "l_discount", "l_tax"], 2)["scores"]
-    return scores.agg(F.count(F.lit(1)).alias("n"), r6(F.avg(F.col("scores")[0])).alias("mean_0"), r6(F.avg(F.col("scores")[1])).alias("mean_1"))
+    """Scores are centred and uncorrelated, the first varies most, and together they vary less than the columns do."""
+    columns = ["l_quantity", "l_discount", "l_tax"]
+    scores = features.pca(_numbers(t), columns, 2)["scores"].select(F.col("scores")[0].alias("a"), F.col("scores")[1].alias("b"))
+    trace = sum(_numbers(t).agg(*[F.var_pop(c) for c in columns]).first())
+    return scores.agg(
+        F.count(F.lit(1)).alias("n"), r6(F.avg("a")).alias("mean_0"), r6(F.avg("b")).alias("mean_1"), r6(F.covar_pop("a", "b")).alias("covariance"),
+        (F.var_pop("a") >= F.var_pop("b")).alias("largest_first"), (F.var_pop("a") + F.var_pop("b") <= F.lit(trace * (1 + 1e-9))).alias("below_trace"),
+    )
 
 
 @query(
