@@ -80,6 +80,9 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> float:
 def hierarchical_scan(df: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
     """Divisive clustering for every k: (k, clusters found, silhouette)."""
     scaled = PopulationScaler(columns=list(columns)).fit(df).transform(df)
+    # a cluster is split by moving its centre by a share of the centre's length: around the origin nothing
+    # would be split, so the points are moved away from it, which changes no distance
+    scaled = scaled.withColumns({c: F.col(c) + 10.0 for c in columns})
     assembled = durable(assemble(scaled, columns, "features").select("features"))
     evaluator = ClusteringEvaluator(featuresCol="features")
 

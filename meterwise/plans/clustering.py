@@ -31,7 +31,7 @@ def elbow(t: Tables) -> DataFrame:
 
 @query("hierarchical_scan")
 def hierarchical_scan(t: Tables) -> DataFrame:
-    return cluster.hierarchical_scan(parts(t), ["size", "price"], [2, 4, 8, 14])
+    return cluster.hierarchical_scan(parts(t), ["size", "price"], list(range(2, 15)))
 
 
 @query(

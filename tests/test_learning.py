@@ -267,3 +267,12 @@ def test_many_copies_are_made_by_several_tasks(spark, monkeypatch):
     more = resample.oversample(df, "y", "id")
     assert {r["count"] for r in more.groupBy("y").count().collect()} == {100}
     assert more.filter("y = 1").select("copy").distinct().count() == 100
+
+
+def test_divisive_clustering_finds_every_count(spark):
+    from meterwise.operators.cluster import hierarchical_scan
+
+    spots = [(x, y) for x in (0.0, 10.0) for y in (0.0, 10.0)]
+    df = spark.createDataFrame([(x + i % 5 * 0.1, y + i % 7 * 0.1) for i in range(70) for x, y in spots], "x double, y double")
+    found = {r.k: (r.clusters, r.silhouette) for r in hierarchical_scan(df, ["x", "y"], [2, 3, 4]).collect()}
+    assert [found[k][0] for k in (2, 3, 4)] == [2, 3, 4] and found[4][1] > 0.95 and found[4][1] > found[2][1]
