@@ -105,6 +105,8 @@ def mix(
     running = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0)))
     ranges = ranges.join(sources.withColumn("k", key).drop("s", "n"), F.col("key") == F.col("k")).drop("k", "words")
+    # as a table of its own it has no partitioning by source that the rows would have to follow
+    ranges = stored(ranges, "ranges")
     inside = Window.partitionBy("key", "b").orderBy("h", "size", "th").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.join(ranges, ["key", "b"]).withColumn("at", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     goal = F.round("target").cast("long")
