@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,7 @@ from meterwise.llm.common import fresh, stored
 
 #: labelled rows the classifier is fitted on, chosen by a hash of the id
 LABELLED_ROWS = 20_000
-TREES, DEPTH, PENALTY = 24, 4, 0.0005
+TREES, DEPTH, PENALTY = 16, 3, 0.0005
 
 STATISTICS = (
     "words", "bytes_per_word", "distinct_words", "top_word", "short_words", "long_words", "upper", "digits", "full_stops", "exclamations",
@@ -132,7 +133,8 @@ def fit(labelled: DataFrame, label: str = "label", stats: str = "__stats", seed:
 
     `labelled` holds a bounded number of rows. Without rows the score is 1/2; with one class only it is near
     that class."""
-    rows = stored(labelled.select(F.col(label).cast("double").alias("label"), f"{stats}.*"), "labelled")
+    # a few files: the rows are few, and every step of the fit reads them
+    rows = stored(labelled.coalesce(8).select(F.col(label).cast("double").alias("label"), f"{stats}.*"), "labelled")
     n, ones = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
         return RuleModel(float(np.log((ones + 0.5) / (n - ones + 0.5))), ())
@@ -142,9 +144,7 @@ def fit(labelled: DataFrame, label: str = "label", stats: str = "__stats", seed:
     )
     rules = tree_rules(forest.fit(vector).toDebugString)
     wide = rows.select("label", F.struct(*STATISTICS).alias("s"))
-    hits = wide.select("label", *[F.when(r.column("s"), 1.0).otherwise(0.0).alias(f"r{i}") for i, r in enumerate(rules)])
-    named = [f"r{i}" for i in range(len(rules))]
-    hits = VectorAssembler(inputCols=named, outputCol="x").transform(hits).select("x", "label")
+    hits = wide.select("label", array_to_vector(F.array(*[F.when(r.column("s"), 1.0).otherwise(0.0) for r in rules])).alias("x"))
     lasso = LogisticRegression(labelCol="label", featuresCol="x", elasticNetParam=1.0, regParam=PENALTY, standardization=False, maxIter=60)
     model = lasso.fit(hits)
     weights = model.coefficients.toArray()
