@@ -147,3 +147,23 @@ def op10_repair_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.repair import round_trip
 
     return round_trip(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's runs; one text in ten has a periodic tail put in first."""
+    from meterwise.llm.runs import periodic_runs, with_periodic_tails
+
+    found = periodic_runs(with_periodic_tails(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.n div -best.p").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
