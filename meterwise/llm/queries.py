@@ -167,3 +167,11 @@ def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query("op12_bloom_spelling_groups")
+def op12_bloom_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents, one run in 199 with a letter taken out."""
+    from meterwise.llm.spelling import spelling_variants
+
+    return spelling_variants(table(spark, folder, "documents"), slips=199)
