@@ -175,3 +175,10 @@ def op12_bloom_spelling_groups(spark: SparkSession, folder: str) -> DataFrame:
     from meterwise.llm.spelling import spelling_variants
 
     return spelling_variants(table(spark, folder, "documents"), slips=199)
+
+
+@query("op11_string_kernel_languages")
+def op11_string_kernel_languages(spark: SparkSession, folder: str) -> DataFrame:
+    from meterwise.llm.langid import languages_of
+
+    return languages_of(table(spark, folder, "documents").select("doc_id", "text", "lang"))

@@ -194,14 +194,16 @@ def candidates(vocabulary: DataFrame, filters: dict[int, np.ndarray]) -> DataFra
     def probe(batches):
         bits = shared.value
         for whole in batches:
-            # a few hundred words at a time: their edits are looked up together
-            for start in range(0, whole.num_rows, 512):
-                for length, words, n in _by_length(whole.slice(start, 512)):
+            for length, words, n in _by_length(whole):
+                # the edits of a few hundred words are looked up together, of long words fewer
+                step = max(1, 4096 // length)
+                for start in range(0, len(words), step):
+                    some, counts = words[start : start + step], n[start : start + step]
                     with np.errstate(over="ignore"):
-                        for row, at, letter in _edits(_letters(words, length), bits):
+                        for row, at, letter in _edits(_letters(some, length), bits):
                             if len(row):
                                 new = "" if letter is None else chr(letter)
-                                picked = [(words[r], n[r], words[r][:k] + new + words[r][k + 1 :]) for r, k in zip(row.tolist(), at.tolist(), strict=True)]
+                                picked = [(some[r], counts[r], some[r][:k] + new + some[r][k + 1 :]) for r, k in zip(row.tolist(), at.tolist(), strict=True)]
                                 w, c, e = zip(*picked, strict=True)
                                 yield pa.RecordBatch.from_arrays(
                                     [pa.array(w), pa.array(c, pa.int64()), pa.array(e), pa.array([letter is not None] * len(w))],
