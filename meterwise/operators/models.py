@@ -48,31 +48,6 @@ def coefficient_table(model, columns: Sequence[str], df: DataFrame) -> DataFrame
     return df.sparkSession.createDataFrame(rows, "term string, coefficient double")
 
 
-def penalty_search(
-    df: DataFrame, label: str, fold: str, alphas: Sequence[float], l1_ratios: Sequence[float] = (1.0,),
-    features: str = "features", expanding: bool = False,
-) -> DataFrame:
-    """Cross-validated grid of lasso / elastic-net penalties: (l1_ratio, alpha, mse, rank)."""
-    df = durable(df.select(label, features, fold))
-    folds = sorted(r[0] for r in df.select(fold).distinct().collect())  # a handful of folds
-
-    def error(ratio: float, alpha: float, f) -> float:
-        train = df.filter(F.col(fold) < f) if expanding else df.filter(F.col(fold) != f)
-        scored = linear_regression(train, label, alpha, ratio, features).transform(df.filter(F.col(fold) == f))
-        return scored.agg(F.avg((F.col(label) - F.col("prediction")) ** 2)).first()[0]
-
-    held = folds[1:] if expanding else folds
-    grid = [(ratio, alpha) for ratio in l1_ratios for alpha in alphas]
-    errors = run_jobs(df.sparkSession, [partial(error, *point, f) for point in grid for f in held])
-    rows = [
-        (float(ratio), float(alpha), float(np.mean(errors[i * len(held) : (i + 1) * len(held)])))
-        for i, (ratio, alpha) in enumerate(grid)
-    ]
-    ordered = sorted(rows, key=lambda r: r[2])
-    ranked = [(*r, 1 + ordered.index(r)) for r in rows]
-    return df.sparkSession.createDataFrame(ranked, "l1_ratio double, alpha double, mse double, rank int")
-
-
 def logistic_regression(
     df: DataFrame, label: str, c: float = 1.0, weight: str | None = None, features: str = "features"
 ):

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.operators import evaluate, features, models
+from meterwise.operators import evaluate, features, models, penalty_paths
 from meterwise.operators.neighbors import knn_votes, nearest_neighbors
 from meterwise.plans.registry import Tables, query, r6
 from meterwise.session import durable
@@ -116,14 +116,100 @@ def ridge_path(t: Tables) -> DataFrame:
     return path(line_table(t), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "net", alphas, "fold")
 
 
+MIXES = (0.1, 0.25, 0.5, 0.7, 0.75, 0.8, 0.85, 0.9, 0.99)
+PENALTIES = (0.001, 0.01, 0.02, 0.025, 0.05, 0.1, 0.25, 0.5, 0.8, 1.0)
+
+
+def ten_folds(t: Tables) -> DataFrame:
+    """Line items with scaled features and ten folds."""
+    return line_table(t).withColumn("fold", F.pmod("l_orderkey", F.lit(10)))
+
+
+def eight_folds(t: Tables) -> DataFrame:
+    """Like `ten_folds` with eight, the target in thousands, so that the listed penalties matter."""
+    return line_table(t).withColumn("fold", F.pmod("l_orderkey", F.lit(8))).withColumn("net", F.col("net") / 1000)
+
+
 @query("lasso_search")
 def lasso_search(t: Tables) -> DataFrame:
-    return models.penalty_search(line_table(t), "net", "fold", [1.0, 100.0], (1.0,))
+    """The whole error path: 100 penalties by 10 folds, the mean over folds and the chosen penalty."""
+    paths = durable(penalty_paths.penalty_paths(ten_folds(t), LINE_FEATURES, "net", "fold"))
+    means = penalty_paths.penalty_scores(paths).select("k", F.col("mse").alias("mean_mse"), (F.col("rank") == 1).alias("chosen"))
+    return paths.where("fold IS NOT NULL").join(means, "k").select("k", "alpha", "fold", "mse", "mean_mse", "chosen")
+
+
+@query("lasso_chosen")
+def lasso_chosen(t: Tables) -> DataFrame:
+    """Coefficients at the chosen penalty."""
+    paths = durable(penalty_paths.penalty_paths(ten_folds(t), LINE_FEATURES, "net", "fold"))
+    return penalty_paths.best_penalty(paths, LINE_FEATURES)
+
+
+@query("lasso_optimality", "SELECT CAST(f AS INTEGER) AS fold, CAST(k AS INTEGER) AS k, CAST(0 AS DOUBLE) AS excess FROM range(-1, 10) a(f), range(1, 101) b(k)")
+def lasso_optimality(t: Tables) -> DataFrame:
+    """Every fit of the path (fold -1: all rows) against the optimality conditions on the rows."""
+    table = ten_folds(t)
+    paths = penalty_paths.penalty_paths(table, LINE_FEATURES, "net", "fold")
+    found = penalty_paths.optimality(paths, table, LINE_FEATURES, "net", "fold")
+    return found.select(F.coalesce("fold", F.lit(-1)).alias("fold"), "k", r6("excess", 7).alias("excess"))
 
 
 @query("elastic_net_search")
 def elastic_net_search(t: Tables) -> DataFrame:
-    return models.penalty_search(line_table(t), "net", "fold", [0.1, 10.0], (0.1, 0.9))
+    """Mean error over 8 folds of 9 ratios by 10 penalties, with the coefficients on all rows."""
+    paths = durable(penalty_paths.penalty_paths(eight_folds(t), LINE_FEATURES, "net", "fold", MIXES, PENALTIES))
+    return penalty_paths.penalty_scores(paths)
+
+
+@query(
+    "elastic_net_optimality",
+    f"SELECT m AS l1_ratio, CAST(f AS INTEGER) AS fold, CAST(k AS INTEGER) AS k, CAST(0 AS DOUBLE) AS excess FROM (SELECT unnest([{', '.join(f'{m}::DOUBLE' for m in MIXES)}]) AS m), range(-1, 8) a(f), range(1, {len(PENALTIES) + 1}) b(k)",
+)
+def elastic_net_optimality(t: Tables) -> DataFrame:
+    table = eight_folds(t)
+    paths = penalty_paths.penalty_paths(table, LINE_FEATURES, "net", "fold", MIXES, PENALTIES)
+    found = penalty_paths.optimality(paths, table, LINE_FEATURES, "net", "fold")
+    return found.select("l1_ratio", F.coalesce("fold", F.lit(-1)).alias("fold"), "k", r6("excess", 7).alias("excess"))
+
+
+# with one feature the fit has a closed form: the covariance, shrunk by the l1 part, over the variance plus the l2 part
+_FOLD_SUMS = """f AS (SELECT l_orderkey % {folds} AS fold, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem),
+    h AS (SELECT fold, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy FROM f GROUP BY 1),
+    a AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM h),
+    r AS (SELECT h.*, (a.sxy - h.sxy) / (a.n - h.n) - (a.sx - h.sx) / (a.n - h.n) * ((a.sy - h.sy) / (a.n - h.n)) AS cxy,
+      (a.sxx - h.sxx) / (a.n - h.n) - power((a.sx - h.sx) / (a.n - h.n), 2) AS cxx, (a.sx - h.sx) / (a.n - h.n) AS mx, (a.sy - h.sy) / (a.n - h.n) AS my FROM h, a),
+    b AS (SELECT p.*, fold, n, sx, sy, sxx, sxy, syy, sign(cxy) * greatest(abs(cxy) - alpha * ratio, 0) / (cxx + alpha * (1 - ratio)) AS b, mx, my FROM r, p),
+    e AS (SELECT ratio, k, alpha, fold, (syy - 2 * b * sxy - 2 * (my - b * mx) * sy + b * b * sxx + 2 * b * (my - b * mx) * sx + n * power(my - b * mx, 2)) / n AS mse FROM b)"""
+
+
+def _one_feature(t: Tables, folds: int) -> DataFrame:
+    return t.lineitem.select(F.pmod("l_orderkey", F.lit(folds)).alias("fold"), "l_quantity", (F.col("l_extendedprice") / 1000).alias("y"))
+
+
+@query(
+    "lasso_path_one_feature",
+    f"""WITH p AS (SELECT 1.0::DOUBLE AS ratio, CAST(k AS INTEGER) AS k, abs((SELECT covar_pop(l_quantity, l_extendedprice / 1000) FROM lineitem)) * power(0.001::DOUBLE, (k - 1) / 99.0) AS alpha FROM range(1, 101) b(k)),
+    {_FOLD_SUMS.format(folds=10)}, m AS (SELECT k, avg(mse) AS mean_mse FROM e GROUP BY 1)
+    SELECT e.k, round(alpha, 6) AS alpha, CAST(fold AS INTEGER) AS fold, round(mse, 6) AS mse, round(mean_mse, 6) AS mean_mse, mean_mse = (SELECT min(mean_mse) FROM m) AS chosen FROM e JOIN m USING (k)""",
+)
+def lasso_path_one_feature(t: Tables) -> DataFrame:
+    """The 10-fold error path and its choice, against the closed form."""
+    paths = durable(penalty_paths.penalty_paths(_one_feature(t, 10), ["l_quantity"], "y", "fold"))
+    means = penalty_paths.penalty_scores(paths).select("k", F.col("mse").alias("mean_mse"), (F.col("rank") == 1).alias("chosen"))
+    found = paths.where("fold IS NOT NULL").join(means, "k")
+    return found.select("k", r6("alpha").alias("alpha"), "fold", r6("mse").alias("mse"), r6("mean_mse").alias("mean_mse"), "chosen")
+
+
+@query(
+    "elastic_net_one_feature",
+    f"""WITH p AS (SELECT ratio, CAST(row_number() OVER (PARTITION BY ratio ORDER BY alpha DESC) AS INTEGER) AS k, alpha FROM (SELECT unnest([{', '.join(f'{m}::DOUBLE' for m in MIXES)}]) AS ratio), (SELECT unnest([{', '.join(f'{a}::DOUBLE' for a in PENALTIES)}]) AS alpha)),
+    {_FOLD_SUMS.format(folds=8)}, m AS (SELECT ratio, k, alpha, avg(mse) AS mse FROM e GROUP BY ALL)
+    SELECT ratio AS l1_ratio, alpha, round(mse, 6) AS mse, CAST(row_number() OVER (ORDER BY mse, ratio DESC, k) AS INTEGER) AS rank FROM m""",
+)
+def elastic_net_one_feature(t: Tables) -> DataFrame:
+    """The mean error of the whole grid and its ranks, against the closed form."""
+    paths = penalty_paths.penalty_paths(_one_feature(t, 8), ["l_quantity"], "y", "fold", MIXES, PENALTIES)
+    return penalty_paths.penalty_scores(durable(paths)).select("l1_ratio", "alpha", r6("mse").alias("mse"), "rank")
 
 
 @query("logistic_weighted")
