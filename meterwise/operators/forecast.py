@@ -9,6 +9,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterwise.operators.clean import nan_to_null
+
 LAGS = (1, 24, 25, 168)
 
 
@@ -45,7 +47,8 @@ def forecast(
     """(series, bucket, step, forecast, low, high): the model applied to its own output.
 
     Each series only contributes its last ``max(lags)`` hours.  ``future`` holds the exogenous
-    columns per (series, step) when the model uses them.
+    columns per (series, step) when the model uses them; from the first step that lacks them on, a series is reported with
+    NULL forecasts.  Futures of series without a history are left out.
     """
     lags, names = model["lags"], model["exogenous"]
     depth = max(lags)
@@ -73,6 +76,7 @@ def forecast(
         for h in range(steps):
             y = intercept + sum(b * history[-k] for b, k in zip(beta, lags))
             if extra is not None:
+                # a step whose columns are not known, and all after it, have no forecast
                 y += float(extra[h] @ beta[len(lags) :])
             history.append(y)
             out.append(y)
@@ -89,9 +93,10 @@ def forecast(
             raise ValueError("the model needs the future of its exogenous columns")
 
         def with_future(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            if not len(left) or len(right) < steps:
+            if not len(left):
                 return pd.DataFrame(columns=[series, "last_bucket", "step", "forecast", "low", "high"])
-            return roll(left, right.sort_values("step")[names].to_numpy(dtype=float))
+            known = right.set_index("step")[names].astype(float).reindex(range(1, steps + 1)) if len(right) else pd.DataFrame(index=range(steps), columns=names, dtype=float)
+            return roll(left, known.to_numpy())
 
         # fresh column identities: the future may derive from the same table
         ahead = future.select(*[F.col(c).alias(c) for c in (series, "step", *names)])
@@ -99,4 +104,4 @@ def forecast(
     else:
         rolled = tail.groupBy(series).applyInPandas(lambda pdf: roll(pdf, None), schema)
     bucket = F.col("last_bucket") + F.make_dt_interval(F.lit(0), F.col("step"))
-    return rolled.select(series, bucket.alias("bucket"), "step", "forecast", "low", "high")
+    return nan_to_null(rolled.select(series, bucket.alias("bucket"), "step", "forecast", "low", "high"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.operators import forecast as fc
+from meterwise.operators import seasonal_arima
 from meterwise.operators import timeseries as ts
 from meterwise.plans.registry import Tables, long, paris_events, query, r6, text_time
 
@@ -219,3 +220,52 @@ def seasonal_forecast_exogenous(t: Tables) -> DataFrame:
     steps = ends.select("event_type", "last", F.explode(F.sequence(F.lit(1), F.lit(24))).alias("step"))
     ahead = steps.withColumn("bucket", F.col("last") + F.make_dt_interval(F.lit(0), F.col("step"))).withColumns(calendar)
     return fc.forecast(model, table, "event_type", "bucket", "value", 24, future=ahead)
+
+
+SEASONAL = seasonal_arima.Orders(1, 1, 1, 1, 1, 1, 24)
+
+
+@query("seasonal_arima_forecast")
+def seasonal_arima_forecast(t: Tables) -> DataFrame:
+    """(1,1,1)(1,1,1,24) per event type, 24 hours ahead."""
+    table = ts.resample_hours(t.events, "ts", "value", ["event_type"])
+    return seasonal_arima.forecast(table, "bucket", "value", ["event_type"], SEASONAL, 24)
+
+
+@query("seasonal_arima_coefficients")
+def seasonal_arima_coefficients(t: Tables) -> DataFrame:
+    table = ts.resample_hours(t.events, "ts", "value", ["event_type"])
+    found = seasonal_arima.fit(table, "bucket", "value", ["event_type"], SEASONAL)
+    terms = F.array(*[F.lit(x) for x in SEASONAL.terms])
+    return found.select("event_type", "sigma", "rows", F.inline(F.arrays_zip(terms.alias("term"), F.col("coefficients").alias("coefficient"))))
+
+
+@query(
+    "seasonal_arima_scores",
+    f"""SELECT event_type, term, CAST(0 AS DOUBLE) AS score FROM (SELECT DISTINCT event_type FROM events), (SELECT unnest([{', '.join(f"'{x}'" for x in [*(f'long{k}' for k in range(SEASONAL.first + 1)), *SEASONAL.terms])}]) AS term)""",
+)
+def seasonal_arima_scores(t: Tables) -> DataFrame:
+    """Both regressions against their score equations, with lags taken by windows: every residual sum with a term is 0."""
+    table = ts.resample_hours(t.events, "ts", "value", ["event_type"])
+    found = seasonal_arima.fit(table, "bucket", "value", ["event_type"], SEASONAL)
+    w = ts.seasonal_difference(table, "value", "bucket", [1, 24], ["event_type"])
+    ordered = Window.partitionBy("event_type").orderBy("bucket")  # one row per hour of the calendar
+
+    def lags(column: str, numbers) -> list:
+        return [F.lag(column, k).over(ordered) for k in numbers]
+
+    def dot(values, weights: str, start: int) -> Column:
+        return sum((v * F.get(weights, F.lit(start + i)) for i, v in enumerate(values)), F.lit(0.0))
+
+    w = w.join(F.broadcast(found.select("event_type", "phi", "coefficients")), "event_type")
+    first = w.select("*", F.array(F.lit(1.0), *lags("value", range(1, SEASONAL.first + 1))).alias("x1"))
+    first = first.withColumn("e", F.col("value") - dot([F.get("x1", F.lit(k)) for k in range(SEASONAL.first + 1)], "phi", 0))
+    second = first.select("*", F.array(F.lit(1.0), *lags("value", SEASONAL.ar), *lags("e", SEASONAL.ma)).alias("x2"))
+    second = second.withColumn("u", F.col("value") - dot([F.get("x2", F.lit(k)) for k in range(len(SEASONAL.terms))], "coefficients", 0))
+
+    def scores(x: str, e: str, names: list[str]) -> DataFrame:
+        rows = second.where(F.col(e).isNotNull()).select("event_type", F.col(e).alias("r"), F.posexplode(x).alias("at", "v"))
+        score = F.sum(F.col("r") * F.col("v")) / F.sqrt(F.sum(F.col("r") * F.col("r")) * F.sum(F.col("v") * F.col("v")))
+        return rows.groupBy("event_type", "at").agg(r6(score).alias("score")).select("event_type", F.get(F.array(*[F.lit(n) for n in names]), F.col("at")).alias("term"), "score")
+
+    return scores("x1", "e", [f"long{k}" for k in range(SEASONAL.first + 1)]).unionByName(scores("x2", "u", SEASONAL.terms))
