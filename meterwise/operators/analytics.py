@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterwise.operators.joins import semi_join_values
 from meterwise.operators.clean import nan_to_null
-from meterwise.operators.ranking import cumulative_counts, quantiles, weighted_cumulative
+from meterwise.operators.ranking import MOST_SENT, cumulative_counts, quantiles, weighted_cumulative
 
 
 def category_values(df: DataFrame, column: str, limit: int = 10_000) -> list:
@@ -112,12 +112,12 @@ def box_stats(df: DataFrame, column: str, groups: Sequence[str]) -> DataFrame:
     groups = list(groups)
     base = df.select(*groups, F.col(column).cast("double").alias("v")).dropna()
     q = quantiles(base, "v", [0.25, 0.5, 0.75], groups)
-    # whiskers read the reduced (group, value, count) rows, not the raw table
-    counts = base.groupBy(*groups, "v").agg(F.count(F.lit(1)).alias("n"))
     reach = 1.5 * (F.col("q2") - F.col("q0"))
     inside = F.col("v").between(F.col("q0") - reach, F.col("q2") + reach)
+    if q.count() <= MOST_SENT:
+        q = F.broadcast(q)
     return (
-        counts.join(q, groups)
+        base.join(q, groups)
         .groupBy(*groups)
         .agg(
             F.first("q0").alias("q1"),
@@ -125,7 +125,7 @@ def box_stats(df: DataFrame, column: str, groups: Sequence[str]) -> DataFrame:
             F.first("q2").alias("q3"),
             F.min(F.when(inside, F.col("v"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("v"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+            F.count(F.when(~inside, 1)).alias("outliers"),
         )
     )
 

@@ -154,15 +154,9 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """count, mean, sample std, min, exact quartiles and max, one row per column."""
     columns = list(columns or numeric_columns(df))
     long = unpivot_numeric(df, columns).filter("value IS NOT NULL AND NOT isnan(value)")
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"])
-    return basic.join(q, "column").select(
+    basic = {"count": F.count("value"), "mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"), "max": F.max("value")}
+    q = quantiles(long, "value", [0.25, 0.5, 0.75], ["column"], basic)
+    return q.select(
         "column", "count", "mean", "std", "min", F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max"
     )
 

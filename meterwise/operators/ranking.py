@@ -16,9 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.operators.joins import null_safe_join
+from meterwise.session import durable
 
 ROWS_PER_BUCKET = 100_000
 
+#: ranks that a sketch may be off (one in so many rows), share of the rows on either side of a wanted rank that its bracket
+#: spans, and rows from which a group is bracketed at all: there the bracket is wider than the sketch's error by two ranks
+SKETCH, MARGIN, LEAST_ROWS = 2_000, 0.002, 1_500
+#: groups whose brackets (a few numbers each) are sent to all tasks; more meet their rows in a join
+MOST_SENT = 50_000
+
 
 def bucket_count(df: DataFrame) -> int:
     return max(1, -(-df.count() // ROWS_PER_BUCKET))
@@ -123,26 +130,49 @@ def weighted_cumulative(df: DataFrame, value: str, weights: Sequence[str], group
     return _running(sums, base, groups, weights)
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation; one column ``q0, q1, ...`` per probability.
+def _bracketed(base: DataFrame, groups: list[str], probs: Sequence[float], also: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """One scan for brackets around the wanted ranks (and other aggregates), one for the cells they make.
+
+    A cell is (groups, value, n, gap): a value inside a bracket with its rows, or all rows between two brackets with their
+    smallest value. Only values inside brackets are kept apart, so cells hold a few thousandths of a large group."""
+    shares = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
+    brackets = base.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("__rows"), F.percentile_approx("value", [float(x) for x in shares], SKETCH).alias("__b"), *[c.alias(n) for n, c in also.items()]
+    )
+    brackets = durable(brackets)
+    slim = brackets.select(*groups, "__rows", "__b")
+    if brackets.count() <= MOST_SENT:
+        slim = F.broadcast(slim)
+    marked = null_safe_join(base, slim, groups)
+    value, k = F.col("value"), len(probs)
+    low, high = ([F.get("__b", F.lit(i + off)) for i in range(k)] for off in (0, k))
+    inside = F.col("__rows") < LEAST_ROWS
+    for i, p in enumerate(probs):
+        above = value >= low[i] if p > MARGIN else F.lit(True)
+        inside = inside | (above & (value <= high[i]) if p + MARGIN < 1 else above)
+    gap = sum(((value > high[i]).cast("int") for i in range(k)), F.lit(0))
+    cells = marked.select(*groups, value, F.when(inside, value).alias("__in"), F.when(~inside, gap).alias("__gap"))
+    cells = cells.groupBy(*groups, "__in", "__gap").agg(F.min("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    return brackets.select(*groups, *also), durable(cells.select(*groups, "value", "n", F.col("__gap").isNotNull().cast("long").alias("gap")))
 
-    NULL and NaN are left out.  Between equal values, infinite ones too, there is nothing to interpolate.
-    """
-    groups = list(groups)
-    base = df.select(*groups, _numeric(df, value).alias("value"))
-    base = base.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
-    ranks = cumulative_counts(base, "value", groups)
 
-    def at(position: Column) -> Column:
-        hit = (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
-        return F.max(F.when(hit, F.col("value").cast("double")))
+def _at_ranks(ranks: DataFrame, probs: Sequence[float], groups: list[str]) -> DataFrame:
+    """Interpolated values at the wanted ranks from (groups, value, n, below, total, gap).
 
-    aggregates = []
+    A wanted rank never falls into a gap while the sketch keeps its documented error; the plan fails if one does."""
+
+    def hit(position: Column) -> Column:
+        return (F.col("below") <= position) & (position < F.col("below") + F.col("n"))
+
+    aggregates, missed = [], F.lit(False)
     for i, p in enumerate(probs):
         position = F.lit(float(p)) * (F.col("total") - 1)
-        aggregates += [at(F.floor(position)).alias(f"lo{i}"), at(F.ceil(position)).alias(f"hi{i}")]
+        lower, upper = hit(F.floor(position)), hit(F.ceil(position))
+        aggregates += [F.max(F.when(h, F.col("value").cast("double"))).alias(f"{n}{i}") for h, n in ((lower, "lo"), (upper, "hi"))]
         aggregates.append(F.max(position - F.floor(position)).alias(f"f{i}"))
-    picked = ranks.groupBy(*groups).agg(*aggregates)
+        missed = missed | (lower | upper) & (F.col("gap") > 0)
+    picked = ranks.groupBy(*groups).agg(*aggregates, F.max(missed).alias("__missed"))
+    picked = picked.filter(F.when(F.col("__missed"), F.raise_error(F.lit("a quantile sketch was off by more than its error"))).isNull())
     return picked.select(
         *groups,
         *[
@@ -154,6 +184,28 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequenc
     )
 
 
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = (), also: dict[str, Column] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation; one column ``q0, q1, ...`` per probability.
+
+    NULL and NaN are left out.  Between equal values, infinite ones too, there is nothing to interpolate.  The table is
+    read twice: a sketch brackets the wanted ranks, then rows are counted below, between and inside the brackets, and only
+    values inside are ranked.  ``also`` holds aggregates of ``value`` (per group) that the first scan takes along.
+    """
+    also = also or {}
+    keys = list(groups) or ["__all"]
+    base = df.select(*(groups or [F.lit(0).alias("__all")]), _numeric(df, value).alias("value"))
+    base = base.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
+    more, cells = _bracketed(base, keys, probs, also)
+    running = _running(cells.select(*keys, "value", "n", "gap"), cells, keys, ["n", "gap"])
+    ranks = running.withColumnsRenamed({"below_n": "below", "total_n": "total"})
+    found = _at_ranks(ranks, probs, keys)
+    found = null_safe_join(found, more, keys) if also else found
+    if not groups:
+        # an empty table has one row without values
+        found = df.sparkSession.range(1).select(F.lit(0).alias("__all")).join(found, "__all", "left").drop("__all")
+    return found
+
+
 def unpivot_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Long form (keep..., column, value double) of several numeric columns."""
     doubled = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])

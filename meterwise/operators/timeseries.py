@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwise.functions.calendar import DEFAULT_ZONE, as_instant, hour_bucket, hour_period, wall_clock, week_ending_sunday
@@ -81,8 +81,13 @@ def _blocks(df: DataFrame, order: str, series: Sequence[str], before: int, after
 
     ``__own`` marks a row in its own block; windows over (series, ``__block``) by ``__i`` see at least ``before``
     rows before and ``after`` rows behind every own row, as far as the series has them."""
-    size = max(BLOCK_ROWS, before, after)
     numbered = row_numbers(df, order, order, series, "__i").withColumn("__i", F.col("__i") - 1).withColumnRenamed("__i_total", "__n")
+    return _cut(numbered, before, after)
+
+
+def _cut(numbered: DataFrame, before: int, after: int = 0) -> DataFrame:
+    """Blocks, as in ``_blocks``, of rows that have their position ``__i`` from 0."""
+    size = max(BLOCK_ROWS, before, after)
     own, at = F.floor(F.col("__i") / size), F.col("__i") % size
     also = F.array(F.when(at >= size - before, own + 1), F.when(at < after, own - 1))
     placed = numbered.withColumn("__home", own).withColumn("__block", F.explode(F.array_compact(F.concat(F.array(own), also))))
@@ -262,11 +267,16 @@ def adf_test(df: DataFrame, value: str, order: str, max_lag: int | None = None)
     return {"statistic": tau, "p_value": norm_sf(-z), "lags": best, "rows": int(rows), "critical": critical}
 
 
-def temporal_split(df: DataFrame, order: str, test_share: float = 0.1, series: Sequence[str] = ()) -> DataFrame:
-    """Add ``is_test``: the last ``floor(share · rows)`` rows of each aggregated series."""
+def _split(df: DataFrame, order: str, test_share: float, series: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Rows with ``__i``, ``__i_total`` and ``is_test``, and the number of training rows of a row's series."""
     numbered = row_numbers(df, order, order, series, "__i")
     limit = F.col("__i_total") - F.floor(F.col("__i_total") * F.lit(test_share))
-    return numbered.withColumn("is_test", F.col("__i") > limit).drop("__i", "__i_total")
+    return numbered.withColumn("is_test", F.col("__i") > limit), limit
+
+
+def temporal_split(df: DataFrame, order: str, test_share: float = 0.1, series: Sequence[str] = ()) -> DataFrame:
+    """Add ``is_test``: the last ``floor(share · rows)`` rows of each aggregated series."""
+    return _split(df, order, test_share, series)[0].drop("__i", "__i_total")
 
 
 def supervised_table(
@@ -284,7 +294,11 @@ def supervised_table(
     lets the target into its own feature.
     """
     parts = [*series, "is_test"]
-    split = _blocks(temporal_split(df, order, test_share, series), order, parts, window)
+    # positions within both parts follow from those in the series: rows are numbered once
+    split, first_test = _split(df, order, test_share, series)
+    place = F.col("__i") - 1 - F.when(F.col("is_test"), first_test).otherwise(F.lit(0))
+    size = F.when(F.col("is_test"), F.col("__i_total") - first_test).otherwise(first_test)
+    split = _cut(split.withColumns({"__i": place, "__n": size}).drop("__i_total"), window)
     w = _in_block(parts)
     frame = w.rowsBetween(-(window - 1), 0) if include_current else w.rowsBetween(-window, -1)
     earlier = F.lag(value, 1).over(w)
