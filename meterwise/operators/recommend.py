@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from meterwise.session import durable
 
-ENTITIES_PER_BLOCK = 4_096
-ENTRIES_PER_CELL = 200_000
+#: entities and entries of a block; a task holds two blocks and their product
+ENTITIES_PER_BLOCK, ENTRIES_PER_BLOCK = 4_096, 2_000_000
+#: entities with more entries meet all others in a join by feature, as no block could hold them
+HOT_ENTRIES = 250_000
 
 
 def rating_triples(df: DataFrame, user: str, item: str, rating: str) -> DataFrame:
@@ -25,73 +27,83 @@ def _norms(triples: DataFrame, entity: str, value: str) -> DataFrame:
 
 
 def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top: int | None = None) -> DataFrame:
-    """(a, b, similarity) of all entity pairs that share a feature, in both directions.
+    """(a, b, similarity) of all entity pairs that share a feature, in both directions; ids of any type.
 
-    A blocked product: entities are cut into blocks and features into chunks, each task adds
-    up one block × block tile over one chunk in place, and tiles are summed by pair.  No rows
-    are paired inside a feature group, so a feature shared by everyone costs no more than its
-    tile.  Entity ids are numbers.  With ``top`` only the ``top`` best partners of each
-    entity are returned; a tile with all features also leaves out partners that cannot be among them.
+    A blocked product: entities are cut into blocks of bounded entities and entries, and a task adds up the product of two
+    blocks in place, over all their features.  Nothing is paired inside a feature group, so a feature shared by everyone
+    costs no more than its tiles.  Entities with more entries than a block could hold are few (at most one per
+    HOT_ENTRIES rows): their products with all others are sums over a join by feature.  With ``top`` only the ``top`` best
+    partners of each entity are returned, and no task emits more than ``top`` partners of an entity per block.
     """
-    base = triples.select(
-        F.col(entity).cast("long").alias("e"), F.col(feature).cast("long").alias("f"), F.col(value).cast("double").alias("v")
-    ).filter("v <> 0")
-    base = durable(base)  # read three times below
-    sizes = base.agg(
-        F.approx_count_distinct("e").alias("e"), F.approx_count_distinct("f").alias("f"), F.count(F.lit(1)).alias("n")
-    ).first()
-    # few blocks keep the copies low; chunks then bound the rows of a tile
-    blocks = max(1, math.ceil(sizes["e"] * 1.1 / ENTITIES_PER_BLOCK))
-    chunks = max(1, min(sizes["f"], math.ceil(sizes["n"] / (ENTRIES_PER_CELL * blocks))))
-    norms = _norms(base, "e", "v")
-    unit = base.join(norms, "e").select("e", "f", (F.col("v") / F.col("norm")).alias("v"))
-    placed = unit.select(
-        "e", "f", "v", F.pmod(F.xxhash64("e"), F.lit(blocks)).cast("int").alias("b"), F.pmod(F.xxhash64("f"), F.lit(chunks)).cast("int").alias("chunk")
-    )
+    base = triples.select(F.col(entity).alias("e"), F.col(feature).alias("f"), F.col(value).cast("double").alias("v"))
+    base = base.filter("e IS NOT NULL AND f IS NOT NULL AND v <> 0 AND NOT isnan(v)")
+    kind = base.schema["e"].dataType.simpleString()
+    norms = base.groupBy("e").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.count(F.lit(1)).alias("n"))
+    unit = base.join(norms, "e").select("e", "f", (F.col("v") / F.col("norm")).alias("v"), (F.col("n") > HOT_ENTRIES).alias("hot"))
+    unit = durable(unit)  # read by the sizes, the tiles and the hot entities
+    sizes = unit.agg(F.approx_count_distinct("e").alias("e"), F.count(F.lit(1)).alias("n"), F.count_if("hot").alias("hot")).first()
+    blocks = max(1, math.ceil(sizes["e"] * 1.1 / ENTITIES_PER_BLOCK), math.ceil(sizes["n"] / ENTRIES_PER_BLOCK))
+    placed = unit.filter("NOT hot").select("e", "f", "v", F.pmod(F.xxhash64("e"), F.lit(blocks)).cast("int").alias("b"))
     # every entry goes once to each tile of its block row and block column
     tiles = F.transform(
         F.sequence(F.lit(0), F.lit(blocks - 1)),
         lambda other: F.struct(F.least("b", other).alias("i"), F.greatest("b", other).alias("j")),
     )
-    spread = placed.withColumn("tile", F.explode(tiles)).select("chunk", "tile.i", "tile.j", "b", "e", "f", "v")
-
-    keep = top if chunks == 1 else None
+    spread = placed.withColumn("tile", F.explode(tiles)).select("tile.i", "tile.j", "b", "e", "f", "v")
 
     def tile(pdf: pd.DataFrame) -> pd.DataFrame:
         i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
         block, value = pdf["b"].to_numpy(), pdf["v"].to_numpy()
-        ids, features = np.unique(pdf["f"].to_numpy(), return_inverse=True)
+        features, ids = pd.factorize(pdf["f"])
         left, right = block == i, block == j
-        rows, lx = np.unique(pdf["e"].to_numpy()[left], return_inverse=True)
-        cols, rx = np.unique(pdf["e"].to_numpy()[right], return_inverse=True)
+        lx, rows = pd.factorize(pdf["e"].to_numpy()[left], sort=True)
+        rx, cols = pd.factorize(pdf["e"].to_numpy()[right], sort=True)
         total = _tile_product(
             (lx, features[left], value[left], len(rows)), (rx, features[right], value[right], len(cols)), len(ids)
         )
         if i == j:
             np.fill_diagonal(total, 0.0)
-            return _tile_pairs(rows, cols, total, keep)
-        return pd.concat([_tile_pairs(rows, cols, total, keep), _tile_pairs(cols, rows, total.T, keep)])
-
-    # one task per tile and chunk, even when the shuffle would merge them
-    spread = spread.repartition(blocks * (blocks + 1) // 2 * chunks, "chunk", "i", "j")
-    partial = spread.groupBy("chunk", "i", "j").applyInPandas(tile, "a long, b long, dot double")
-    pairs = partial if chunks == 1 else partial.groupBy("a", "b").agg(F.sum("dot").alias("dot"))
-    pairs = pairs.select("a", "b", F.col("dot").alias("similarity"))
-    # sums over all chunks are known here: at most ``top`` partners of an entity go on, cut before they are gathered
+            return _tile_pairs(rows, cols, total, top)
+        return pd.concat([_tile_pairs(rows, cols, total, top), _tile_pairs(cols, rows, total.T, top)])
+
+    # one task per tile, even when the shuffle would merge them
+    spread = spread.repartition(blocks * (blocks + 1) // 2, "i", "j")
+    pairs = spread.groupBy("i", "j").applyInPandas(tile, f"a {kind}, b {kind}, similarity double")
+    if sizes["hot"]:
+        pairs = pairs.unionByName(_hot_pairs(unit, top))
     return pairs if top is None else most_similar(pairs, top).drop("rank")
 
 
+def _hot_pairs(unit: DataFrame, top: int | None) -> DataFrame:
+    """Similarities of entities with very many entries to all entities, and back."""
+    hot = unit.filter("hot").select(F.col("e").alias("a"), "f", F.col("v").alias("w"))
+    dots = unit.join(hot, "f").filter("e <> a").groupBy("a", F.col("e").alias("b")).agg(F.sum(F.col("v") * F.col("w")).alias("similarity"), F.max("hot").alias("both"))
+    there = dots.select("a", "b", "similarity")
+    # two hot entities already meet both ways
+    back = dots.filter("NOT both").select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity")
+    return there.unionByName(back)
+
+
 def _tile_pairs(rows: np.ndarray, cols: np.ndarray, total: np.ndarray, top: int | None) -> pd.DataFrame:
-    """Non-zero cells as (a, b, dot); at most ``top`` per row, by similarity and then id."""
-    x, y = np.nonzero(total)
+    """Non-zero cells as (a, b, similarity); at most ``top`` per row, by similarity and then id (rows are in order of ids)."""
+    if top is not None and top < total.shape[1]:
+        # the largest cells of top groups of columns: the top-th largest cell of a row is no smaller than the least of them
+        total = np.ascontiguousarray(total)
+        starts = np.arange(0, total.shape[1], max(1, total.shape[1] // (4 * top)))
+        largest = np.maximum.reduceat(total, starts, axis=1)
+        least = np.round(np.partition(largest, len(starts) - top, axis=1)[:, [len(starts) - top]], 12) - 1e-12
+        # rows with fewer positive cells rank all that are not zero
+        x, y = np.nonzero((total >= np.where(least > 0, least, -np.inf)) & (total != 0))
+    else:
+        x, y = np.nonzero(total)
     dots = total[x, y]
     if top is not None:
-        order = np.lexsort((cols[y], -np.round(dots, 12), x))
+        order = np.lexsort((y, -np.round(dots, 12), x))
         x, y, dots = x[order], y[order], dots[order]
         first = np.searchsorted(x, x)
         best = np.arange(len(x)) - first < top
         x, y, dots = x[best], y[best], dots[best]
-    return pd.DataFrame({"a": rows[x], "b": cols[y], "dot": dots})
+    return pd.DataFrame({"a": rows[x], "b": cols[y], "similarity": dots})
 
 
 def _tile_product(left: tuple, right: tuple, features: int) -> np.ndarray:

@@ -55,9 +55,35 @@ def test_votes_prefer_the_lowest_label(spark):
     assert rows(neighbors.knn_votes(near, labels, "id", "label", [1, 2]), "k", "prediction") == [(1, 5), (2, 3)]
 
 
+@pytest.mark.parametrize("entries, hot", [(2_000_000, 250_000), (40, 9)])
+def test_cosine_pairs_of_any_keys(spark, monkeypatch, entries, hot):
+    """Text keys, negative values, entities too large for a block, top partners with ties."""
+    monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 7)
+    monkeypatch.setattr(recommend, "ENTRIES_PER_BLOCK", entries)
+    monkeypatch.setattr(recommend, "HOT_ENTRIES", hot)
+    rng = np.random.default_rng(5)
+    m = rng.integers(-3, 4, size=(26, 15)) * (rng.random((26, 15)) < 0.35)
+    m[3], m[4], m[9] = m[8], rng.integers(1, 4, 15), rng.integers(1, 4, 15)
+    name = [f"user {i:02}" for i in range(26)]
+    rows_of = [(name[u], f"item {i}", float(m[u, i])) for u in range(26) for i in range(15)]
+    triples = spark.createDataFrame([*rows_of, (None, "item 1", 2.0), ("user 05", None, 2.0), ("user 06", "item 99", float("nan"))], "u string, i string, r double")
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    unit = m / np.where(norm == 0, 1, norm)
+    expected = unit @ unit.T
+    for top in (None, 4):
+        found = {}
+        for r in recommend.cosine_pairs(triples, "u", "i", "r", top).collect():
+            found.setdefault(r.a, {})[r.b] = r.similarity
+        for a in range(26):
+            partners = sorted((b for b in range(26) if b != a and abs(expected[a, b]) > 1e-14), key=lambda b: (-round(expected[a, b], 12), b))[:top]
+            got = {b: s for b, s in found.get(name[a], {}).items() if abs(s) > 1e-14}
+            assert set(got) == {name[b] for b in partners} or top and len(found.get(name[a], {})) == top
+            assert all(got[name[b]] == pytest.approx(expected[a, b]) for b in partners if name[b] in got)
+
+
 def test_cosine_pairs_match_numpy(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 7)
-    monkeypatch.setattr(recommend, "ENTRIES_PER_CELL", 20)
+    monkeypatch.setattr(recommend, "HOT_ENTRIES", 14)
     rng = np.random.default_rng(4)
     m = rng.integers(0, 6, size=(30, 20)) * (rng.random((30, 20)) < 0.4)
     m[:, 0] = 3  # a feature every entity has
