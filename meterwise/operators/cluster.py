@@ -1,4 +1,4 @@
-"""k-means, bisecting k-means, silhouettes, mean shift and quantisation."""
+"""k-means, squared silhouettes, mean shift and quantisation."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import partial
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -77,25 +77,6 @@ def silhouette(df: DataFrame, columns: Sequence[str], cluster: str) -> float:
     )
 
 
-def hierarchical_scan(df: DataFrame, columns: Sequence[str], ks: Sequence[int], seed: int = 42) -> DataFrame:
-    """Divisive clustering for every k: (k, clusters found, silhouette)."""
-    scaled = PopulationScaler(columns=list(columns)).fit(df).transform(df)
-    # a cluster is split by moving its centre by a share of the centre's length: around the origin nothing
-    # would be split, so the points are moved away from it, which changes no distance
-    scaled = scaled.withColumns({c: F.col(c) + 10.0 for c in columns})
-    assembled = durable(assemble(scaled, columns, "features").select("features"))
-    evaluator = ClusteringEvaluator(featuresCol="features")
-
-    def scan(k: int) -> tuple:
-        model = BisectingKMeans(k=k, seed=seed).fit(assembled)
-        labelled = model.transform(assembled)
-        found = len(model.clusterCenters())
-        return k, found, evaluator.evaluate(labelled) if found > 1 else None
-
-    rows = run_jobs(df.sparkSession, [partial(scan, k) for k in ks])
-    return df.sparkSession.createDataFrame(rows, "k int, clusters int, silhouette double")
-
-
 def quantise(df: DataFrame, columns: Sequence[str], cluster: str, centers: Sequence[Sequence[float]]) -> DataFrame:
     """Replace each point by the centre of its cluster."""
     center = _center_of(F.col(cluster), [np.asarray(c) for c in centers])

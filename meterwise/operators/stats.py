@@ -20,18 +20,24 @@ from meterwise.operators.ranking import cumulative_counts, quantiles, row_number
 MAX_FACTOR_LEVELS = 1_000
 
 
+def _known(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles c0, c1, ... of the rows that have a number in each: NULL and NaN are left out."""
+    return nan_to_null(df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])).dropna()
+
+
 def pearson_test(df: DataFrame, x: str, y: str) -> dict:
-    a, b = F.col(x).cast("double"), F.col(y).cast("double")
-    row = df.agg(F.corr(a, b).alias("r"), F.count(F.when(a.isNotNull() & b.isNotNull(), 1)).alias("n")).first()
+    """Correlation of the complete pairs, its p-value and their number; rows with a NULL or NaN do not count."""
+    row = _known(df, [x, y]).agg(F.corr("c0", "c1").alias("r"), F.count(F.lit(1)).alias("n")).first()
     r, n = row["r"], row["n"]
+    if r is None or math.isnan(r) or n < 3:
+        return {"statistic": None if r is None or math.isnan(r) else r, "p_value": None, "n": n}
     t = r * math.sqrt((n - 2) / max(1e-300, 1 - r * r))
     return {"statistic": r, "p_value": t_two_sided(t, n - 2), "n": n}
 
 
 def anderson_darling(df: DataFrame, column: str) -> dict:
-    """Normality statistic with critical values at 15, 10, 5, 2.5 and 1 %."""
-    value = F.col(column).cast("double")
-    s = df.agg(F.count(value).alias("n"), F.avg(value).alias("m"), F.stddev_samp(value).alias("s")).first()
+    """Normality statistic with critical values at 15, 10, 5, 2.5 and 1 %; NULL and NaN are left out."""
+    s = _known(df, [column]).agg(F.count("c0").alias("n"), F.avg("c0").alias("m"), F.stddev_samp("c0").alias("s")).first()
     n = s["n"]
     ranks = cumulative_counts(df, column)
     z = (F.col("value") - s["m"]) / s["s"]
@@ -118,9 +124,8 @@ def kruskal_wallis(df: DataFrame, group: str, value: str) -> dict:
 
 
 def dagostino(df: DataFrame, column: str) -> dict:
-    """Omnibus normality test from population skewness and kurtosis."""
-    value = F.col(column).cast("double")
-    row = df.agg(F.count(value).alias("n"), F.skewness(value).alias("g"), F.kurtosis(value).alias("k")).first()
+    """Omnibus normality test from population skewness and kurtosis; NULL and NaN are left out."""
+    row = _known(df, [column]).agg(F.count("c0").alias("n"), F.skewness("c0").alias("g"), F.kurtosis("c0").alias("k")).first()
     n, g1, b2 = row["n"], row["g"], row["k"] + 3
     y = g1 * math.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
     beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
@@ -274,12 +279,13 @@ def anova(df: DataFrame, factors: Sequence[str], target: str) -> dict:
 
 
 def ols_summary(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """(term, coef, se, t, p_value, r2) of a least-squares fit."""
+    """(term, coef, se, t, p_value, r2) of a least-squares fit; rows with a NULL or NaN are left out."""
     from meterwise.operators.selection import gram_matrix
 
     columns = [*features, target]
-    centres = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)]).first()
-    centred = df.select(*[(F.col(c).cast("double") - F.lit(centres[i])).alias(f"c{i}") for i, c in enumerate(columns)])
+    known = _known(df, columns)
+    centres = known.agg(*[F.avg(c).alias(c) for c in known.columns]).first()
+    centred = known.select(*[(F.col(c) - F.lit(centres[c])).alias(c) for c in known.columns])
     sums = gram_matrix(centred, centred.columns)
     p = len(features)
     n, xtx, xty, yy = sums[0, 0], sums[1 : p + 1, 1 : p + 1], sums[1 : p + 1, -1], sums[-1, -1]

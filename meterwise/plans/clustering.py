@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.operators import cluster
+from meterwise.operators import agglomerative, cluster
 from meterwise.plans.registry import Tables, query, r6
 
 
@@ -31,7 +31,50 @@ def elbow(t: Tables) -> DataFrame:
 
 @query("hierarchical_scan")
 def hierarchical_scan(t: Tables) -> DataFrame:
-    return cluster.hierarchical_scan(parts(t), ["size", "price"], list(range(2, 15)))
+    """Ward clusters of the parts for 2 to 14 clusters with their exact silhouettes."""
+    return agglomerative.hierarchical_scan(parts(t), ["size", "price"], list(range(2, 15)))
+
+
+@query("ward_merges")
+def ward_merges(t: Tables) -> DataFrame:
+    return agglomerative.ward_tree(parts(t), ["size", "price"]).merge_table(t.part)
+
+
+@query("ward_total", "SELECT round(var_pop(p_size) * count(*) + var_pop(p_retailprice / 20) * count(*), 4) AS squares FROM part")
+def ward_total(t: Tables) -> DataFrame:
+    """Half the squared heights of all merges, and what lies inside the leaves, are the squares about the mean."""
+    tree = agglomerative.ward_tree(parts(t), ["size", "price"])
+    total = tree.merge_table(t.part).agg((F.coalesce(F.sum(F.col("height") * F.col("height")), F.lit(0.0)) / 2).alias("h"))
+    return total.select(r6(F.col("h") + F.lit(tree.within()), 4).alias("squares"))
+
+
+@query("ward_squares_by_k", "SELECT CAST(k AS INTEGER) AS k, CAST(k AS INTEGER) AS clusters, CAST(0 AS DOUBLE) AS difference FROM range(2, 15) r(k)")
+def ward_squares_by_k(t: Tables) -> DataFrame:
+    """The squares inside the clusters of every k, taken from the labelled rows, against the heights of the merges made."""
+    ks = list(range(2, 15))
+    tree = agglomerative.ward_tree(parts(t), ["size", "price"])
+    rows = tree.labelled(parts(t), ks).select("size", "price", F.posexplode("clusters").alias("at", "cluster"))
+    inside = rows.groupBy("at", "cluster").agg((F.count(F.lit(1)) * (F.var_pop("size") + F.var_pop("price"))).alias("q"))
+    found = inside.groupBy("at").agg(F.sum("q").alias("q"), F.count(F.lit(1)).cast("int").alias("clusters"))
+    steps = tree.merge_table(t.part)
+    made = t.literal([(i, k, len(tree.features) - k) for i, k in enumerate(ks)], "at int, k int, steps int")
+    heights = made.join(steps, F.col("step") <= F.col("steps")).groupBy("at", "k").agg((F.sum(F.col("height") * F.col("height")) / 2).alias("h"))
+    return found.join(heights, "at").select("k", "clusters", r6((F.col("q") - F.col("h") - F.lit(tree.within())) / F.col("q"), 6).alias("difference"))
+
+
+@query(
+    "silhouette_euclidean",
+    """WITH s AS (SELECT stddev_samp(p_size) AS a, stddev_samp(p_retailprice / 20) AS b FROM part),
+    p AS (SELECT p_partkey AS i, CAST(p_size // 20 AS INTEGER) AS c, p_size / a AS x, p_retailprice / 20 / b AS y FROM part, s),
+    d AS (SELECT p.i, p.c AS own, o.c, sum(sqrt((p.x - o.x) ** 2 + (p.y - o.y) ** 2)) AS t, count(*) AS n FROM p, p o GROUP BY ALL),
+    w AS (SELECT i, min(t / (n - 1)) FILTER (WHERE c = own) AS a, min(t / n) FILTER (WHERE c <> own) AS b FROM d GROUP BY 1)
+    SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM w""",
+)
+def silhouette_euclidean(t: Tables) -> DataFrame:
+    """Exact silhouette with standardised plain distances."""
+    labelled = parts(t).withColumn("cluster", F.floor(F.col("size") / 20).cast("int"))
+    found = agglomerative.silhouette(labelled, ["size", "price"], "cluster")
+    return t.literal([(found,)], "silhouette double").select(r6("silhouette").alias("silhouette"))
 
 
 @query(

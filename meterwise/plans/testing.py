@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterwise.operators import models, stats
 from meterwise.operators.selection import f_regression
-from meterwise.plans.registry import Tables, query, r6
+from meterwise.plans.registry import ORACLE, Tables, query, r6
 
 
 def _one(t: Tables, name: str, result: dict) -> DataFrame:
@@ -233,3 +233,32 @@ def residual_histogram(t: Tables) -> DataFrame:
     scored = models.linear_regression(table, "o_totalprice").transform(table)
     residuals = stats.standardised_residuals(scored, "o_totalprice", "prediction")
     return residuals.groupBy(F.floor(F.col("std_residual") * 4).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- the same tests on columns with holes ----
+
+_KNOWN = "(SELECT * FROM lineitem WHERE l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0) lineitem"
+
+
+class _Holes(Tables):
+    """Line items whose quantity is NULL in some orders and whose price is NaN in others."""
+
+    @property
+    def lineitem(self) -> DataFrame:
+        table, key = Tables.__getattr__(self, "lineitem"), F.col("l_orderkey")
+        either = (key % 7 == 0) | (key % 11 == 0)
+        hole = F.when(key % 7 == 0, F.lit(None)).otherwise(F.lit(float("nan")))
+        return table.withColumns({c: F.when(either, hole).otherwise(F.col(c).cast("double")) for c in ("l_quantity", "l_extendedprice")})
+
+
+def _with_holes(name: str) -> None:
+    run = globals()[name]
+
+    @query(f"{name}_with_holes", ORACLE[name].replace("FROM lineitem", f"FROM {_KNOWN}"))
+    def holes(t: Tables) -> DataFrame:
+        """NULL and NaN are left out."""
+        return run(_Holes(t.spark, t.folder))
+
+
+for _name in ("pearson_test", "anderson_darling", "dagostino", "least_squares_summary"):
+    _with_holes(_name)

@@ -295,8 +295,8 @@ def test_many_copies_are_made_by_several_tasks(spark, monkeypatch):
     assert more.filter("y = 1").select("copy").distinct().count() == 100
 
 
-def test_divisive_clustering_finds_every_count(spark):
-    from meterwise.operators.cluster import hierarchical_scan
+def test_hierarchical_clustering_finds_every_count(spark):
+    from meterwise.operators.agglomerative import hierarchical_scan
 
     spots = [(x, y) for x in (0.0, 10.0) for y in (0.0, 10.0)]
     df = spark.createDataFrame([(x + i % 5 * 0.1, y + i % 7 * 0.1) for i in range(70) for x, y in spots], "x double, y double")
