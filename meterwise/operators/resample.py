@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import partial
+from operator import floordiv, mod
 
 from pyspark.ml import Estimator
 from pyspark.ml.feature import VectorAssembler
@@ -70,45 +72,54 @@ def oversample(df: DataFrame, label: str, key: str, seed: int = 42) -> DataFrame
     return _repeat(ranked, key, "__copies", large // min(sizes.values()) + 1).drop("__r", "__r_total")
 
 
-def smote(df: DataFrame, label: str, key: str, features: Sequence[str], k: int = 3, seed: int = 42) -> DataFrame:
+def smote(df: DataFrame, label: str, key: str, features: Sequence[str], k: int = 3, seed: int = 42, trace: bool = False) -> DataFrame:
     """Add rows between minority rows and their neighbours until classes match.
 
-    Neighbours are exact, among the minority class only; the neighbour and the position on the
+    Neighbours are exact, among a row's own class only; the neighbour and the position on the
     segment are fixed by a hash.  Original rows come back with ``synthetic`` false.  New rows
-    have a NULL key.
+    have a NULL key; with ``trace`` they also tell the keys they lie between (``from_key``, ``to_key``) and where
+    (``gap``).  All classes go through one plan; keys are unique values of any type.
     """
     features = list(features)
     sizes = class_sizes(df, label)
-    large = max(sizes.values())
-    kind = dict(df.dtypes)[key]
+    large = max(sizes.values(), default=0)
+    if any(n == 1 < large for n in sizes.values()):
+        raise ValueError("a class needs two rows to interpolate")
     doubles = [F.col(f).cast("double").alias(f) for f in features]
-    out = df.select(key, label, *doubles, F.lit(False).alias("synthetic"))
-    for value, n in sorted(sizes.items(), key=lambda p: str(p[0])):
-        missing = large - n
-        if missing <= 0:
-            continue
-        if n <= 1:
-            raise ValueError("a class needs two rows to interpolate")
-        minority = df.filter(F.col(label) == F.lit(value)).select(F.col(key).cast("long").alias("id"), F.array(*doubles).alias("vector"))
-        minority = durable(row_numbers(minority.withColumn("__h", F.xxhash64("id", F.lit(seed))), "__h", "id", name="r").drop("__h"))
-        near = nearest_neighbors(minority, minority, min(k, n - 1), exclude_same_key=True)
-        each, rest = missing // n, missing % n
-        made = minority.withColumn("copies", F.lit(each) + F.when(F.col("r") <= rest, 1).otherwise(0)).filter("copies > 0")
-        made = _repeat(made, "id", "copies", each + 1)
-        chosen = F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.lit(min(k, n - 1))) + 1
-        made = made.withColumn("rank", chosen.cast("int")).withColumn("gap", hash_unit(F.xxhash64("id", "copy"), seed + 2))
-        partner = minority.select(F.col("id").alias("neighbor"), F.col("vector").alias("other"))
-        linked = made.join(near.select(F.col("query").alias("id"), "rank", "neighbor"), ["id", "rank"]).join(partner, "neighbor")
-        mixed = F.zip_with("vector", "other", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        linked = linked.withColumn("point", F.transform(mixed, lambda p: p["a"] + F.col("gap") * (p["b"] - p["a"])))
-        new = linked.select(
-            F.lit(None).cast(kind).alias(key),
-            F.lit(value).cast(dict(df.dtypes)[label]).alias(label),
-            *[F.col("point")[i].alias(f) for i, f in enumerate(features)],
-            F.lit(True).alias("synthetic"),
-        )
-        out = out.unionByName(new)
-    return out
+    kind = dict(df.dtypes)[key]
+    nothing = F.lit(None).cast(kind)
+    more = [nothing.alias("from_key"), nothing.alias("to_key"), F.lit(None).cast("double").alias("gap")] if trace else []
+    out = df.select(key, label, *doubles, F.lit(False).alias("synthetic"), *more)
+    small = {c: n for c, n in sizes.items() if n < large}
+    if not small:
+        return out
+    numbers = {c: i for i, c in enumerate(sorted(small, key=str))}
+    chosen = df.filter(_per_class(label, dict.fromkeys(small, 1)) == 1)
+    ranked = _hash_ranked(chosen, label, key, seed).select(F.col(key).alias("key"), F.col(label).alias("label"), F.col("__r").alias("r"), *doubles)
+    # classes lie apart in one more dimension, farther than any two rows of a class
+    ends = chosen.agg(*[f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(features) for f, n in ((F.min, "a"), (F.max, "b"))]).first()
+    apart = 1.0 + 2.0 * math.sqrt(sum((ends[f"b{i}"] - ends[f"a{i}"]) ** 2 for i in range(len(features)) if ends[f"a{i}"] is not None))
+    number = _per_class("label", numbers)
+    points = ranked.select("key", "label", "r", (number * F.lit(1 << 40) + F.col("r")).alias("id"), F.array(*[F.col(f) for f in features]).alias("point"), (number * F.lit(apart)).alias("far"))
+    points = durable(points.withColumn("vector", F.array_append("point", F.col("far"))).drop("far"))
+    near = nearest_neighbors(points, points, min(k, max(small.values()) - 1), exclude_same_key=True)
+    partners = _per_class("label", {c: min(k, n - 1) for c, n in small.items()})
+    each, rest = (_per_class("label", {c: f(large - n, n) for c, n in small.items()}) for f in (floordiv, mod))
+    made = points.withColumn("partners", partners).withColumn("copies", each + F.when(F.col("r") <= rest, 1).otherwise(0)).filter("copies > 0")
+    made = _repeat(made, "id", "copies", max((large - n) // n for n in small.values()) + 1)
+    made = made.withColumn("rank", (F.pmod(F.xxhash64("id", "copy", F.lit(seed + 1)), F.col("partners")) + 1).cast("int")).withColumn("gap", hash_unit(F.xxhash64("id", "copy"), seed + 2))
+    partner = points.select(F.col("id").alias("neighbor"), F.col("point").alias("other"), F.col("key").alias("to_key"))
+    linked = made.join(near.select(F.col("query").alias("id"), "rank", "neighbor"), ["id", "rank"]).join(partner, "neighbor")
+    mixed = F.zip_with("point", "other", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    linked = linked.withColumn("point", F.transform(mixed, lambda p: p["a"] + F.col("gap") * (p["b"] - p["a"])))
+    new = linked.select(
+        nothing.alias(key),
+        F.col("label").alias(label),
+        *[F.col("point")[i].alias(f) for i, f in enumerate(features)],
+        F.lit(True).alias("synthetic"),
+        *([F.col("key").alias("from_key"), "to_key", "gap"] if trace else []),
+    )
+    return out.unionByName(new)
 
 
 def _resamplers(label: str, key: str, features: Sequence[str], seed: int, smote_k: int | None) -> dict[str, Callable]:

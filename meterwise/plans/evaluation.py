@@ -187,6 +187,33 @@ def smote_rows(t: Tables) -> DataFrame:
     return resample.smote(documents(t), "quality", "doc_id", DOC_FEATURES, 3).filter("synthetic")
 
 
+@query(
+    "smote_segments",
+    """WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1) SELECT quality, (SELECT max(n) FROM c) - n AS n, CAST(0 AS BIGINT) AS other_class, CAST(0 AS DOUBLE) AS off, CAST(0 AS BIGINT) AS not_near FROM c WHERE n < (SELECT max(n) FROM c)""",
+)
+def smote_segments(t: Tables) -> DataFrame:
+    """New rows by class: how many, how far off the segment between their two rows, and how many of those are of another
+    class or not among the three nearest."""
+    base = documents(t)
+    made = resample.smote(base, "quality", "doc_id", DOC_FEATURES, 3, trace=True).filter("synthetic").select("quality", "from_key", "to_key", "gap", *DOC_FEATURES)
+    ends = {n: base.select(F.col("doc_id").alias(f"{n}_key"), F.col("quality").alias(f"{n}_quality"), F.array(*DOC_FEATURES).alias(n)) for n in ("from", "to")}
+    placed = made.join(ends["from"], "from_key").join(ends["to"], "to_key")
+    point = F.zip_with("from", "to", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    want = F.transform(point, lambda p: p["a"] + F.col("gap") * (p["b"] - p["a"]))
+    off = F.array_max(F.zip_with(want, F.array(*DOC_FEATURES), lambda a, b: F.abs(a - b)))
+    square = F.aggregate(F.transform(point, lambda p: F.pow(p["a"] - p["b"], 2)), F.lit(0.0), lambda a, b: a + b)
+    placed = placed.withColumns({"off": off, "square": square, "strange": (F.col("from_quality") != F.col("quality")) | (F.col("to_quality") != F.col("quality"))})
+    # rows of the class that are nearer than the partner
+    own = base.select(F.col("doc_id").alias("o"), F.col("quality").alias("q"), F.array(*DOC_FEATURES).alias("x"))
+    pairs = placed.select("from_key", "to_key", "quality", "from", "square").distinct().join(own, (F.col("q") == F.col("quality")) & (F.col("o") != F.col("from_key")))
+    gaps = F.aggregate(F.transform(F.zip_with("from", "x", lambda a, b: F.pow(a - b, 2)), lambda v: v), F.lit(0.0), lambda a, b: a + b)
+    nearer = pairs.groupBy("from_key", "to_key").agg(F.count_if(gaps < F.col("square") * (1 - 1e-9)).alias("nearer"))
+    found = placed.join(nearer, ["from_key", "to_key"]).groupBy("quality").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("strange").alias("other_class"), r6(F.max("off")).alias("off"), F.count_if(F.col("nearer") >= 3).alias("not_near")
+    )
+    return found
+
+
 @query("resampling_comparison")
 def resampling_comparison(t: Tables) -> DataFrame:
     return resample.cross_validate_resampling(scaled_documents(t), "quality", "doc_id", DOC_FEATURES, LogisticRegression(labelCol="quality", maxIter=10))

@@ -263,14 +263,14 @@ def _knn_sql(distance: str) -> str:
     return f"""WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
     d AS (SELECT a.id AS query, b.id AS other, b.label, {distance} AS d FROM e a JOIN e b ON a.id <> b.id),
     r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY d, other) AS r FROM d),
-    k AS (SELECT query, CAST(k AS INTEGER) AS k, label, count(*) AS n FROM r, (VALUES (1), (5), (15), (40)) t(k) WHERE r <= k GROUP BY 1, 2, 3)
+    k AS (SELECT query, CAST(k AS INTEGER) AS k, label, count(*) AS n FROM r, range(1, 41) t(k) WHERE r <= k GROUP BY 1, 2, 3)
     SELECT query, k, arg_min(label, struct_pack(a := -n, b := label)) AS prediction FROM k GROUP BY 1, 2"""
 
 
 def _knn(t: Tables, metric: str) -> DataFrame:
     table = vectors(t)
     near = nearest_neighbors(table, table, 40, metric=metric, exclude_same_key=True)
-    return knn_votes(near, table, "id", "label", [1, 5, 15, 40])
+    return knn_votes(near, table, "id", "label", list(range(1, 41)))
 
 
 @query("knn_euclidean", _knn_sql("list_distance(a.v, b.v)"))

@@ -239,6 +239,35 @@ def test_resampling_sizes_and_bounds(spark):
     assert rows(made) == rows(resample.smote(df.repartition(7), "target", "id", ["f1", "f2"], 3))
 
 
+def test_smote_of_several_classes_with_text_keys(spark):
+    rng = np.random.default_rng(21)
+    sizes = {"many": 40, "some": 13, "few": 2}
+    points = {f"{c} {i:02}": (c, rng.normal(size=2) + 3 * j) for j, (c, n) in enumerate(sizes.items()) for i in range(n)}
+    df = spark.createDataFrame([(name, c, float(x[0]), float(x[1])) for name, (c, x) in points.items()], "id string, y string, f1 double, f2 double")
+    made = resample.smote(df, "y", "id", ["f1", "f2"], 3, trace=True)
+    assert {r.y: r["count"] for r in made.groupBy("y").count().collect()} == dict.fromkeys(sizes, 40)
+    for r in made.filter("synthetic").collect():
+        (c, a), (d, b) = points[r.from_key], points[r.to_key]
+        assert r.id is None and c == d == r.y and r.from_key != r.to_key and 0 <= r.gap <= 1
+        assert np.allclose([r.f1, r.f2], a + r.gap * (b - a))
+        nearer = [n for n, (e, x) in points.items() if e == c and n != r.from_key and ((x - a) ** 2).sum() < ((b - a) ** 2).sum()]
+        assert len(nearer) < 3
+    with pytest.raises(ValueError):
+        resample.smote(df.filter("y <> 'few' OR id = 'few 00'"), "y", "id", ["f1", "f2"])
+
+
+@pytest.mark.parametrize("wanted", [1, 7, 60])
+def test_upper_bounds_of_neighbour_distances(wanted):
+    rng = np.random.default_rng(22)
+    counts = np.array([3, 0, 9, 1, *rng.integers(0, 6, 40)])
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    close = np.concatenate([np.sort(rng.random(n)) for n in counts])
+    d = rng.random((30, len(counts)))
+    found = neighbors._upper_bounds(d, starts, close, wanted)
+    every = np.sort(np.concatenate([d[:, [c]] + close[starts[c] : starts[c + 1]] for c in range(len(counts))], axis=1), axis=1)
+    assert (found >= every[:, wanted - 1] - 1e-12).all() and np.isfinite(found).all()
+
+
 def test_cross_validated_resampling(spark):
     df = imbalanced(spark)
     estimator = LogisticRegression(labelCol="target", maxIter=5)
