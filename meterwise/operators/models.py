@@ -132,29 +132,6 @@ def gradient_boosting(
     return estimator.fit(df)
 
 
-def importance_by_type(model, columns: Sequence[str], df: DataFrame) -> DataFrame:
-    """(feature, gain, weight, cover): mean gain share, number of splits and mean rows per split."""
-    splits = np.zeros(len(columns))
-    cover = np.zeros(len(columns))
-    for tree in model.trees:
-
-        def walk(node) -> None:
-            if node.numDescendants() == 0:
-                return
-            i = node.split().featureIndex()
-            splits[i] += 1
-            cover[i] += node.impurityStats().count()
-            walk(node.leftChild())
-            walk(node.rightChild())
-
-        walk(tree._java_obj.rootNode() if hasattr(tree, "_java_obj") and tree._java_obj else tree._call_java("rootNode"))
-    gain = model.featureImportances.toArray()
-    rows = [
-        (c, float(gain[i]), int(splits[i]), float(cover[i] / splits[i]) if splits[i] else 0.0) for i, c in enumerate(columns)
-    ]
-    return df.sparkSession.createDataFrame(rows, "feature string, gain double, weight int, cover double")
-
-
 # ---- ensembles ----
 
 

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwise.operators import evaluate, features, models, penalty_paths
+from meterwise.operators import boosting, evaluate, features, models, penalty_paths
 from meterwise.operators.neighbors import knn_votes, nearest_neighbors
 from meterwise.plans.registry import Tables, query, r6
 from meterwise.session import durable
@@ -329,7 +329,34 @@ def gradient_boosting(t: Tables) -> DataFrame:
 def boosting_importances(t: Tables) -> DataFrame:
     table = models.with_features(documents(t), DOC_FEATURES)
     model = models.gradient_boosting(table, "quality", rounds=8, depth=3)
-    return models.importance_by_type(model, DOC_FEATURES, t.documents)
+    return boosting.importance_by_type(model, DOC_FEATURES, t.documents)
+
+
+@query("boosting_fold_curves")
+def boosting_fold_curves(t: Tables) -> DataFrame:
+    """Mean and deviation over 3 folds of the losses of up to 100 rounds, until 15 rounds bring nothing."""
+    table = evaluate.shuffled_folds(models.with_features(documents(t), DOC_FEATURES), "doc_id", 3)
+    return boosting.curve_summary(durable(boosting.fold_curves(table, "quality", "fold", rounds=100, depth=3)), 15)
+
+
+@query("boosting_margins", "SELECT quality, count(*) AS n, CAST(0 AS DOUBLE) AS off FROM labels JOIN documents USING (doc_id) GROUP BY 1")
+def boosting_margins(t: Tables) -> DataFrame:
+    """The last of the staged margins is the model's own raw prediction, and each class has all its rows."""
+    table = models.with_features(documents(t), DOC_FEATURES)
+    model = models.gradient_boosting(table, "quality", rounds=8, depth=3)
+    scored = model.transform(table).withColumn("margins", boosting.staged_margins(model))
+    off = F.abs(F.element_at("margins", -1) - vector_to_array("rawPrediction")[1])
+    return scored.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), r6(F.max(off), 8).alias("off"))
+
+
+@query("boosting_first_leaves", "SELECT count(*) AS n, CAST(sum(2 * quality - 1) AS BIGINT) AS signs, CAST(0 AS DOUBLE) AS off FROM labels JOIN documents USING (doc_id)")
+def boosting_first_leaves(t: Tables) -> DataFrame:
+    """The first tree fits the classes as -1 and 1: a leaf's value is the mean of its rows."""
+    table = models.with_features(documents(t), DOC_FEATURES)
+    model = models.gradient_boosting(table, "quality", rounds=3, depth=3)
+    leaves = table.select((2 * F.col("quality") - 1).cast("long").alias("sign"), boosting.leaf_of_round(model, 0).alias("leaf"))
+    each = leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.sum("sign").alias("signs"))
+    return each.agg(F.sum("n").alias("n"), F.sum("signs").alias("signs"), r6(F.max(F.abs(F.col("leaf") - F.col("signs") / F.col("n"))), 8).alias("off"))
 
 
 @query("hard_voting")

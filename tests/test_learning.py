@@ -8,7 +8,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from meterwise.operators import cluster, evaluate, features, models, neighbors, recommend, resample, search
+from meterwise.operators import boosting, cluster, evaluate, features, models, neighbors, recommend, resample, search
 
 
 def vectors(spark, n=300, width=3, seed=0, copies=0):
@@ -150,8 +150,36 @@ def test_stacking_and_machines(spark):
         assert evaluate.accuracy(model.transform(mapped), "label", "prediction") > 0.85
     binary = df.withColumn("label", (F.col("label") == 1).cast("int")).withColumn("held", F.col("id") % 4 == 0)
     gbt = models.gradient_boosting(binary, "label", "held", rounds=8, depth=2)
-    table = models.importance_by_type(gbt, ["x", "y"], df).collect()
-    assert sum(r.gain for r in table) == pytest.approx(1) and sum(r.weight for r in table) > 0
+    table = boosting.importance_by_type(gbt, ["x", "y"], df).collect()
+    assert sum(r.importance for r in table) == pytest.approx(1) and sum(r.weight for r in table) > 0
+    assert all(r.total_gain == pytest.approx(r.gain * r.weight) and r.total_cover == pytest.approx(r.cover * r.weight) for r in table)
+
+
+def test_boosting_curves_over_folds(spark):
+    """Losses of every round and fold are those of the fitted models, by their own evaluation."""
+    rng = np.random.default_rng(30)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] + 0.8 * rng.normal(size=300) > 0).astype(int)
+    rows_ = [(*map(float, r), int(c), i % 3) for i, (r, c) in enumerate(zip(x, y, strict=True))] + [(1.0, 2.0, 3.0, None, 0), (1.0, 2.0, 3.0, 1, None)]
+    df = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(spark.createDataFrame(rows_, "a double, b double, c double, y int, fold int"))
+    curves = boosting.fold_curves(df, "y", "fold", rounds=12, depth=2, step=0.5).cache()
+    found = {(r.fold, r.round): r for r in curves.collect()}
+    assert set(found) == {(f, k) for f in range(3) for k in range(1, 13)}
+    clean = df.dropna(subset=["y", "fold"])
+    model = models.gradient_boosting(clean.where("fold <> 1"), "y", None, 12, 2, 0.5)
+    for part, loss, error in (("fold = 1", "test_loss", "test_error"), ("fold <> 1", "train_loss", "train_error")):
+        own = model.evaluateEachIteration(clean.where(part))
+        assert [found[1, k][loss] for k in range(1, 13)] == pytest.approx([v / 2 for v in own])
+        wrong = 1 - evaluate.accuracy(model.transform(clean.where(part)), "y", "prediction")
+        assert found[1, 12][error] == pytest.approx(wrong)
+    means = [np.mean([found[f, k].test_loss for f in range(3)]) for k in range(1, 13)]
+    for patience in (1, 2, 50):
+        best, last = 0, next((k for k in range(12) if k - int(np.argmin(means[: k + 1])) >= patience), 11)
+        best = int(np.argmin(means[: last + 1]))
+        summary = boosting.curve_summary(curves, patience).orderBy("round").collect()
+        assert [r.round for r in summary] == list(range(1, best + 2)) and [r.best for r in summary] == [False] * best + [True]
+        assert [r.test_mean for r in summary] == pytest.approx(means[: best + 1])
+    assert boosting.fold_curves(df.limit(0), "y", "fold").count() == 0
 
 
 def test_boosting_weights_follow_the_formula(spark):
