@@ -21,6 +21,8 @@ LABELLED_ROWS, LANDMARKS, LANDMARK_BYTES = 8_192, 256, 2_048
 #: languages told apart at most (those with most rows)
 CLASSES = 1_024
 RIDGE = 0.001
+#: values of the hash that chooses rows
+HASHES = 1 << 40
 #: texts whose presence vectors form one matrix, and bytes looked up together
 BLOCK, CHUNK = 64, 1 << 18
 
@@ -210,8 +212,14 @@ def training_rows(
     common = slim.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(CLASSES).collect()
     languages = tuple(sorted(r["lang"] for r in common))
     share = max(1, rows // max(1, len(languages)))
-    order = Window.partitionBy("lang").orderBy("h", "i")
-    chosen = slim.where(F.col("lang").isin(*languages)).withColumn("k", F.row_number().over(order)).where(F.col("k") <= share).select("i", "lang")
+    if not languages:
+        return (), docs.limit(0).select(F.col(id_col).alias("i"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"))
+    # rows of each language below a hash bound that lets about twice the share through, so that no task ranks a language
+    bounds = [(r["lang"], int(min(1.0, (2 * share + 64) / r["n"]) * HASHES)) for r in common]
+    below = docs.sparkSession.createDataFrame(bounds, "lang string, below long")
+    few = slim.join(F.broadcast(below), "lang").where(F.pmod("h", F.lit(HASHES)) < F.col("below"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(HASHES)), "i")
+    chosen = few.withColumn("k", F.row_number().over(order)).where(F.col("k") <= share).select("i", "lang")
     texts = known.select(F.col(id_col).alias("i"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("t"))
     picked = texts.join(F.broadcast(chosen.distinct()), ["i", "lang"])
     return languages, picked.groupBy("i", "lang").agg(F.min("t").alias("t"))
