@@ -23,6 +23,16 @@ def site_clusters(t: Tables) -> DataFrame:
     return found["labels"].groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y"))
 
 
+@query("site_assignment", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS wrong, CAST(5 AS BIGINT) AS clusters FROM events")
+def site_assignment(t: Tables) -> DataFrame:
+    """Every event is in the cluster whose centre is nearest to it."""
+    found = cluster.kmeans_sites(sites(t), ["x", "y"], 5, scale=False)
+    squares = [F.pow(F.col("x") - float(c[0]), 2) + F.pow(F.col("y") - float(c[1]), 2) for c in found["centers"]]
+    own = F.element_at(F.array(*squares), F.col("cluster") + 1)
+    wrong = F.count_if(own > F.least(*squares) + 1e-9)
+    return found["labels"].agg(F.count(F.lit(1)).alias("n"), wrong.alias("wrong"), F.count_distinct("cluster").alias("clusters"))
+
+
 @query("elbow")
 def elbow(t: Tables) -> DataFrame:
     points = cluster.assemble(cluster.weighted_sites(sites(t), ["x", "y"]), ["x", "y"])

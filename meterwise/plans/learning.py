@@ -297,6 +297,17 @@ def decision_tree(t: Tables) -> DataFrame:
     return ranked.filter("importance > 0").withColumn("accuracy", F.lit(score))
 
 
+@query("decision_tree_leaves", "SELECT label, count(*) AS n, CAST(0 AS DOUBLE) AS off FROM embeddings GROUP BY 1")
+def decision_tree_leaves(t: Tables) -> DataFrame:
+    """A leaf's probabilities are the shares of the classes among the rows that reach it."""
+    table = vectors(t)
+    scored = models.decision_tree(table, "label", 5, "entropy").transform(table)
+    leaf = scored.select("label", F.to_json(vector_to_array("rawPrediction")).alias("leaf"), vector_to_array("probability").alias("p"))
+    sizes = leaf.groupBy("leaf").agg(F.count(F.lit(1)).alias("size"))
+    own = leaf.groupBy("leaf", "label").agg(F.count(F.lit(1)).alias("n"), F.first(F.col("p")[F.col("label").cast("int")]).alias("p"))
+    return own.join(sizes, "leaf").groupBy("label").agg(F.sum("n").alias("n"), r6(F.max(F.abs(F.col("n") / F.col("size") - F.col("p"))), 9).alias("off"))
+
+
 @query("random_forest")
 def random_forest(t: Tables) -> DataFrame:
     table = vectors(t)
@@ -371,6 +382,16 @@ def hard_voting(t: Tables) -> DataFrame:
     return _report(table.select("id", "label").join(voted, "id"))
 
 
+@query(
+    "hard_vote_rules",
+    """WITH v AS (SELECT event_id, unnest([event_id % 3, event_id % 4, event_id % 5]) AS p FROM events), n AS (SELECT event_id, p, count(*) AS n FROM v GROUP BY 1, 2)
+    SELECT event_id, arg_min(p, struct_pack(a := -n, b := p)) AS prediction FROM n GROUP BY 1""",
+)
+def hard_vote_rules(t: Tables) -> DataFrame:
+    """Votes of three rules for every event; ties go to the lowest label."""
+    return models.hard_vote([t.events.select("event_id", (F.col("event_id") % k).alias("prediction")) for k in (3, 4, 5)], "event_id")
+
+
 @query("stacking")
 def stacking(t: Tables) -> DataFrame:
     table = evaluate.shuffled_folds(models.with_features(scaled_documents(t), DOC_FEATURES), "doc_id", 5)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from meterwise.operators import features, models, selection
 from meterwise.plans.registry import Tables, query, r6
+from meterwise.session import durable
 
 
 @query(
@@ -189,6 +190,43 @@ def truncated_svd(t: Tables) -> DataFrame:
     return found["row_factors"].select("l_partkey", F.posexplode("factors").alias("component", "value"))
 
 
+@query("principal_equations", "SELECT CAST(i AS INTEGER) AS component, CAST(0 AS DOUBLE) AS off, CAST(0 AS DOUBLE) AS overlap FROM range(3) r(i)")
+def principal_equations(t: Tables) -> DataFrame:
+    """Covariances times a component are its variance times the component; components are of length 1 and at right angles."""
+    scaled = features.PopulationScaler(columns=NUMBERS).fit(_numbers(t)).transform(_numbers(t))
+    found = features.pca(scaled, NUMBERS, 3)
+    total = sum(scaled.agg(*[F.var_samp(c) for c in NUMBERS]).first())
+    pairs = [(a, b) for a in NUMBERS for b in NUMBERS]
+    row = scaled.agg(*[F.covar_samp(a, b) for a, b in pairs]).first()
+    covariance = t.literal([(a, b, float(x)) for (a, b), x in zip(pairs, row, strict=True)], "variable string, other string, c double")
+    parts = found["components"].join(F.broadcast(found["explained"]), "component").select("component", "variable", "weight", (F.col("ratio") * total).alias("variance"))
+    turned = parts.join(covariance, "variable").groupBy("component", F.col("other").alias("variable")).agg(F.sum(F.col("c") * F.col("weight")).alias("turned"))
+    off = parts.join(turned, ["component", "variable"]).groupBy("component").agg(F.max(F.abs(F.col("turned") - F.col("variance") * F.col("weight"))).alias("off"))
+    two = parts.select("variable", F.col("component").alias("j"), F.col("weight").alias("w"))
+    dots = parts.join(two, "variable").groupBy("component", "j").agg((F.sum(F.col("weight") * F.col("w")) - F.first((F.col("component") == F.col("j")).cast("double"))).alias("d"))
+    overlap = dots.groupBy("component").agg(F.max(F.abs("d")).alias("overlap"))
+    return off.join(overlap, "component").select("component", r6("off", 8).alias("off"), r6("overlap", 8).alias("overlap"))
+
+
+@query("singular_equations", "SELECT CAST(0 AS DOUBLE) AS off, CAST(0 AS DOUBLE) AS overlap")
+def singular_equations(t: Tables) -> DataFrame:
+    """Pushing the first factor through the matrix and back multiplies it by its square; different factors are at right angles."""
+    triples = durable(t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q")))
+    found = durable(features.truncated_svd(triples, "l_partkey", "l_suppkey", "q", 12)["row_factors"])
+    first = found.select("l_partkey", F.col("factors")[0].alias("f"))
+    there = triples.join(first, "l_partkey").groupBy("l_suppkey").agg(F.sum(F.col("q") * F.col("f")).alias("g"))
+    back = triples.join(there, "l_suppkey").groupBy("l_partkey").agg(F.sum(F.col("q") * F.col("g")).alias("h"))
+    both = back.join(first, "l_partkey").agg(F.sum(F.col("h") * F.col("h")).alias("hh"), F.sum(F.col("h") * F.col("f")).alias("hf"), F.sum(F.col("f") * F.col("f")).alias("ff"))
+    # the share of the pushed factor that is not the factor's square times the factor
+    off = F.sqrt(F.greatest(F.lit(0.0), F.col("hh") - 2 * F.col("ff") * F.col("hf") + F.pow("ff", 3))) / F.sqrt("hh")
+    cells = found.select("l_partkey", F.posexplode("factors").alias("i", "x"))
+    other = found.select("l_partkey", F.posexplode("factors").alias("j", "y"))
+    dots = cells.join(other, "l_partkey").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
+    size = dots.where("i = j").select("i", F.sqrt("d").alias("a"))
+    apart = dots.where("i < j").join(size, "i").join(size.select(F.col("i").alias("j"), F.col("a").alias("b")), "j")
+    return both.select(r6(off, 4).alias("off")).join(apart.agg(r6(F.max(F.abs(F.col("d")) / (F.col("a") * F.col("b"))), 6).alias("overlap")))
+
+
 # ---- selection ----
 
 

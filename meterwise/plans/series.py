@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterwise.operators import forecast as fc
 from meterwise.operators import seasonal_arima
 from meterwise.operators import timeseries as ts
-from meterwise.plans.registry import Tables, long, paris_events, query, r6, text_time
+from meterwise.plans.registry import ORACLE, Tables, long, paris_events, query, r6, text_time
 
 PARIS = "((ts + INTERVAL 85 DAY) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Paris')"
 # dense hourly table of all events, numbered from 0
@@ -157,6 +157,21 @@ def partial_autocorrelation(t: Tables) -> DataFrame:
     return ts.pacf(by_type, "value", "bucket", 48, ["event_type"])
 
 
+_ACF = ORACLE["autocorrelation_by_type"].replace("round(sum(a.d * b.d) / any_value(v.v), 8) + 0.0", "sum(a.d * b.d) / any_value(v.v)")
+
+
+@query(
+    "partial_autocorrelation_three",
+    f"""WITH a AS ({_ACF}), r AS (SELECT event_type, max(acf) FILTER (WHERE lag = 1) AS x, max(acf) FILTER (WHERE lag = 2) AS y, max(acf) FILTER (WHERE lag = 3) AS z FROM a GROUP BY 1)
+    SELECT event_type, 0::INTEGER AS lag, 1.0::DOUBLE AS pacf FROM r UNION ALL SELECT event_type, 1, round(x, 7) FROM r UNION ALL SELECT event_type, 2, round((y - x * x) / (1 - x * x), 7) FROM r
+    UNION ALL SELECT event_type, 3, round((x * x * x - 2 * x * y + x * y * y + z - x * x * z) / (1 - 2 * x * x - y * y + 2 * x * x * y), 7) FROM r""",
+)
+def partial_autocorrelation_three(t: Tables) -> DataFrame:
+    """The first lags of the recursion, against the quotients of determinants."""
+    by_type = ts.resample_hours(t.events, "ts", "value", ["event_type"])
+    return ts.pacf(by_type, "value", "bucket", 48, ["event_type"]).where("lag <= 3").select("event_type", "lag", r6("pacf", 7).alias("pacf"))
+
+
 @query("stationarity")
 def stationarity(t: Tables) -> DataFrame:
     found = ts.adf_test(hourly(t), "value", "bucket")
