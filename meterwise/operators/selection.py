@@ -10,12 +10,14 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.functions.special import f_sf
 from meterwise.operators.clean import nan_to_null
-from meterwise.operators.ranking import bucket_column, quantiles, unpivot_numeric
+from meterwise.operators.neighbors import nearest_neighbors
+from meterwise.operators.ranking import bucket_column, quantiles, unpivot_numeric, weighted_cumulative
+from meterwise.session import durable
 
 MAX_GRAM_COLUMNS = 2_000
 
@@ -206,6 +208,55 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
     return joint.withColumn("part", part).groupBy("feature").agg(F.sum("part").alias("mutual_information"))
 
 
+def _harmonic(n: Column) -> Column:
+    """1 + 1/2 + ... + 1/n (0 for 0): the digamma function of n + 1 and Euler's constant."""
+    small = F.aggregate(F.sequence(F.lit(1).cast("long"), F.least(n, F.lit(20).cast("long"))), F.lit(0.0), lambda s, i: s + 1.0 / i)
+    m = n.cast("double")
+    # the series is exact to double precision from 20 on
+    large = F.log(m) + F.lit(float(np.euler_gamma)) + 1 / (2 * m) - 1 / (12 * m * m) + 1 / (120 * F.pow(m, 4)) - 1 / (252 * F.pow(m, 6))
+    return F.when(n <= 0, 0.0).when(n <= 20, small).otherwise(large)
+
+
+def neighbour_information(df: DataFrame, features: Sequence[str], target: str, key: str, k: int = 3) -> DataFrame:
+    """(feature, mutual_information, n): information (nats, at least 0) that each feature has about the target, by neighbours.
+
+    The published estimate for continuous columns: around every row a square that reaches to its k-th nearest neighbour
+    in (feature, target), both divided by their standard deviation; the information follows from how many rows lie
+    strictly inside its two shadows. Rows are counted by ranks of the shadows' ends among the values, never by pairs. Rows
+    at distance 0 count as inside where the k-th neighbour is at distance 0. `key` is a unique whole number. Rows with a
+    NULL or NaN in the pair are left out; a constant column, or too few rows, gives 0."""
+    rows, schema = [], "feature string, mutual_information double, n long"
+    result = None
+    for name in features:
+        pair = nan_to_null(df.select(F.col(key).cast("long").alias("id"), F.col(name).cast("double").alias("x"), F.col(target).cast("double").alias("y"))).dropna()
+        size = pair.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop("x").alias("x"), F.stddev_pop("y").alias("y")).first()
+        if size["n"] <= k or not size["x"] or not size["y"]:
+            rows.append((name, 0.0, size["n"]))
+            continue
+        scaled = durable(pair.select("id", *[(F.col(c) / F.lit(size[c])).alias(c) for c in ("x", "y")]))
+        points = scaled.select("id", F.array("x", "y").alias("vector"))
+        near = nearest_neighbors(points, points, k, metric="chebyshev", exclude_same_key=True)
+        # a hair less than the distance: what lies at it counts as outside whatever the rounding
+        reach = scaled.join(near.where(F.col("rank") == k).select(F.col("query").alias("id"), (F.col("distance") * (1 - 1e-10)).alias("r")), "id")
+        reach = durable(reach.select("id", *[(F.col(c) + s * F.col("r")).alias(f"{c}{e}") for c in ("x", "y") for e, s in (("a", -1), ("b", 1))]))
+        inside = reach.select("id")
+        for c in ("x", "y"):
+            ends = reach.select(F.explode(F.array(f"{c}a", f"{c}b")).alias("v")).distinct().withColumn("w", F.lit(0).cast("long"))
+            counts = weighted_cumulative(scaled.select(F.col(c).alias("v"), F.lit(1).cast("long").alias("w")).unionByName(ends), "v", ["w"])
+            counts = durable(counts.select(F.col("value").alias("v"), F.col("below_w").alias("below"), (F.col("below_w") + F.col("w")).alias("upto")))
+            low = counts.select(F.col("v").alias(f"{c}a"), F.col("below").alias("low"))
+            high = counts.select(F.col("v").alias(f"{c}b"), F.col("upto").alias("high"))
+            found = reach.select("id", f"{c}a", f"{c}b").join(low, f"{c}a").join(high, f"{c}b").select("id", (F.col("high") - F.col("low") - 1).alias(f"n_{c}"))
+            inside = inside.join(found, "id")
+        mean = F.avg(_harmonic(F.col("n_x")) + _harmonic(F.col("n_y")))
+        known = _harmonic(F.lit(size["n"] - 1).cast("long")) + _harmonic(F.lit(k - 1).cast("long"))
+        part = inside.agg(F.greatest(F.lit(0.0), known - mean).alias("mutual_information"), F.count(F.lit(1)).alias("n"))
+        part = part.select(F.lit(name).alias("feature"), "mutual_information", "n")
+        result = part if result is None else result.unionByName(part)
+    fixed = df.sparkSession.createDataFrame(rows, schema)
+    return fixed if result is None else result.unionByName(fixed) if rows else result
+
+
 def select_from_model(features: Sequence[str], weights: Sequence[float], rule: str = "mean") -> list[str]:
     """Features whose absolute weight reaches the mean, or is non-zero for ``rule="nonzero"``."""
     size = np.abs(np.asarray(weights, dtype=float))

@@ -286,3 +286,21 @@ def select_from_model(t: Tables) -> DataFrame:
     return t.literal(rows, "feature string, coefficient double, nonzero boolean, above_mean boolean")
 
 
+
+
+@query(
+    "neighbour_information",
+    """WITH s AS (SELECT stddev_pop(p_size) AS a, stddev_pop(p_retailprice) AS b, stddev_pop(p_partkey % 50 + p_size) AS c FROM part),
+    p AS (SELECT p_partkey AS i, p_size / a AS y, unnest([{'f': 'p_retailprice', 'x': p_retailprice / b}, {'f': 'mixed', 'x': (p_partkey % 50 + p_size) / c}]) AS u FROM part, s),
+    d AS (SELECT p.u.f AS f, p.i, abs(p.u.x - o.u.x) AS dx, abs(p.y - o.y) AS dy FROM p JOIN p o ON p.u.f = o.u.f AND p.i <> o.i),
+    r AS (SELECT f, i, min(greatest(dx, dy), 3)[3] * (1 - 1e-10) AS r FROM d GROUP BY 1, 2),
+    n AS (SELECT d.f, d.i, count(*) FILTER (WHERE dx <= r + 1e-15) AS nx, count(*) FILTER (WHERE dy <= r + 1e-15) AS ny FROM d JOIN r ON d.f = r.f AND d.i = r.i GROUP BY 1, 2),
+    h AS (SELECT 0 AS m, 0.0::DOUBLE AS h UNION ALL SELECT m, sum(1.0::DOUBLE / m) OVER (ORDER BY m) FROM range(1, (SELECT count(*) FROM part)) t(m))
+    SELECT n.f AS feature, round(greatest(0, (SELECT h FROM h WHERE m = (SELECT count(*) - 1 FROM part)) + 1.5 - avg(a.h + b.h)), 6) AS mutual_information, count(*) AS n
+    FROM n JOIN h a ON a.m = nx JOIN h b ON b.m = ny GROUP BY 1""",
+)
+def neighbour_information(t: Tables) -> DataFrame:
+    """What a part's price, and a mixture with its size, tell about its size."""
+    table = t.part.select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice", (F.col("p_partkey") % 50 + F.col("p_size")).cast("double").alias("mixed"))
+    found = selection.neighbour_information(table, ["p_retailprice", "mixed"], "p_size", "p_partkey", 3)
+    return found.select("feature", r6("mutual_information").alias("mutual_information"), "n")
