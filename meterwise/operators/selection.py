@@ -213,7 +213,7 @@ def _harmonic(n: Column) -> Column:
     small = F.aggregate(F.sequence(F.lit(1).cast("long"), F.least(n, F.lit(20).cast("long"))), F.lit(0.0), lambda s, i: s + 1.0 / i)
     m = n.cast("double")
     # the series is exact to double precision from 20 on
-    large = F.log(m) + F.lit(float(np.euler_gamma)) + 1 / (2 * m) - 1 / (12 * m * m) + 1 / (120 * F.pow(m, 4)) - 1 / (252 * F.pow(m, 6))
+    large = F.log(m) + F.lit(float(np.euler_gamma)) + 1 / (2 * m) - 1 / (12 * m * m) + 1 / (120 * F.pow(m, 4)) - 1 / (252 * F.pow(m, 6)) + 1 / (240 * F.pow(m, 8))
     return F.when(n <= 0, 0.0).when(n <= 20, small).otherwise(large)
 
 
