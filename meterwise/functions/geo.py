@@ -50,7 +50,7 @@ def _edges(ring: Column) -> Column:
     n = F.size(ring)
     return F.transform(
         F.sequence(F.lit(0), n - 1),
-        lambda i: F.struct(ring[i].alias("a"), ring[(i + 1) % n].alias("b")),
+        lambda i: F.array(ring[i][0], ring[i][1], ring[(i + 1) % n][0], ring[(i + 1) % n][1]),
     )
 
 
@@ -58,29 +58,38 @@ def _all_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, _edges))
 
 
-def on_boundary(x: Column, y: Column, rings: Column) -> Column:
-    """True when the point lies on an edge of any ring."""
+def on_edges(x: Column, y: Column, edges: Column) -> Column:
+    """True when the point lies on one of the edges [ax, ay, bx, by]."""
 
     def touches(e: Column) -> Column:
-        ax, ay, bx, by = e["a"][0], e["a"][1], e["b"][0], e["b"][1]
+        ax, ay, bx, by = e[0], e[1], e[2], e[3]
         cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
         inside_x = x.between(F.least(ax, bx), F.greatest(ax, bx))
         inside_y = y.between(F.least(ay, by), F.greatest(ay, by))
         return (F.abs(cross) < 1e-12) & inside_x & inside_y
 
-    return F.exists(_all_edges(rings), touches)
+    return F.exists(edges, touches)
 
 
-def even_odd_inside(x: Column, y: Column, rings: Column) -> Column:
-    """Ray casting over all rings, so holes count as outside."""
+def crossings(x: Column, y: Column, edges: Column) -> Column:
+    """Number of edges [ax, ay, bx, by] that a ray to the right meets."""
 
     def crossing(e: Column) -> Column:
-        ax, ay, bx, by = e["a"][0], e["a"][1], e["b"][0], e["b"][1]
+        ax, ay, bx, by = e[0], e[1], e[2], e[3]
         straddles = (ay > y) != (by > y)
         return F.when(straddles & (x < ax + (y - ay) * (bx - ax) / F.nullif(by - ay, F.lit(0.0))), 1).otherwise(0)
 
-    hits = F.aggregate(_all_edges(rings), F.lit(0), lambda acc, e: acc + crossing(e))
-    return hits % 2 == 1
+    return F.aggregate(edges, F.lit(0), lambda acc, e: acc + crossing(e))
+
+
+def on_boundary(x: Column, y: Column, rings: Column) -> Column:
+    """True when the point lies on an edge of any ring."""
+    return on_edges(x, y, _all_edges(rings))
+
+
+def even_odd_inside(x: Column, y: Column, rings: Column) -> Column:
+    """Ray casting over all rings, so holes count as outside."""
+    return crossings(x, y, _all_edges(rings)) % 2 == 1
 
 
 def within(x: Column, y: Column, rings: Column) -> Column:

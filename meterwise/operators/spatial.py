@@ -1,4 +1,4 @@
-"""Point-in-polygon joins by a grid-cell equi-join."""
+"""Point-in-polygon joins by an equi-join on the cells of adaptive covers."""
 
 from __future__ import annotations
 
@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.functions import geo
-from meterwise.operators.joins import broadcast_if_small
+from meterwise.operators.polygon_cover import polygon_cells
 from meterwise.session import durable
 
-CELLS_PER_POLYGON = 256
-
 
 def to_lonlat(polygons: DataFrame, crs: str) -> DataFrame:
     """Reproject the ``rings`` column to EPSG:4326."""
@@ -25,37 +23,21 @@ def to_mercator(polygons: DataFrame) -> DataFrame:
     return polygons.withColumn("rings", geo.project_rings(F.col("rings"), geo.lonlat_to_mercator))
 
 
-def _grid_step(polygons: DataFrame) -> float:
-    """Cell width from the median polygon width; large enough that no polygon explodes
-    into more than CELLS_PER_POLYGON columns."""
-    box = polygons.select(geo.bounding_box(F.col("rings")).alias("b")).select(
-        F.greatest(F.col("b.max_x") - F.col("b.min_x"), F.col("b.max_y") - F.col("b.min_y")).alias("w")
-    )
-    row = box.agg(F.percentile_approx("w", 0.5).alias("median"), F.max("w").alias("widest")).first()
-    step = max(row["median"] or 0.0, (row["widest"] or 0.0) / CELLS_PER_POLYGON)
-    return step or 1.0
-
-
 def match_points(points: DataFrame, polygons: DataFrame, lon: str, lat: str) -> DataFrame:
-    """(lon, lat, label_within, label_touch) for distinct points; first polygon in ``ord`` wins."""
-    step = _grid_step(polygons)
-    boxed = polygons.withColumn("b", geo.bounding_box(F.col("rings")))
-
-    def cells(low: str, high: str):
-        return F.explode(F.sequence(F.floor(F.col(low) / step), F.floor(F.col(high) / step)))
-
-    gridded = (
-        boxed.withColumn("__cx", cells("b.min_x", "b.max_x"))
-        .withColumn("__cy", cells("b.min_y", "b.max_y"))
-        .select("__cx", "__cy", "rings", "label", "ord", "b")
-    )
-    located = points.withColumn("__cx", F.floor(F.col(lon) / step)).withColumn("__cy", F.floor(F.col(lat) / step))
-    x, y = F.col(lon), F.col(lat)
-    candidates = located.join(broadcast_if_small(gridded), ["__cx", "__cy"]).filter(
-        x.between(F.col("b.min_x"), F.col("b.max_x")) & y.between(F.col("b.min_y"), F.col("b.max_y"))
+    """(lon, lat, label_within, label_touch) for distinct points; first polygon in ``ord`` wins.
+
+    Points in a cell wholly inside a polygon need no test, points in a boundary cell one against the edges kept there.
+    A point is looked up once per cell width that occurs (a power of two, so there are few, whatever the table)."""
+    cells = durable(polygon_cells(polygons))  # read twice: cell widths and the join
+    levels = sorted(r["level"] for r in cells.select("level").distinct().collect()) or [0]
+    x, y, width = F.col(lon), F.col(lat), F.pow(F.lit(2.0), F.col("__level"))
+    located = points.withColumn("__level", F.explode(F.array(*[F.lit(v) for v in levels])))
+    located = located.withColumn("__cx", F.floor(x / width)).withColumn("__cy", F.floor(y / width))
+    found = located.join(
+        cells, (F.col("__level") == F.col("level")) & (F.col("__cx") == F.col("cx")) & (F.col("__cy") == F.col("cy"))
     )
-    inside, edge = geo.even_odd_inside(x, y, F.col("rings")), geo.on_boundary(x, y, F.col("rings"))
-    tested = candidates.withColumn("__in", inside).withColumn("__edge", edge)
+    odd = (geo.crossings(x, y, F.col("edges")) + F.col("flip").cast("int")) % 2 == 1
+    tested = found.withColumn("__in", F.col("whole") | odd).withColumn("__edge", ~F.col("whole") & geo.on_edges(x, y, F.col("edges")))
     return tested.groupBy(lon, lat).agg(
         F.min_by("label", F.when(F.col("__in") & ~F.col("__edge"), F.col("ord"))).alias("__w"),
         F.min(F.when(F.col("__in") & ~F.col("__edge"), F.col("ord"))).alias("__w_ord"),
