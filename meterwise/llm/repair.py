@@ -23,6 +23,33 @@ MAGIC = b"RPG1"
 HEAD = "<4sIIIQQ"
 ROWS_PER_SHARD = 100_000
 BLOCK_IDS = 1 << 20
+#: pairs are told apart by so many bits of a hash before they are sorted or looked up
+SLOT_BITS = 18
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).view(np.int64)
+
+
+def _pair_counts(keys: np.ndarray, wanted: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, where each distinct one begins, and how often it occurs; the `wanted` most frequent are complete.
+
+    Keys are counted by hash first. A key occurs at most as often as its hash, so if enough keys reach a bound, those
+    with rarer hashes need not be sorted."""
+
+    def counted(some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ordered = np.sort(some)
+        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, dtype=np.int64)
+        return ordered, edges, np.diff(np.append(edges, len(ordered)))
+
+    if len(keys) > 1 << SLOT_BITS:
+        slots = _slots(keys)
+        by_slot = np.bincount(slots, minlength=1 << SLOT_BITS)
+        bound = np.partition(by_slot, -2 * wanted)[-2 * wanted] if 2 * wanted < len(by_slot) else 0
+        found = counted(keys[by_slot[slots] >= bound])
+        if bound and np.count_nonzero(found[2] >= bound) >= wanted:
+            return found
+    return counted(keys)
 
 
 def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = 4, per_round: int = 2048, least: int = 4):
@@ -39,27 +66,29 @@ def repair(ids: np.ndarray, ends: np.ndarray, base: int, rounds: int = 4, per_ro
         keys = symbols[:-1] << 32 | symbols[1:]
         inside = np.ones(len(keys), dtype=bool)
         inside[ends[(ends > 0) & (ends < len(symbols))] - 1] = False
-        # counts by sorting the pairs of the block
-        ordered = np.sort(keys[inside])
+        ordered, edges, counts = _pair_counts(keys[inside], per_round)
         if not len(ordered):
             break
-        edges = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        counts = np.diff(np.append(edges, len(ordered)))
         frequent = np.flatnonzero(counts >= least)
         if not len(frequent):
             break
         if len(frequent) > per_round:
             frequent = np.sort(frequent[np.argpartition(-counts[frequent], per_round - 1)[:per_round]])
         pairs = ordered[edges[frequent]]
-        spot = np.searchsorted(pairs, keys)
-        spot[spot == len(pairs)] = 0
-        hit = inside & (pairs[spot] == keys)
+        # most keys are ruled out by a table of hashes before they are looked up
+        listed = np.zeros(1 << SLOT_BITS, dtype=bool)
+        listed[_slots(pairs)] = True
+        at = np.flatnonzero(listed[_slots(keys)] & inside)
+        found = np.searchsorted(pairs, keys[at])
+        found[found == len(pairs)] = 0
+        hit = pairs[found] == keys[at]
+        at, found = at[hit], found[hit]
         # of touching hits take every other one from the left
-        at = np.flatnonzero(hit)
         fresh = np.concatenate([[True], np.diff(at) > 1])
         run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-        symbols[at] = top + spot[at]
+        taken = (np.arange(len(at)) - run_start) % 2 == 0
+        at = at[taken]
+        symbols[at] = top + found[taken]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         kept = np.concatenate([[0], np.cumsum(keep)])

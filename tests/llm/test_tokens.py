@@ -8,7 +8,7 @@ from fixtures import docs, odd_docs, texts  # noqa: F401
 from tokenizers import Tokenizer
 
 from meterwise.llm.packing import class_sizes, cut_lengths, pack, power_runs
-from meterwise.llm.repair import Block, read_ids, repair, rule_lengths, round_trip, write_block, write_ids
+from meterwise.llm.repair import Block, _pair_counts, read_ids, repair, rule_lengths, round_trip, write_block, write_ids
 from meterwise.llm.token_counts import token_counts
 from meterwise.llm.vocab import ByteIds, WordCounts
 
@@ -94,3 +94,18 @@ def test_token_files(spark, docs, byte_ids, odd_docs, tmp_path):
     assert [r.doc_id for r in odd] == [None, None, 1, 2, 2, 3, 5, 6, 7, 7, 8]
     assert [r.start for r in odd] == [sum(x.n_tokens for x in odd[:i]) for i in range(len(odd))]
     assert round_trip(odd_docs.limit(0), BYTES).count() == 0
+
+
+def test_frequent_pairs_are_counted_without_sorting_all():
+    """The most frequent pairs are complete, rare ones are left unsorted, and a flat spread falls back to all pairs."""
+    rng = np.random.default_rng(4)
+    skewed, flat = rng.zipf(1.3, 600_000) % 200_000 << 32 | 7, rng.integers(0, 1 << 40, 600_000)
+    for keys, all_sorted in ((skewed, False), (flat, True), (skewed[:1000], True), (skewed[:0], True)):
+        ordered, edges, counts = _pair_counts(keys, 500)
+        names, want = np.unique(keys, return_counts=True)
+        assert (len(ordered) == len(keys)) == all_sorted and counts.sum() == len(ordered)
+        assert sorted(counts)[-500:] == sorted(want)[-500:]
+        assert dict(zip(ordered[edges].tolist(), counts.tolist(), strict=True)).items() <= dict(zip(names.tolist(), want.tolist(), strict=True)).items()
+    ids, ends = (skewed[:400_000] >> 32).astype("<u4"), np.array([0, 1, 150_000, 150_000, 400_000])
+    block = Block(write_block(0, [1, 2, 3, None, 5], ids, ends, 200_000))
+    assert block.expand(0, len(block.symbols)).tolist() == ids.tolist() and len(block.document(2)) == 149_999
