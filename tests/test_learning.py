@@ -81,6 +81,30 @@ def test_cosine_pairs_of_any_keys(spark, monkeypatch, entries, hot):
             assert all(got[name[b]] == pytest.approx(expected[a, b]) for b in partners if name[b] in got)
 
 
+def blocked_triples(spark, monkeypatch):
+    """A sparse random table, and settings by which it is cut into many blocks, runs and products."""
+    monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 5)
+    monkeypatch.setattr(recommend, "ENTRIES_AT_ONCE", 20, raising=False)
+    monkeypatch.setattr(recommend, "PRODUCTS_AT_ONCE", 30, raising=False)
+    rng = np.random.default_rng(17)
+    m = rng.integers(1, 6, size=(60, 45)) * (rng.random((60, 45)) < 0.1)
+    return m, spark.createDataFrame([(u, i, float(m[u, i])) for u in range(60) for i in range(45) if m[u, i]], "u long, i long, r double")
+
+
+def best_partners(m, top):
+    unit = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    s = unit @ unit.T
+    return sorted((a, b) for a in range(len(m)) for b in sorted((b for b in range(len(m)) if b != a and s[a, b] > 0), key=lambda b: (-round(s[a, b], 12), b))[:top])
+
+
+def test_entries_are_not_copied_per_block(spark, monkeypatch):
+    """The product of items reads each stored entry; none is sent once per block."""
+    m, triples = blocked_triples(spark, monkeypatch)
+    pairs = recommend.cosine_pairs(triples, "i", "u", "r", 3)
+    assert "explode" not in pairs._jdf.queryExecution().toString().lower()
+    assert sorted(rows(pairs, "a", "b")) == best_partners(m.T, 3)
+
+
 def test_cosine_pairs_match_numpy(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 7)
     monkeypatch.setattr(recommend, "HOT_ENTRIES", 14)
