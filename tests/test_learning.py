@@ -105,6 +105,16 @@ def test_entries_are_not_copied_per_block(spark, monkeypatch):
     assert sorted(rows(pairs, "a", "b")) == best_partners(m.T, 3)
 
 
+def test_users_are_not_copied_per_block(spark, monkeypatch):
+    """Also where some users have too many entries for a block and meet the others in a join."""
+    m, triples = blocked_triples(spark, monkeypatch)
+    near = recommend.nearest_entities(triples, "u", "i", "r", 3)
+    assert "explode" not in near._jdf.queryExecution().toString().lower()
+    assert sorted(rows(near, "a", "b")) == best_partners(m, 3)
+    monkeypatch.setattr(recommend, "HOT_ENTRIES", 6)
+    assert sorted(rows(recommend.nearest_entities(triples, "u", "i", "r", 3), "a", "b")) == best_partners(m, 3)
+
+
 def test_cosine_pairs_match_numpy(spark, monkeypatch):
     monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 7)
     monkeypatch.setattr(recommend, "HOT_ENTRIES", 14)
