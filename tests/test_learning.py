@@ -148,6 +148,20 @@ def test_item_predictions_match_numpy(spark):
             assert got[i] == pytest.approx(s[i, near] @ m[7, near] / s[i, near].sum())
 
 
+def test_item_predictions_of_many_blocks(spark, monkeypatch):
+    m, triples = blocked_triples(spark, monkeypatch)
+    found = recommend.predict_from_items(triples, "u", "i", "r", 7, 3)
+    assert "explode" not in found._jdf.queryExecution().toString().lower()
+    got = {r.i: r.prediction for r in found.collect()}
+    near = {}
+    for a, b in best_partners(m.T, 3):
+        near.setdefault(a, []).append(b)
+    unit = m / np.maximum(np.linalg.norm(m, axis=0, keepdims=True), 1e-300)
+    s = unit.T @ unit
+    assert set(got) == {i for i in near if m[7, i] == 0}
+    assert all(got[i] == pytest.approx(s[i, near[i]] @ m[7, near[i]] / s[i, near[i]].sum()) for i in got)
+
+
 def test_truncated_svd(spark):
     rng = np.random.default_rng(3)
     m = rng.normal(size=(40, 5)) @ np.diag([9, 6, 4, 2, 1]) @ rng.normal(size=(5, 30))
