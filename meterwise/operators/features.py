@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,12 +15,14 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterwise.operators import subspace
 from meterwise.operators.analytics import category_values
 from meterwise.operators.clean import is_missing, modes
+from meterwise.operators.passes import kept, numbered, stored
 from meterwise.operators.ranking import quantiles, row_numbers, unpivot_numeric
 from meterwise.operators.selection import gram_matrix
 from meterwise.operators.transformers import SqlColumns
-from meterwise.session import durable
+from meterwise.session import parallelism
 
 
 class _Fit(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -240,52 +242,62 @@ def truncated_svd(
 ) -> dict:
     """Leading singular values and row factors U·S of a sparse matrix in long form.
 
-    Randomised subspace iteration (a published method): every half step is one join and one
-    combined aggregation, and only (k + extra)² sums reach the driver.
+    Randomised subspace iteration (a published method).  Entries are stored once, in blocks of whole rows; a task reads
+    its block and the column vectors, and only its sums for the columns are shuffled, so a round sends no more than blocks ×
+    columns vectors, and (k + extra)² sums reach the driver.  The entries of a row must fit in a task.  Triples with a
+    missing part are left out.
     """
     width = k + extra
-    base = durable(triples.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col(value).cast("double").alias("v")))
-
-    def pushed(vectors: DataFrame, source: str, target: str) -> DataFrame:
-        parts = base.join(vectors, source)
-        return parts.groupBy(target).agg(*[F.sum(F.col("v") * F.col(f"x{j}")).alias(f"x{j}") for j in range(width)])
-
     names = [f"x{j}" for j in range(width)]
-
-    def sums(vectors: DataFrame) -> np.ndarray:
-        return gram_matrix(vectors, names)[1:, 1:]
-
-    def rotated(vectors: DataFrame, key: str, matrix: np.ndarray) -> DataFrame:
-        out = names[: matrix.shape[1]]
-
-        def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                yield pd.DataFrame(pdf[names].to_numpy() @ matrix, columns=out).assign(**{key: pdf[key].to_numpy()})
-
-        kind = vectors.schema[key].dataType.simpleString()
-        schema = ", ".join(f"{x} double" for x in out) + f", {key} {kind}"
-        return vectors.mapInPandas(turn, schema)
+    base = triples.select(F.col(row).alias("r"), F.col(column).alias("c"), F.col(value).cast("double").alias("v")).dropna()
+    spark, kind = base.sparkSession, base.schema["r"].dataType.simpleString()
+    random = [(F.lit(2.0) * hash_unit(F.col("c"), seed + j) - 1.0).alias(x) for j, x in enumerate(names)]
+    base = stored(base, "entries")
+    start = base.select("c").distinct().select("c", *random)
+    base, row_names = numbered(base, "r", "row")
+    base, column_names = numbered(base, "c", "column")
+    start = start.join(column_names, "c") if column_names is not None else start.withColumn("column", F.col("c").cast("long"))
+    n = base.count()
+    blocks = max(1, math.ceil(n / subspace.ENTRIES_PER_BLOCK), min(parallelism(spark), math.ceil(n / subspace.PRODUCTS_AT_ONCE)))
+    placed = base.select(F.col("row").alias("r"), F.col("column").alias("c"), "v", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"))
+    path = kept(placed.repartition(blocks, "b").sortWithinPartitions("b", "c"), "entry-blocks", "b")
+
+    def each_block(task, schema: str) -> DataFrame:
+        return spark.range(0, blocks, 1, blocks).mapInArrow(task, schema)
 
     def whitening(gram: np.ndarray) -> np.ndarray:
         values, vectors = np.linalg.eigh(gram)
         scale = np.where(values > values.max() * 1e-14, 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
         return vectors * scale
 
-    start = base.select("c").distinct().select(
-        "c", *[(F.lit(2.0) * hash_unit(F.col("c"), seed + j) - 1.0).alias(f"x{j}") for j in range(width)]
-    )
-    right = start
-    for _ in range(rounds):
-        left = durable(pushed(right, "c", "r"))
-        left = rotated(left, "r", whitening(sums(left)))
-        right = durable(pushed(left, "r", "c"))
-    gram = sums(right)  # (Q'A)(Q'A)'
-    values, vectors = np.linalg.eigh(gram)
+    def pushed_back(vectors: str, matrix: np.ndarray) -> tuple[str, np.ndarray]:
+        """The columns' vectors after a round, not yet turned, and the sums of products of the rows."""
+        parts = each_block(subspace.back_task(path, vectors, names, matrix), f"kind int, c long, {', '.join(f'{x} double' for x in names)}")
+        folder = kept(parts.groupBy("kind", "c").agg(*[F.sum(x).alias(x) for x in names]), "vectors", "kind")
+        # a row per vector of the subspace
+        rows = spark.read.parquet(f"{folder}/kind=1").orderBy("c").collect()
+        return f"{folder}/kind=0", np.array([[r[x] for x in names] for r in rows])
+
+    # a round reads the vectors before it and turns them as it goes
+    vectors, turn = kept(start.select(F.col("column").alias("c"), *names), "vectors"), np.eye(width)
+    for _ in range(rounds - 1):
+        vectors, gram = pushed_back(vectors, turn)
+        turn = whitening(gram)
+    # in the last one the rows are at right angles before they are pushed back
+    grams = each_block(subspace.rows_task(path, vectors, names, turn, only_gram=True), "r long, factors array<double>")
+    gram = np.zeros((width, width))
+    for r in grams.groupBy("r").agg(*[F.sum(F.col("factors")[j]).alias(x) for j, x in enumerate(names)]).collect():
+        gram[r["r"]] = [r[x] for x in names]
+    turn = turn @ whitening(gram)
+    right, _ = pushed_back(vectors, turn)
+    right = spark.read.parquet(right.removesuffix("/kind=0")).filter("kind = 0")
+    gram = gram_matrix(right, names)[1:, 1:]  # (Q'A)(Q'A)'
+    values, basis = np.linalg.eigh(gram)
     order = np.argsort(values)[::-1][:k]
     singular = np.sqrt(np.maximum(values[order], 0))
-    basis = vectors[:, order] * singular
-    factors = rotated(left, "r", basis)
-    return {
-        "singular_values": singular,
-        "row_factors": factors.select(F.col("r").alias(row), F.array(*[f"x{j}" for j in range(k)]).alias("factors")),
-    }
+    factors = each_block(subspace.rows_task(path, vectors, names, turn @ (basis[:, order] * singular)), "r long, factors array<double>")
+    if row_names is None:
+        factors = factors.select(F.col("r").cast(kind).alias(row), "factors")
+    else:
+        factors = factors.join(row_names.select(F.col("row").alias("__n"), F.col("r").alias("__r")), F.col("r") == F.col("__n")).select(F.col("__r").alias(row), "factors")
+    return {"singular_values": singular, "row_factors": factors}

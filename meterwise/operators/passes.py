@@ -15,17 +15,29 @@ from pyspark.sql import functions as F
 
 from meterwise.session import durable, scratch_folder
 
+#: without it, shuffle files stay until the driver happens to collect its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
 def kept(df: DataFrame, name: str, by: str | None = None) -> str:
-    """Write a table to the shared folder, a subfolder per value of ``by``; its path."""
-    path = scratch_folder(df.sparkSession, name)
+    """Write a table to the shared folder, a subfolder per value of ``by``; its path. Shuffle files of the plan go at once."""
+    spark = df.sparkSession
+    path, cleaned = scratch_folder(spark, name), spark.conf.get(CLEANUP, "false")
     writer = df.write if by is None else df.write.partitionBy(by)
-    writer.parquet(path)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, cleaned)
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back: computed once, a column at a time and packed."""
+    return df.sparkSession.read.schema(df.schema).parquet(kept(df, name))
+
+
 def file_system(path: str):
     """File system and path of a shared folder, for tasks."""
     from pyarrow import fs

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterwise.operators.passes import kept, numbered, ranges, runs_of
+from meterwise.operators.passes import kept, numbered, ranges, runs_of, stored
 from meterwise.session import durable, parallelism
 
 #: entities from which a table is cut into more blocks, as far as there are tasks, and entries of a block; a task holds a block
@@ -44,7 +44,7 @@ def cosine_pairs(triples: DataFrame, entity: str, feature: str, value: str, top:
     spark, kind = base.sparkSession, base.schema["e"].dataType.simpleString()
     base, names = numbered(base, "e", "x")
     base = numbered(base, "f", "g")[0].select("x", "g", "v")
-    base = spark.read.schema(base.schema).parquet(kept(base, "entries"))  # read by the sizes, the blocks and the hot entities
+    base = stored(base, "entries")  # read by the sizes, the blocks and the hot entities
     counts = base.groupBy("x").agg(F.sqrt(F.sum(F.col("v") * F.col("v"))).alias("norm"), F.count(F.lit(1)).alias("n"))
     sizes = counts.agg(F.count(F.lit(1)).alias("e"), F.sum("n").alias("n"), F.collect_list(F.when(F.col("n") > HOT_ENTRIES, F.col("x"))).alias("hot")).first()
     entries = sizes["n"] or 0

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.operators import features, models, selection
+from meterwise.operators.passes import stored
 from meterwise.plans.registry import Tables, query, r6
-from meterwise.session import durable
 
 
 @query(
@@ -211,17 +211,16 @@ def principal_equations(t: Tables) -> DataFrame:
 @query("singular_equations", "SELECT CAST(0 AS DOUBLE) AS off, CAST(0 AS DOUBLE) AS overlap")
 def singular_equations(t: Tables) -> DataFrame:
     """Pushing the first factor through the matrix and back multiplies it by its square; different factors are at right angles."""
-    triples = durable(t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q")))
-    found = durable(features.truncated_svd(triples, "l_partkey", "l_suppkey", "q", 12)["row_factors"])
+    triples = stored(t.lineitem.groupBy("l_partkey", "l_suppkey").agg(F.avg("l_quantity").alias("q")), "triples")
+    found = stored(features.truncated_svd(triples, "l_partkey", "l_suppkey", "q", 12)["row_factors"], "factors")
     first = found.select("l_partkey", F.col("factors")[0].alias("f"))
-    there = triples.join(first, "l_partkey").groupBy("l_suppkey").agg(F.sum(F.col("q") * F.col("f")).alias("g"))
-    back = triples.join(there, "l_suppkey").groupBy("l_partkey").agg(F.sum(F.col("q") * F.col("g")).alias("h"))
+    there = stored(triples.join(first, "l_partkey").groupBy("l_suppkey").agg(F.sum(F.col("q") * F.col("f")).alias("g")), "there")
+    back = stored(triples.join(there, "l_suppkey").groupBy("l_partkey").agg(F.sum(F.col("q") * F.col("g")).alias("h")), "back")
     both = back.join(first, "l_partkey").agg(F.sum(F.col("h") * F.col("h")).alias("hh"), F.sum(F.col("h") * F.col("f")).alias("hf"), F.sum(F.col("f") * F.col("f")).alias("ff"))
     # the share of the pushed factor that is not the factor's square times the factor
     off = F.sqrt(F.greatest(F.lit(0.0), F.col("hh") - 2 * F.col("ff") * F.col("hf") + F.pow("ff", 3))) / F.sqrt("hh")
-    cells = found.select("l_partkey", F.posexplode("factors").alias("i", "x"))
-    other = found.select("l_partkey", F.posexplode("factors").alias("j", "y"))
-    dots = cells.join(other, "l_partkey").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
+    cells = found.select("factors", F.posexplode("factors").alias("i", "x")).select("i", "x", F.posexplode("factors").alias("j", "y"))
+    dots = cells.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
     size = dots.where("i = j").select("i", F.sqrt("d").alias("a"))
     apart = dots.where("i < j").join(size, "i").join(size.select(F.col("i").alias("j"), F.col("a").alias("b")), "j")
     return both.select(r6(off, 4).alias("off")).join(apart.agg(r6(F.max(F.abs(F.col("d")) / (F.col("a") * F.col("b"))), 6).alias("overlap")))

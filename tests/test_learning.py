@@ -173,6 +173,23 @@ def test_truncated_svd(spark):
     assert np.abs(factors) == pytest.approx(np.abs(u[:, :3] * s[:3]), abs=1e-6)
 
 
+def test_truncated_svd_of_blocks(spark, monkeypatch):
+    """Text keys, several blocks, columns and entries some at a time; vectors are never joined with entries."""
+    for name, n in (("ENTRIES_PER_BLOCK", 200), ("VECTORS_AT_ONCE", 7), ("PRODUCTS_AT_ONCE", 50)):
+        monkeypatch.setattr(features.subspace, name, n) if hasattr(features, "subspace") else None
+    rng = np.random.default_rng(6)
+    m = rng.normal(size=(45, 4)) @ np.diag([9, 6, 4, 2]) @ rng.normal(size=(4, 35)) * (rng.random((45, 35)) < 0.6)
+    triples = [(f"row {i:02}", f"column {j}", float(m[i, j])) for i in range(45) for j in range(35) if m[i, j]]
+    triples = spark.createDataFrame([*triples, (None, "column 1", 4.0), ("row 01", None, 4.0), ("row 01", "column 1", None)], "i string, j string, v double")
+    found = features.truncated_svd(triples, "i", "j", "v", k=3, extra=20, rounds=8)
+    u, s, _ = np.linalg.svd(m)
+    assert list(found["singular_values"]) == pytest.approx(list(s[:3]), rel=1e-6)
+    factors = {r.i: r.factors for r in found["row_factors"].collect()}
+    assert sorted(factors) == [f"row {i:02}" for i in range(45)]
+    assert np.abs([factors[i] for i in sorted(factors)]) == pytest.approx(np.abs(u[:, :3] * s[:3]), abs=1e-4)
+    assert features.truncated_svd(triples.limit(0), "i", "j", "v", k=2, extra=1)["row_factors"].count() == 0
+
+
 def blobs(spark, n=240, classes=3):
     rng = np.random.default_rng(11)
     data = [(i, i % classes, float(rng.normal(4 * (i % classes))), float(rng.normal(-3 * (i % classes)))) for i in range(n)]
