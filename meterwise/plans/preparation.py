@@ -223,7 +223,7 @@ def singular_equations(t: Tables) -> DataFrame:
     dots = cells.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
     size = dots.where("i = j").select("i", F.sqrt("d").alias("a"))
     apart = dots.where("i < j").join(size, "i").join(size.select(F.col("i").alias("j"), F.col("a").alias("b")), "j")
-    return both.select(r6(off, 4).alias("off")).join(apart.agg(r6(F.max(F.abs(F.col("d")) / (F.col("a") * F.col("b"))), 6).alias("overlap")))
+    return both.select(r6(off, 4).alias("off")).join(apart.agg(r6(F.max(F.try_divide(F.abs("d"), F.col("a") * F.col("b"))), 6).alias("overlap")))
 
 
 # ---- selection ----

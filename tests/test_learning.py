@@ -190,6 +190,17 @@ def test_truncated_svd_of_blocks(spark, monkeypatch):
     assert features.truncated_svd(triples.limit(0), "i", "j", "v", k=2, extra=1)["row_factors"].count() == 0
 
 
+def test_singular_equations_write_what_is_pushed(spark, monkeypatch):
+    """Each pushed vector is written before the next join, so shuffle files of one step at a time are on disk."""
+    from meterwise.plans import QUERIES, preparation
+
+    written, kept = [], getattr(preparation, "stored", None)
+    monkeypatch.setattr(preparation, "stored", lambda df, name: written.append(name) or kept(df, name), raising=False)
+    found = rows(QUERIES["singular_equations"](spark, "/root/testdata/sf0.001"))
+    assert written == ["triples", "factors", "there", "back"]
+    assert found[0][1] == 0.0
+
+
 def blobs(spark, n=240, classes=3):
     rng = np.random.default_rng(11)
     data = [(i, i % classes, float(rng.normal(4 * (i % classes))), float(rng.normal(-3 * (i % classes)))) for i in range(n)]
