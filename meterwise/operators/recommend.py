@@ -144,6 +144,7 @@ class _Rows:
         self.features, self.counts = f[self.starts], np.diff(np.append(self.starts, len(f)))
         self.place = dict(zip(self.ids.tolist(), range(len(self.ids)), strict=True))
         self.dense: list | None = None
+        self.singles: list | None = None
 
     def products(self, ids: np.ndarray, bounds: np.ndarray, f: np.ndarray, v: np.ndarray, best: _Best | None):
         """(row, id, sum) of all pairs of a row and an entity of the run that share a feature, but for a row with itself."""
@@ -184,7 +185,7 @@ class _Rows:
 
         If all features fit one matrix, products of single precision tell which cells may be among the best."""
         width = min(len(self.features), 512)
-        slabs, step = -(-len(self.features) // width), 1024
+        slabs, step = -(-len(self.features) // width), 1024 if len(self.features) > 128 else 512
         if self.dense is None:
             f = np.repeat(np.arange(len(self.features)), self.counts)
             order = np.lexsort((f, self.x // step))
@@ -200,14 +201,18 @@ class _Rows:
 
         single, slack = best is not None and slabs == 1, 4e-7 * (width + 8)
         own = np.array([self.place.get(i, -1) for i in ids.tolist()])
+        # work space that is used again
+        cells, lower = np.empty(step * step, np.float32), np.empty(step * step, bool)
+        if single and self.singles is None:
+            self.singles = [matrix(*d, step).astype(np.float32) for d in self.dense]
         for low in range(0, len(ids), step):
             high = min(low + step, len(ids))
             part = slice(bounds[low], bounds[high])
             col, f, value = np.repeat(np.arange(high - low), np.diff(bounds[low : high + 1])), at[part], v[part]
             right = [matrix(col[s], f[s] % width, value[s], high - low) for s in (np.flatnonzero(f // width == k) for k in range(slabs))]
-            small = right[0].T.astype(np.float32) if single else None
+            small = np.ascontiguousarray(right[0].T, np.float32) if single else None
             for start in range(0, len(self.ids), step):
-                n = min(step, len(self.ids) - start)
+                n, m = min(step, len(self.ids) - start), high - low
                 left = lambda k: matrix(*self.dense[start // step * slabs + k], n)  # noqa: B023, E731
                 same = np.flatnonzero((own[low:high] >= start) & (own[low:high] < start + n))
                 if not single:
@@ -217,19 +222,28 @@ class _Rows:
                     x, c = np.nonzero(may)
                     yield x + start, ids[c + low], total[x, c]
                     continue
-                rows = left(0)
-                total = rows.astype(np.float32) @ small
+                total = np.matmul(self.singles[start // step][:n], small, out=cells[: n * m].reshape(n, m))
                 total[own[low:high][same] - start, same] = -np.inf
                 least = best.least[start : start + n]
-                if np.isinf(least).any() and best.top < total.shape[1]:
+                if np.isinf(least).any() and best.top < m:
                     # the top-th largest cell, if it is surely above zero, is reached by all of the best
                     kth = np.partition(total, -best.top, axis=1)[:, -best.top]
                     least = np.maximum(least, np.where(kth > 2 * slack, kth - slack, -np.inf))
-                # cells that are not a number would be lost by a comparison that they pass
-                x, c = np.divmod(np.flatnonzero(~(total < (least - slack).astype(np.float32)[:, None])), total.shape[1])
-                dots = (rows[x] * right[0][c]).sum(axis=1)
-                use = (dots != 0) & (own[low:high][c] != x + start)
-                yield x[use] + start, ids[c[use] + low], dots[use]
+                # cells that are not a number are not lower
+                np.less(total, (least - slack).astype(np.float32)[:, None], out=lower[: n * m].reshape(n, m))
+                x, c = np.divmod(_false(lower[: n * m]), m)
+                if len(x):
+                    dots = (left(0)[x] * right[0][c]).sum(axis=1)
+                    use = (dots != 0) & (own[low:high][c] != x + start)
+                    yield x[use] + start, ids[c[use] + low], dots[use]
+
+
+def _false(flags: np.ndarray) -> np.ndarray:
+    """Where few of many flags are false, looked at eight at a time."""
+    whole = len(flags) // 8 * 8
+    words = np.flatnonzero(flags[:whole].view(np.uint64) != np.uint64(0x0101010101010101))
+    near = np.concatenate([(words[:, None] * 8 + np.arange(8)).ravel(), np.arange(whole, len(flags))])
+    return near[~flags[near]]
 
 
 def _hot_pairs(unit: DataFrame, top: int | None) -> DataFrame:

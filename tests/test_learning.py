@@ -201,6 +201,25 @@ def test_singular_equations_write_what_is_pushed(spark, monkeypatch):
     assert found[0][1] == 0.0
 
 
+def test_factor_similarities_of_many_tiles(spark, monkeypatch):
+    """Best partners by dense products, chosen in single precision, are those of double precision; equal rows go by id."""
+    monkeypatch.setattr(recommend, "ENTITIES_PER_BLOCK", 400)
+    rng = np.random.default_rng(13)
+    m = rng.normal(size=(1300, 6)) * [5, 3, 2, 1, 1, 1]
+    m[700:760] = m[40:100]
+    m[900:904] = m[899] * (1 + 1e-9)
+    factors = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "i long, factors array<double>")
+    pairs = recommend.factor_similarities(factors, "i", 6, top=3)
+    assert "generate" not in pairs._jdf.queryExecution().toString().lower()  # no copies per tile
+    unit = m / np.linalg.norm(m, axis=1, keepdims=True)
+    near = np.round(unit @ unit.T, 12)
+    np.fill_diagonal(near, -2)
+    for a, b, similarity in rows(pairs, "a", "b", "similarity"):
+        assert similarity == pytest.approx(unit[a] @ unit[b], abs=1e-12)
+        assert (near[a] > near[a, b] + 1e-12).sum() < 3
+    assert pairs.groupBy("a").count().filter("count = 3").count() == 1300
+
+
 def blobs(spark, n=240, classes=3):
     rng = np.random.default_rng(11)
     data = [(i, i % classes, float(rng.normal(4 * (i % classes))), float(rng.normal(-3 * (i % classes)))) for i in range(n)]
