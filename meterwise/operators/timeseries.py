@@ -102,8 +102,15 @@ def _owned(blocks: DataFrame) -> DataFrame:
     return blocks.filter("__own").drop("__own", "__block", "__i", "__n")
 
 
-def lagged(df: DataFrame, value: str, order: str, k: int = 1, series: Sequence[str] = (), name: str = "lag1") -> DataFrame:
-    """Add the value ``k`` rows earlier in the series."""
+def lagged(
+    df: DataFrame, value: str, order: str, k: int = 1, series: Sequence[str] = (), name: str = "lag1", resampled: bool = False
+) -> DataFrame:
+    """Add the value ``k`` rows earlier in the series.
+
+    ``resampled`` tells that a series has at most one row per hour, day or week, so that it is short: it is not numbered
+    and cut into blocks, and windows over the same series follow each other without a shuffle."""
+    if resampled:
+        return df.withColumn(name, F.lag(value, k).over(_by(series, order)))
     blocks = _blocks(df, order, series, k)
     return _owned(blocks.withColumn(name, F.lag(value, k).over(_in_block(series))))
 
@@ -119,11 +126,14 @@ def seasonal_difference(
     return _owned(out.filter(F.col("__i") >= reach))
 
 
-def rolling_mean(df: DataFrame, value: str, order: str, window: int, series: Sequence[str] = (), name: str = "rolling") -> DataFrame:
-    """Mean of the last ``window`` rows; NULL until the window is full or where it has a gap."""
-    blocks = _blocks(df, order, series, window - 1)
-    w = _in_block(series).rowsBetween(-(window - 1), 0)
-    return _owned(blocks.withColumn(name, F.when(F.count(value).over(w) == window, F.avg(value).over(w))))
+def rolling_mean(
+    df: DataFrame, value: str, order: str, window: int, series: Sequence[str] = (), name: str = "rolling", resampled: bool = False
+) -> DataFrame:
+    """Mean of the last ``window`` rows; NULL until the window is full or where it has a gap. ``resampled``: see ``lagged``."""
+    blocks = df if resampled else _blocks(df, order, series, window - 1)
+    w = (_by(series, order) if resampled else _in_block(series)).rowsBetween(-(window - 1), 0)
+    rolled = blocks.withColumn(name, F.when(F.count(value).over(w) == window, F.avg(value).over(w)))
+    return rolled if resampled else _owned(rolled)
 
 
 def decompose(df: DataFrame, value: str, order: str, period: int = 24, series: Sequence[str] = ()) -> DataFrame:

@@ -120,7 +120,8 @@ def user_hourly(t: Tables) -> DataFrame:
 @query("lag_and_rolling_by_user", f"""WITH {USER_HOURLY} SELECT user_id, strftime(bucket, '%Y-%m-%d %H:%M:%S') AS bucket, round(lag(y) OVER (PARTITION BY user_id ORDER BY i), 4) AS lag1,
     CASE WHEN i >= 23 THEN round(avg(y) OVER (PARTITION BY user_id ORDER BY i ROWS 23 PRECEDING), 6) END AS rolling FROM h""")
 def lag_and_rolling_by_user(t: Tables) -> DataFrame:
-    rolled = ts.lagged(ts.rolling_mean(user_hourly(t), "value", "bucket", 24, ["user_id"]), "value", "bucket", 1, ["user_id"])
+    rolled = ts.rolling_mean(user_hourly(t), "value", "bucket", 24, ["user_id"], resampled=True)
+    rolled = ts.lagged(rolled, "value", "bucket", 1, ["user_id"], resampled=True)
     return rolled.select("user_id", text_time("bucket").alias("bucket"), r6("lag1", 4).alias("lag1"), r6("rolling").alias("rolling"))
 
 

@@ -217,3 +217,20 @@ def test_blocks_see_their_neighbours(spark, block_rows):
     one = df.filter("s = 'a'")
     trend = timeseries.decompose(one, "y", "t", 5).toPandas().set_index("t")["trend"].sort_index()
     assert np.allclose(trend, pdf[pdf.s == "a"]["y"].rolling(5, center=True).mean(), equal_nan=True)
+
+
+def test_resampled_series_are_shuffled_once(spark):
+    """Lags and rolling means of resampled series need no shuffle of their own, and are those of cut series."""
+    rng = np.random.default_rng(3)
+    hours = pd.Timestamp("2024-03-30") + pd.to_timedelta(rng.integers(0, 400, 300), unit="h")
+    df = spark.createDataFrame(pd.DataFrame({"s": rng.integers(0, 3, 300), "ts": hours, "y": rng.normal(size=300)}))
+    hourly = timeseries.resample_hours(df, "ts", "y", ["s"])
+    short, cut = (
+        timeseries.lagged(timeseries.rolling_mean(hourly, "y", "bucket", 24, ["s"], **more), "y", "bucket", 2, ["s"], **more)
+        for more in ({"resampled": True}, {})
+    )
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    assert plan(short) == plan(hourly)
+    columns = ["s", "bucket", "lag1", "rolling"]
+    for a, b in zip(rows(short, *columns), rows(cut, *columns), strict=True):
+        assert a[:3] == b[:3] and (a[3] == b[3] or a[3] == pytest.approx(b[3], abs=1e-12))
