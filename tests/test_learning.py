@@ -41,6 +41,32 @@ def test_neighbors_match_brute_force(spark, monkeypatch, metric):
     assert got == brute(data, data, 4, metric, True)
 
 
+def test_queries_are_not_copied_per_cell(spark, monkeypatch):
+    """A query is in one row of one block, however many cells it visits."""
+    monkeypatch.setattr(neighbors, "POINTS_PER_CHUNK", 10)
+    monkeypatch.setattr(neighbors, "QUERIES_PER_BLOCK", 20)
+    df, data = vectors(spark, n=200, width=8)
+    found = neighbors.nearest_neighbors(df, df, 5, exclude_same_key=True)
+    plan = found._jdf.queryExecution().toString()
+    assert "FlatMapCoGroupsInPandas" not in plan and "FlatMapGroupsInPandas" in plan
+    assert sorted((r.query, r.neighbor, round(r.distance, 9), r.rank) for r in found.collect()) == brute(data, data, 5, "euclidean", True)
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "chebyshev"])
+@pytest.mark.parametrize("scale", [1e-35, 1.0, 1e6, 1e35])
+def test_candidates_hold_the_nearest(metric, scale):
+    """Single precision chooses candidates; far from its range double precision does. Equal points are all candidates."""
+    rng = np.random.default_rng(2)
+    a, b = scale * rng.normal(size=(50, 6)), scale * (1 + rng.normal(size=(300, 6)))
+    b[200:280] = b[199]
+    exact = neighbors._distances(a, b, metric)
+    row, near = neighbors._candidates(a, b, metric, np.full(50, np.inf), 4)
+    found = set(zip(row.tolist(), near.tolist(), strict=True))
+    kth = np.sort(exact, axis=1)[:, 3]
+    assert {(i, j) for i, j in zip(*np.nonzero(exact <= kth[:, None]), strict=True)} <= found
+    assert len(found) < 50 * 100
+
+
 def test_neighbors_of_other_points(spark):
     df, data = vectors(spark, n=50)
     other, queries = vectors(spark, n=20, seed=9)
