@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwise.operators import evaluate, models, resample, search
+from meterwise.operators.neighbors import count_nearer
 from meterwise.plans.learning import DOC_FEATURES, documents, scaled_documents
 from meterwise.plans.registry import Tables, query, r6
 from meterwise.session import durable
@@ -204,10 +205,9 @@ def smote_segments(t: Tables) -> DataFrame:
     square = F.aggregate(F.transform(point, lambda p: F.pow(p["a"] - p["b"], 2)), F.lit(0.0), lambda a, b: a + b)
     placed = placed.withColumns({"off": off, "square": square, "strange": (F.col("from_quality") != F.col("quality")) | (F.col("to_quality") != F.col("quality"))})
     # rows of the class that are nearer than the partner
-    own = base.select(F.col("doc_id").alias("o"), F.col("quality").alias("q"), F.array(*DOC_FEATURES).alias("x"))
-    pairs = placed.select("from_key", "to_key", "quality", "from", "square").distinct().join(own, (F.col("q") == F.col("quality")) & (F.col("o") != F.col("from_key")))
-    gaps = F.aggregate(F.transform(F.zip_with("from", "x", lambda a, b: F.pow(a - b, 2)), lambda v: v), F.lit(0.0), lambda a, b: a + b)
-    nearer = pairs.groupBy("from_key", "to_key").agg(F.count_if(gaps < F.col("square") * (1 - 1e-9)).alias("nearer"))
+    own = base.select(F.col("doc_id").alias("id"), F.col("quality").alias("group"), F.array(*DOC_FEATURES).alias("vector"))
+    pairs = placed.select(F.col("from_key").alias("id"), "to_key", F.col("quality").alias("group"), F.col("from").alias("vector"), (F.col("square") * (1 - 1e-9)).alias("square")).distinct()
+    nearer = count_nearer(pairs, own).select(F.col("id").alias("from_key"), "to_key", "nearer")
     found = placed.join(nearer, ["from_key", "to_key"]).groupBy("quality").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("strange").alias("other_class"), r6(F.max("off")).alias("off"), F.count_if(F.col("nearer") >= 3).alias("not_near")
     )

@@ -75,6 +75,23 @@ def test_neighbors_of_other_points(spark):
     assert got == brute(data, queries, 100, "euclidean", False)
 
 
+def test_nearer_points_are_counted(spark, monkeypatch):
+    """Rows of the own group below a squared distance, with equal rows and ties, against all pairs."""
+    monkeypatch.setattr(neighbors, "POINTS_PER_CHUNK", 16)
+    rng = np.random.default_rng(12)
+    x, group = np.round(rng.normal(size=(150, 3)), 1), rng.choice(["a", "b"], 150)
+    x[100:120], group[100:120] = x[99], "a"
+    points = spark.createDataFrame([(i, str(group[i]), [float(v) for v in x[i]]) for i in range(150)], "id long, group string, vector array<double>")
+    square = {(i, j): float(((x[i] - x[j]) ** 2).sum()) for i in range(150) for j in rng.choice(150, 3) if i != j}
+    pairs = [(i, int(j), str(group[i]), [float(v) for v in x[i]], d) for (i, j), d in square.items()]
+    pairs = spark.createDataFrame(pairs, "id long, other long, group string, vector array<double>, square double")
+    found = neighbors.count_nearer(pairs, points)
+    assert "Join" not in found._jdf.queryExecution().toString()
+    got = {(r.id, r.other): r.nearer for r in found.collect()}
+    gaps = [[sum((x[i, c] - x[j, c]) * (x[i, c] - x[j, c]) for c in range(3)) for j in range(150)] for i in range(150)]
+    assert got == {(i, j): sum(gaps[i][k] < d for k in range(150) if k != i and group[k] == group[i]) for (i, j), d in square.items()}
+
+
 def test_votes_prefer_the_lowest_label(spark):
     near = spark.createDataFrame([(0, 1, 0.1, 1), (0, 2, 0.2, 2)], "query long, neighbor long, distance double, rank int")
     labels = spark.createDataFrame([(1, 5), (2, 3)], "id long, label int")
